@@ -16,10 +16,11 @@ from snaphist.operators.flatten import member_columns, parse_documents
 from snaphist.operators.latest import latest_per_key
 from snaphist.operators.quality import STANDARD_SUITE, ModelTests, run_suite
 from snaphist.operators.scd2 import scd2
+from snaphist.operators.skew import split_hot_keys
 from snaphist.operators.sethash import drop_unnamed, set_digest, set_hash, with_set_hash
 from snaphist.operators.surrogate import surrogate_key
 from snaphist.plans import dims, ingest, report, staging
-from snaphist.session import new_dir
+from snaphist.session import new_dir, spread
 from snaphist.sources import bronze, documents, tracked, warehouse
 from snaphist.streaming.ingest_stream import ingest_stream
 
@@ -94,8 +95,8 @@ def stg_latest_raw_id(spark, sf_dir):
 
 @query
 def scd2_latest_exact(spark, sf_dir):
-    staged = staging.stg_members(fixtures.raw_members(spark, sf_dir), "2023")
-    return dims.dim_member(staged, collapse=False).drop("member_key")
+    raw = fixtures.raw_members(spark, sf_dir)
+    return dims.dim_member_latest(raw, "2023").drop("member_key")
 
 
 @query
@@ -269,26 +270,34 @@ def point_in_time_dates(spark, sf_dir):
     )
 
 
-def _daily_versions(spark, sf_dir) -> DataFrame:
-    """Versions of each member's daily group, valid from the day after."""
-    rows = fixtures.daily_membership(spark, sf_dir).withColumn(
-        "run_ts", F.col("run_ts") + F.expr("INTERVAL 1 DAY")
+def _asof(spark, sf_dir, how: str) -> DataFrame:
+    """Events with the version of their member's daily group, valid from the day after."""
+    facts = fixtures.member_history(spark, sf_dir).select("event_id", "member", "ts")
+    rows = fixtures.daily_membership(spark, sf_dir).select(
+        "member", (F.col("run_ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), "group_id"
+    )
+    # Two events count for each one: itself, and at most one daily row made from it.
+    both = facts.select("member", "ts")
+    splits = split_hot_keys(
+        both.unionByName(rows.select("member", "ts")),
+        ["member"],
+        "ts",
+        superset=both.unionByName(both),
     )
-    return scd2(rows, "member", "run_ts", ["group_id"]).select(
+    versions = scd2(rows, "member", "ts", ["group_id"], splits=splits).select(
         "member", F.col("group_id").alias("version_group"), "effective_date", "end_date"
     )
+    return temporal.as_of_join(facts, versions, "member", "ts", how=how, splits=splits)
 
 
 @query
 def asof_version_join(spark, sf_dir):
-    facts = fixtures.member_history(spark, sf_dir).select("event_id", "member", "ts")
-    return temporal.as_of_join(facts, _daily_versions(spark, sf_dir), "member", "ts")
+    return _asof(spark, sf_dir, "inner")
 
 
 @query
 def asof_version_join_left(spark, sf_dir):
-    facts = fixtures.member_history(spark, sf_dir).select("event_id", "member", "ts")
-    return temporal.as_of_join(facts, _daily_versions(spark, sf_dir), "member", "ts", how="left")
+    return _asof(spark, sf_dir, "left")
 
 
 @query
@@ -317,12 +326,11 @@ def membership_diff(spark, sf_dir):
 
 def _models(spark, sf_dir) -> dict[str, DataFrame]:
     raw = fixtures.raw_members(spark, sf_dir)
-    staged = staging.stg_members(raw, "2023")
     return {
         "raw_members": raw,
-        "stg_members": staged,
+        "stg_members": staging.stg_members(raw, "2023"),
         "dim_group": dims.dim_group(raw),
-        "dim_member": dims.dim_member(staged, collapse=False),
+        "dim_member": dims.dim_member_latest(raw, "2023"),
     }
 
 
@@ -356,7 +364,7 @@ def warehouse_counts(spark, sf_dir):
 
 @query
 def flatten_sections(spark, sf_dir):
-    parsed = parse_documents(fixtures.order_documents(spark, sf_dir))
+    parsed = parse_documents(spread(fixtures.order_documents(spark, sf_dir)))
     values = member_columns(F.col("member"), "/member/")
     return parsed.select(
         "group_id",

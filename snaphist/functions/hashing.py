@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,9 +18,14 @@ def as_text(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """md5 over the tracked attributes of one row, NULL read as ''."""
-    return F.md5(F.concat_ws(FIELD_SEPARATOR, *[as_text(F.col(c)) for c in columns]))
+def row_text(columns: Iterable[str]) -> Column:
+    """The tracked attributes of one row as one text, NULL read as ''."""
+    return F.concat_ws(FIELD_SEPARATOR, *[as_text(F.col(c)) for c in columns])
+
+
+def row_hash(columns: Iterable[str]) -> Column:
+    """md5 over the tracked attributes of one row."""
+    return F.md5(row_text(columns))
 
 
 def member_text(fields: Sequence[Column]) -> Column:

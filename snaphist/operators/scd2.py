@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaphist.functions.hashing import row_hash
+from snaphist.functions.hashing import row_hash, row_text
 from snaphist.operators.ordered import with_neighbours
 from snaphist.operators.skew import (
     PART,
@@ -18,6 +18,8 @@ from snaphist.operators.skew import (
 )
 from snaphist.schemas import FOREVER
 
+ABSENT = "_absent"
+
 
 def forever() -> Column:
     return F.lit(FOREVER).cast("timestamp_ntz")
@@ -47,31 +49,36 @@ def scd2(
     columns = [c for c in df.columns if c != "hash_diff"]
     if splits is None:
         splits = split_hot_keys(df, [key], ts)
-    rows = df.withColumn("hash_diff", row_hash(tracked))
+    rows = df.select(*columns)
     if runs is not None:
         rows = _with_absences(with_part(rows, splits), key, ts, tiebreak, splits, runs)
     rows = with_part(rows, splits)
-    if collapse or runs is not None:
-        rows = with_neighbours(rows, splits, tiebreak, previous={"_previous": "hash_diff"})
-        differs = ~F.col("hash_diff").eqNullSafe(F.col("_previous"))
-        kept = differs if collapse else (differs | F.col("hash_diff").isNotNull())
-        rows = rows.where(kept).drop("_previous")
+    if collapse:
+        # The attributes themselves are compared, so the hash neither travels through the
+        # shuffle nor is computed for rows that merge away.
+        compared = [*tracked, ABSENT] if runs is not None else tracked
+        old = {c: f"_old_{c}" for c in compared}
+        rows = with_neighbours(
+            rows, splits, tiebreak, previous={"_before": ts, **{o: c for c, o in old.items()}}
+        )
+        differs = F.col("_before").isNull() | (row_text(compared) != row_text(old.values()))
+        rows = rows.where(differs).drop("_before", *old.values())
     rows = with_neighbours(rows, splits, tiebreak, following={"_next": ts})
     if runs is not None:
-        rows = rows.where(F.col("hash_diff").isNotNull())
+        rows = rows.where(~F.col(ABSENT))
     return rows.select(
         *columns,
         F.col(ts).alias("effective_date"),
         F.coalesce("_next", forever()).alias("end_date"),
         F.col("_next").isNull().alias("is_current"),
-        "hash_diff",
+        row_hash(tracked).alias("hash_diff"),
     )
 
 
 def _with_absences(
     rows: DataFrame, key: str, ts: str, tiebreak: Sequence[str], splits: Splits, runs: DataFrame
 ) -> DataFrame:
-    """Add a row without hash at each run at which a key listed before is missing."""
+    """Add a row marked absent at each run at which a key listed before is missing."""
     calendar = runs.select(F.col(ts).alias("_run")).distinct()
     # One row per run time, not per row of data.
     calendar = broadcast_if_small(
@@ -86,6 +93,10 @@ def _with_absences(
     values = {c: F.lit(None).cast(rows.schema[c].dataType) for c in base}
     values[key] = F.col(key)
     values[ts] = F.col("_next_run")
-    return rows.select(*base).unionByName(
-        absent.select(*[values[c].alias(c) for c in base])
+    return (
+        rows.select(*base)
+        .withColumn(ABSENT, F.lit(False))
+        .unionByName(
+            absent.select(*[values[c].alias(c) for c in base], F.lit(True).alias(ABSENT))
+        )
     )

@@ -21,6 +21,7 @@ MAX_HOT_KEYS = 100_000
 
 # Finest cut of one key.
 MAX_PARTS_PER_KEY = 4_096
+BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -31,6 +32,13 @@ class Splits:
     order: str
     cuts: DataFrame | None = None
 
+    def renamed(self, keys: Sequence[str], order: str) -> Splits:
+        """The same cut points for rows whose columns have other names."""
+        cuts = self.cuts
+        if cuts is not None:
+            cuts = cuts.withColumnsRenamed(dict(zip(self.keys, keys)))
+        return Splits(tuple(keys), order, cuts)
+
     @property
     def partition(self) -> list[str]:
         return [*self.keys] if self.cuts is None else [*self.keys, PART]
@@ -50,6 +58,16 @@ def match_keys(
     return joined.drop(*names.values())
 
 
+def _sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n"))
+
+
+def _largest(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest key and of all keys."""
+    row = _sizes(df, keys).agg(F.max("_n"), F.sum("_n")).first()
+    return row[0] or 0, row[1] or 0
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Mark ``df`` for broadcast if it is counted to be small, else leave the join to Spark."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
@@ -66,6 +84,7 @@ def split_hot_keys(
     order: str,
     rows_per_part: int = ROWS_PER_PART,
     max_hot_keys: int = MAX_HOT_KEYS,
+    superset: DataFrame | None = None,
 ) -> Splits:
     """Measure the rows per key and cut each hot key into ranges of ``order`` of even size.
 
@@ -74,13 +93,17 @@ def split_hot_keys(
     hot from ``max(rows_per_part, all rows / max_hot_keys)`` rows on: fewer than
     ``max_hot_keys`` keys can be that large, and their parts number fewer than twice
     that, whatever the data. Only these cut points are ever broadcast.
+
+    ``superset`` names rows that include those of ``df`` and are cheaper to count, such as
+    the input of an aggregate: where it has no hot key, ``df`` has none and is not computed.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    if largest is None or largest <= rows_per_part:
+    if superset is not None and _largest(superset, keys)[0] <= rows_per_part:
+        return no_splits(keys, order)
+    largest, total = _largest(df, keys)
+    if largest <= rows_per_part:
         return no_splits(keys, order)
     target = max(rows_per_part, total // max_hot_keys)
-    hot = sizes.where(F.col("_n") > target).select(
+    hot = _sizes(df, keys).where(F.col("_n") > target).select(
         *keys,
         F.least(F.lit(MAX_PARTS_PER_KEY), F.ceil(F.col("_n") / F.lit(target)))
         .cast("int")
@@ -108,6 +131,15 @@ def split_hot_keys(
                 )
             ).alias("_cuts"),
         )
+        # Cut points in blocks, so that a row is placed by two short searches.
+        .select(
+            *keys,
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.size("_cuts") - 1) / BLOCK).cast("int")),
+                lambda i: F.slice("_cuts", i * BLOCK + 1, BLOCK),
+            ).alias("_blocks"),
+        )
+        .withColumn("_heads", F.transform("_blocks", lambda block: block[0]))
     )
     # Written once, so that every pass over the data sees the same cut points.
     return Splits(tuple(keys), order, materialize(cuts, "cuts"))
@@ -117,9 +149,14 @@ def with_part(df: DataFrame, splits: Splits) -> DataFrame:
     """Add the part each row falls in: 0 for cold keys, the range of ``order`` for hot ones."""
     if splits.cuts is None:
         return df
-    part = F.size(F.filter("_cuts", lambda cut: cut <= F.col(splits.order)))
+    def passed(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut <= F.col(splits.order)))
+
+    block = passed(F.col("_heads"))
+    part = (block - 1) * BLOCK + passed(F.element_at("_blocks", block))
+    is_first = F.col("_heads").isNull() | (block == 0)
     return match_keys(df, splits.cuts, splits.keys, "left", broadcast=True).select(
-        *df.columns, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part).alias(PART)
+        *df.columns, F.when(is_first, F.lit(0)).otherwise(part).alias(PART)
     )
 
 

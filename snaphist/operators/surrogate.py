@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,6 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFram
     once: counting and numbering then see the very same partitions, and counting reads one
     column only. ``order_by`` must order the rows totally.
     """
-    spark = df.sparkSession
     order = [F.col(c).asc_nulls_last() for c in order_by]
     fixed = materialize(
         df.repartitionByRange(*order)
@@ -31,17 +31,14 @@ def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFram
     partition = F.shiftright("_place", _ROW_BITS)
     # One row per shuffle partition.
     sizes = fixed.groupBy(partition.alias("_partition")).count().orderBy("_partition").collect()
-    offsets, before = [], 0
-    for row in sizes:
-        offsets.append((row["_partition"], before))
-        before += row["count"]
-    starts = F.broadcast(spark.createDataFrame(offsets, "_partition BIGINT, _before BIGINT"))
-    return fixed.join(starts, partition == F.col("_partition")).select(
-        (F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + 1).alias(
-            name
-        ),
-        *df.columns,
+    counts = {row["_partition"]: row["count"] for row in sizes}
+    starts = list(accumulate((counts.get(p, 0) for p in range(max(counts, default=0))), initial=0))
+    before = F.element_at(
+        F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"),
+        partition.cast("int") + 1,
     )
+    place = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return fixed.select((before + place + 1).alias(name), *df.columns)
 
 
 def stable_key(column: str):

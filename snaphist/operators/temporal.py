@@ -37,14 +37,14 @@ def as_of_join(
     *,
     how: str = "inner",
     splits: Splits | None = None,
-    rows_per_part: int | None = None,
 ) -> DataFrame:
     """Attach to every dated fact the version of its key valid at that time.
 
     Facts and versions are merged and ordered per key, and the latest version is carried
     forward. That is one pass over sorted rows: unlike an equi-join with a range condition
     it never pairs all facts of a key with all its versions. Columns of ``versions`` must
-    not clash with those of ``facts``, the key aside.
+    not clash with those of ``facts``, the key aside. ``splits`` cuts ``key`` by ``ts``; it is
+    best measured on the facts together with the rows the versions were made from.
     """
     attributes = [c for c in versions.columns if c != key]
     fact = F.struct(*[c for c in facts.columns])
@@ -65,11 +65,9 @@ def as_of_join(
         fact.alias("_fact"),
     )
     if splits is None:
-        sizes = {} if rows_per_part is None else {"rows_per_part": rows_per_part}
-        measured = facts.select(F.col(key).alias("_key"), F.col(ts).alias("_ts")).unionByName(
-            versions.select(F.col(key).alias("_key"), F.col("effective_date").alias("_ts"))
-        )
-        splits = split_hot_keys(measured, ["_key"], "_ts", **sizes)
+        dates = versions.select(key, F.col("effective_date").alias(ts))
+        splits = split_hot_keys(facts.select(key, ts).unionByName(dates), [key], ts)
+    splits = splits.renamed(["_key"], "_ts")
     # Versions of an empty validity come first among equal starts and are overtaken.
     merged = with_part(starts.unionByName(dated), splits)
     carried = carry_forward(merged, splits, "_version", "_at", tiebreak=["_kind", "_end"])

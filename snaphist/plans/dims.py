@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from snaphist.functions.codes import GROUP_NAMES, code_table, with_code_name
 from snaphist.functions.text import first_token, last_token
 from snaphist.operators.scd2 import scd2
-from snaphist.operators.skew import Splits
+from snaphist.operators.skew import Splits, split_hot_keys
 from snaphist.operators.surrogate import stable_key, surrogate_key
+from snaphist.plans.staging import stage_rows, stg_members
 
 # The attributes whose change makes a new version.
 TRACKED = ("group_id", "number", "position", "shoots_catches", "height", "weight")
@@ -100,3 +101,13 @@ def dim_member(
     return numbered.withColumn("member_nk", F.col("member_sk")).select(
         *DIM_MEMBER_COLUMNS, stable_key("member_id").alias("member_key")
     )
+
+
+def dim_member_latest(raw: DataFrame, season: str | None = None) -> DataFrame:
+    """The member dimension over the staging model: one version per group a member was in."""
+    staged = stg_members(raw, season)
+    # Staging only drops rows, so members are measured on the raw rows, without its shuffle.
+    splits = split_hot_keys(
+        staged, ["member_id"], "run_ts", superset=stage_rows(raw, season).select("member_id")
+    )
+    return dim_member(staged, collapse=False, splits=splits)

@@ -17,7 +17,7 @@ from snaphist.operators.changes import (
 )
 from snaphist.operators.flatten import parse_documents, to_members, with_lineage
 from snaphist.operators.sethash import set_hash
-from snaphist.session import materialize
+from snaphist.session import materialize, spread
 from snaphist.sources import bronze, warehouse
 from snaphist.sources.tracked import keep_tracked
 
@@ -56,7 +56,8 @@ def ingest(
         docs = keep_tracked(docs, tracked)
 
     # Parsed once; hashing later reads four of the columns, storing the changed groups only.
-    parsed = with_lineage(parse_documents(docs, keep_raw=keep_raw), run_id, F.col("run_ts"), source)
+    rows = parse_documents(spread(docs), keep_raw=keep_raw)
+    parsed = with_lineage(rows, run_id, F.col("run_ts"), source)
     staged = materialize(parsed, "parsed")
     members = to_members(staged)
 

@@ -39,3 +39,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores where the input has fewer splits than that.
+
+    Meant for costly per-row work, such as parsing, on a few files. Inputs of ordinary
+    size have more splits than cores and are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
