@@ -61,10 +61,7 @@ def ingest(
     staged = materialize(parsed, "parsed")
     members = to_members(staged)
 
-    runs = warehouse.read_runs(spark, root)
-    own = runs.where(F.col("run_id") == run_id).select("state_version").first()
-    before = warehouse.latest_version(runs, own["state_version"] if own else None)
-    version = own["state_version"] if own else before + 1
+    before, version = warehouse.versions_of(warehouse.read_runs(spark, root), run_id)
     state = warehouse.read_state_version(spark, root, before)
 
     snapshots = set_hash(members, _SNAPSHOT)

@@ -17,6 +17,8 @@ def aligned(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
 
 def load_members(df: DataFrame, root: str, load_ts: Column | None = None) -> int:
     """Append member rows to the raw table and return how many there were."""
+    if df.isEmpty():
+        return 0
     observed = Observation("load")
     rows = aligned(df, load_ts).observe(observed, F.count(F.lit(1)).alias("rows"))
     write_partitions(rows, f"{root}/raw_members", ["season", "run_id"])
@@ -63,13 +65,23 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, f"{root}/runs", RUNS)
 
 
-def latest_version(runs: DataFrame, before: int | None = None) -> int:
-    """Greatest committed state version (below ``before``), 0 if there is none."""
-    if before is not None:
-        runs = runs.where(F.col("state_version") < before)
+def latest_version(runs: DataFrame) -> int:
+    """Greatest committed state version, 0 if there is none."""
     return runs.agg(F.max("state_version")).first()[0] or 0
 
 
+def versions_of(runs: DataFrame, run_id: str) -> tuple[int, int]:
+    """The state version a run starts from and the one it writes.
+
+    A new run follows the latest one. A run committed before gets the versions it had.
+    """
+    own = F.when(F.col("run_id") == run_id, F.col("state_version"))
+    latest, written = runs.agg(F.max("state_version"), F.max(own)).first()
+    if written is None:
+        return latest or 0, (latest or 0) + 1
+    return latest_version(runs.where(F.col("state_version") < written)), written
+
+
 def save_mart(df: DataFrame, root: str, name: str, version: str) -> DataFrame:
     """Rebuild a mart in full under a new version, then point its view there."""
     path = f"{root}/marts/{name}/version={version}"
