@@ -201,6 +201,15 @@ def change_decision_forced(spark, sf_dir):
     return changes.decide_against_state(_snapshots(spark, sf_dir), state, force=True)
 
 
+@query
+def change_decision_bronze(spark, sf_dir):
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    stored = bronze.read_manifest(spark, _bronze_root(spark, sf_dir))
+    state = bronze.state_of(stored.where(F.col("run_ts") < cut))
+    batch = _snapshots(spark, sf_dir).where(F.col("run_ts") >= cut)
+    return changes.decide_against_state(batch, state)
+
+
 @query
 def change_log(spark, sf_dir):
     return _log(spark, sf_dir)

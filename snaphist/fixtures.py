@@ -169,19 +169,17 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The group snapshots as documents, one per group and run, each a list of distinct members."""
+    """The group snapshots as documents. Each lists one member: a snapshot may have many documents."""
     member = F.struct(
         F.col("member").alias("id"),
         F.struct(F.col("member").alias("default")).alias("firstName"),
         F.col("position").alias("positionCode"),
     )
-    return (
-        group_snapshots(spark, sf_dir)
-        .groupBy("group_id", "season", "run_ts")
-        .agg(F.collect_list(member).alias("forwards"))
-        .select(
-            "group_id", "season", "run_ts", F.to_json(F.struct("forwards")).alias("payload")
-        )
+    return group_snapshots(spark, sf_dir).select(
+        "group_id",
+        "season",
+        "run_ts",
+        F.to_json(F.struct(F.array(member).alias("forwards"))).alias("payload"),
     )
 
 

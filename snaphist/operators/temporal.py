@@ -9,7 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaphist.operators.ordered import carry_forward, with_neighbours
-from snaphist.operators.skew import PART, Splits, split_hot_keys, with_part
+from snaphist.operators.skew import (
+    Splits,
+    broadcast_if_small,
+    split_hot_keys,
+    with_part,
+)
 
 
 def _moment(value: str | datetime.datetime | Column) -> Column:
@@ -131,13 +136,14 @@ def membership_diff(
 ) -> DataFrame:
     """Who joined, left or stayed at each run of a group, compared with its run before.
 
-    Members of the first run of a group count as joined. Windows run per (group, run list)
-    and per (group, member), both at most as long as the number of runs.
+    Members of the first run of a group count as joined. Windows run per group over its runs
+    and per (group, member), both at most as long as the number of runs. The list of runs is
+    counted; up to a million of them are broadcast, more are joined by shuffle.
     """
     listed = df.select(group, run, member).distinct()
     by_group = Window.partitionBy(group).orderBy(run)
-    runs = (
-        listed.select(group, run)
+    runs = broadcast_if_small(
+        df.select(group, run)
         .distinct()
         .select(
             group,

@@ -317,6 +317,7 @@ def oracle_sql() -> dict[str, str]:
         CASE WHEN d.run_ts <= o.last_ts THEN o.last_hash ELSE d.previous_hash END AS previous_hash,
         CASE WHEN d.run_ts <= o.last_ts THEN 'late' ELSE 'new' END AS decision
       FROM decided d LEFT JOIN old o ON d.group_id = o.group_id AND d.season = o.season"""
+    q["change_decision_bronze"] = q["change_decision_incremental"]
     q["change_log"] = _with(SNAPS, DECIDED, LOG) + "SELECT * FROM log"
     q["state_upsert"] = _with(SNAPS, DECIDED, LOG, STATE) + "SELECT * FROM state"
     q["state_lookup"] = _with(SNAPS, DECIDED, LOG, STATE) + """

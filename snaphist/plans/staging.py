@@ -53,7 +53,7 @@ def stg_members(raw: DataFrame, season: str | None = None, by_raw_id: bool = Fal
     keyed = raw.withColumn("_raw_id", F.col("member_id"))
     rows = stage_rows(keyed, season)
     key = "_raw_id" if by_raw_id else "member_id"
-    ties = [c for c in ("run_id", "full_name", "number", "position") if c in rows.columns]
+    ties = [c for c in ("run_id", *STAGING_COLUMNS[3:-1]) if c in rows.columns]
     return latest_per_key(rows, ["group_id", key], "run_ts", ties).select(*STAGING_COLUMNS)
 
 

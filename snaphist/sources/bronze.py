@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snaphist.functions.text import payload_kind, strip
 from snaphist.operators.latest import latest_per_key
-from snaphist.schemas import BRONZE, MANIFEST, PAYLOADS, to_schema
+from snaphist.schemas import BRONZE, MANIFEST, PAYLOADS, STATE, to_schema
 from snaphist.sources.tables import read_table, write_partitions
 
 GROUP_KEYS = ["group_id", "season"]
@@ -116,6 +116,17 @@ def latest_run(manifests: DataFrame) -> DataFrame:
     return latest_per_key(manifests, GROUP_KEYS, "run_ts", ["run_id"])
 
 
+def state_of(manifests: DataFrame) -> DataFrame:
+    """State as the stored snapshots tell it, to decide against bronze or to rebuild lost state."""
+    return to_schema(
+        latest_run(manifests).withColumnsRenamed(
+            {"set_hash": "current_hash", "run_ts": "last_ingested", "run_id": "last_run_id"}
+        ),
+        STATE,
+        {"updated_at": F.col("last_ingested")},
+    )
+
+
 def list_runs(
     manifests: DataFrame, group_id: str | None = None, season: str | None = None
 ) -> DataFrame:

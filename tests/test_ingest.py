@@ -12,7 +12,7 @@ from snaphist.sources import bronze, warehouse
 from snaphist.sources.documents import read_documents, stream_documents
 from snaphist.sources.tracked import read_tracked
 from snaphist.streaming.ingest_stream import ingest_stream
-from tests.helpers import at, rows, same
+from tests.helpers import at, plan, rows, same
 
 
 def document(*names, section="forwards"):
@@ -271,3 +271,15 @@ def test_stream_takes_up_new_documents(spark, root, tmp_path):
     ]
     assert {r["last_ingested"] for r in warehouse.read_state(spark, root).collect()} == {at(3)}
     assert warehouse.read_runs(spark, root).count() == 3
+
+
+def test_season_filter_prunes_partitions(spark, three_runs):
+    staged = staging.stg_members(warehouse.read_members(spark, three_runs), "2025")
+    filters = plan(staged).split("PartitionFilters: [")[1].split("]")[0]
+    assert "season" in filters and staged.count() == 4
+
+
+def test_state_rebuilt_from_manifests(spark, two_runs):
+    state = warehouse.read_state(spark, two_runs)
+    rebuilt = bronze.state_of(bronze.read_manifest(spark, two_runs))
+    assert same(rebuilt, state)
