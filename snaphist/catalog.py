@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaphist import fixtures
@@ -152,8 +152,11 @@ def set_hash_snapshots(spark, sf_dir):
 
 @query
 def set_digest_snapshots(spark, sf_dir):
+    """For every snapshot the first run at which its group had the same members."""
     rows = fixtures.group_snapshots(spark, sf_dir)
-    return set_digest(rows, SNAPSHOT, ["member", "number", "position"])
+    digests = set_digest(rows, SNAPSHOT, ["member", "position"])
+    same = Window.partitionBy("group_id", "season", "set_hash")
+    return digests.select(*SNAPSHOT, "member_count", F.min("run_ts").over(same).alias("first_run"))
 
 
 @query

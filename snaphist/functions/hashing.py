@@ -33,12 +33,15 @@ def member_text(fields: Sequence[Column]) -> Column:
     return F.concat_ws(FIELD_SEPARATOR, *[strip(field) for field in fields])
 
 
-def hex_half(md5_text: Column, start: int) -> Column:
-    """Sixteen hex digits of an md5 as an unsigned number."""
-    return F.conv(F.substring(md5_text, start, 16), 16, 10).cast("decimal(20,0)")
-
-
-def half_hex(number: Column) -> Column:
-    """A number modulo 2^64 as sixteen hex digits."""
-    wrapped = number % F.lit(str(2**64)).cast("decimal(20,0)")
-    return F.lpad(F.lower(F.conv(wrapped.cast("decimal(20,0)").cast("string"), 10, 16)), 16, "0")
+def member_bits(fields: Sequence[str], seed: int) -> Column:
+    """64 hash bits of one member, from its stripped fields."""
+    return F.xxhash64(F.lit(seed), *fields)
+
+
+def bit_chunks(bits: Column) -> list[Column]:
+    """64 bits as three numbers below 2^22: their sum as longs is exact beyond 2^40 members."""
+    return [
+        F.shiftrightunsigned(bits, 42),
+        F.shiftrightunsigned(bits, 21).bitwiseAND(F.lit(2**21 - 1)),
+        bits.bitwiseAND(F.lit(2**21 - 1)),
+    ]

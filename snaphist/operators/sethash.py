@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaphist.functions.hashing import (
+    FIELD_SEPARATOR,
     MEMBER_SEPARATOR,
     as_text,
-    half_hex,
-    hex_half,
+    bit_chunks,
+    member_bits,
     member_text,
 )
 from snaphist.functions.text import strip
@@ -51,21 +52,31 @@ def _listed_hash(fields: Sequence[str]) -> Column:
 
 
 def set_digest(df: DataFrame, keys: Sequence[str], fields: Sequence[str] = HASH_FIELDS) -> DataFrame:
-    """Additive multiset hash per snapshot: the members' md5 values summed in two halves mod 2^64.
+    """Additive multiset hash per snapshot: sums over hash bits of the named members.
 
-    Equal sets give equal digests in any order, duplicates count. It is a plain sum, so it
-    combines before the shuffle and never holds a snapshot in one place.
+    Equal sets give equal digests in any order, duplicates count. It is a handful of plain
+    sums, so it combines before the shuffle and never holds a snapshot in one place.
     """
-    text_hash = F.md5(member_text(_fields(fields)))
-    halves = [F.when(_is_named(fields), hex_half(text_hash, start)) for start in (1, 17)]
+    names = [f"_f{i}" for i in range(len(fields))]
+    stripped = df.select(*keys, *[strip(c).alias(n) for c, n in zip(_fields(fields), names)])
+    members = stripped.select(
+        *keys,
+        *[
+            F.when(F.col(names[0]) != "", member_bits(names, seed)).alias(f"_bits{seed}")
+            for seed in (0, 1)
+        ],
+    )
+    chunks = [c for seed in (0, 1) for c in bit_chunks(F.col(f"_bits{seed}"))]
+    parts = {f"_s{i}": F.sum(chunk) for i, chunk in enumerate(chunks)}
+    parts["_named"] = F.count("_bits0")
+    text = F.concat_ws(FIELD_SEPARATOR, *[as_text(F.col(name)) for name in parts])
     return (
-        df.groupBy(*keys)
+        members.groupBy(*keys)
         .agg(
-            *[F.coalesce(F.sum(h), F.lit(0)).alias(f"_h{i}") for i, h in enumerate(halves)],
+            *[part.alias(name) for name, part in parts.items()],
             F.count("*").cast("bigint").alias("member_count"),
         )
-        .select(*keys, F.concat(half_hex(F.col("_h0")), half_hex(F.col("_h1"))).alias("set_hash"),
-                "member_count")
+        .select(*keys, F.md5(text).alias("set_hash"), "member_count")
     )
 
 

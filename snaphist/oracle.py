@@ -178,15 +178,6 @@ docs AS (
          CAST(year(o_orderdate) - CAST(month(o_orderdate) < 10 AS INT) AS VARCHAR) AS season FROM orders)
 """
 
-_DIGEST_MEMBER = "md5(member || '|' || number || '|' || position)"
-
-
-def _half(start: int) -> str:
-    total = f"SUM(CAST('0x' || substr({_DIGEST_MEMBER}, {start}, 16) AS UBIGINT))"
-    wrapped = f"CAST({total} % CAST(18446744073709551616 AS HUGEINT) AS UBIGINT)"
-    return f"lpad(lower(to_hex({wrapped})), 16, '0')"
-
-
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(p.strip() for p in parts) + "\n"
 
@@ -287,10 +278,12 @@ def oracle_sql() -> dict[str, str]:
         md5(string_agg(member || '|' || number || '|' || position, '||' ORDER BY member, number, position)) AS set_hash,
         CAST(COUNT(*) AS BIGINT) AS member_count
       FROM snapshots GROUP BY group_id, season, run_ts"""
-    q["set_digest_snapshots"] = _with(SNAPS) + f"""
-      SELECT group_id, season, run_ts, {_half(1)} || {_half(17)} AS set_hash,
-        CAST(COUNT(*) AS BIGINT) AS member_count
-      FROM snapshots GROUP BY group_id, season, run_ts"""
+    q["set_digest_snapshots"] = _with(SNAPS) + """
+      SELECT group_id, season, run_ts, member_count,
+        MIN(run_ts) OVER (PARTITION BY group_id, season, members) AS first_run
+      FROM (SELECT group_id, season, run_ts, CAST(COUNT(*) AS BIGINT) AS member_count,
+              string_agg(member || '|' || position, '||' ORDER BY member, position) AS members
+            FROM snapshots GROUP BY group_id, season, run_ts)"""
     q["set_hash_orders"] = _with(MESSY) + """
       SELECT group_id, season,
         md5(string_agg(full_name || '|' || run_id || '|' || COALESCE(position, ''), '||'
