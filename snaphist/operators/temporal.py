@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snaphist.functions.times import moment
 from snaphist.operators.ordered import carry_forward, with_neighbours
 from snaphist.operators.skew import (
     Splits,
@@ -17,19 +18,15 @@ from snaphist.operators.skew import (
 )
 
 
-def _moment(value: str | datetime.datetime | Column) -> Column:
-    return value if isinstance(value, Column) else F.lit(value).cast("timestamp_ntz")
-
-
-def as_of(versions: DataFrame, moment: str | datetime.datetime | Column) -> DataFrame:
-    """Versions valid at ``moment``. A plain filter, so it reaches the files of a stored history."""
-    t = _moment(moment)
+def as_of(versions: DataFrame, at: str | datetime.datetime | Column) -> DataFrame:
+    """Versions valid at a moment. A plain filter, so it reaches the files of a stored history."""
+    t = moment(at)
     return versions.where((F.col("effective_date") <= t) & (t < F.col("end_date")))
 
 
 def as_of_each(versions: DataFrame, moments: Sequence[str], name: str = "as_of") -> DataFrame:
     """Versions valid at each of a few given moments, without a join."""
-    times = F.array(*[_moment(m) for m in moments])
+    times = F.array(*[moment(m) for m in moments])
     valid = F.filter(times, lambda t: (F.col("effective_date") <= t) & (t < F.col("end_date")))
     return versions.select("*", F.explode(valid).alias(name))
 

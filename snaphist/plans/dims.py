@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from snaphist.functions.codes import GROUP_NAMES, code_table, with_code_name
 from snaphist.functions.text import first_token, last_token
+from snaphist.functions.times import utc_now
 from snaphist.operators.scd2 import scd2
 from snaphist.operators.skew import Splits, split_hot_keys
 from snaphist.operators.surrogate import stable_key, surrogate_key
@@ -43,7 +44,7 @@ def dim_group(raw: DataFrame, names: DataFrame | None = None, as_of: Column | No
     """Type 1 group dimension: every group ever seen, with its display name."""
     spark = raw.sparkSession
     lookup = code_table(spark, GROUP_NAMES) if names is None else names
-    stamp = F.localtimestamp() if as_of is None else as_of
+    stamp = utc_now() if as_of is None else as_of
     groups = with_code_name(raw.select("group_id").distinct(), "group_id", lookup, "group_name")
     return surrogate_key(groups, ["group_id"], "group_sk").select(
         "group_sk",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaphist.functions.codes import DEFAULT_SOURCE
+from snaphist.functions.times import moment
 from snaphist.operators.changes import (
     GROUP_KEYS,
     change_log,
@@ -46,7 +47,7 @@ def ingest(
     Returns one status row per group: success, failed (no members) or error.
     """
     spark = docs.sparkSession
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = moment(run_ts)
     if "run_ts" in docs.columns:
         docs = docs.withColumn("run_ts", F.coalesce("run_ts", now))
     else:
@@ -142,7 +143,7 @@ def run_summary(
 ) -> DataFrame:
     return summarize(statuses).select(
         F.lit(run_id).alias("run_id"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("run_ts"),
+        moment(run_ts).alias("run_ts"),
         F.lit(version).cast("bigint").alias("state_version"),
         "*",
     )

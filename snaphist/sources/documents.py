@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from snaphist.functions.seasons import season_to_short
+from snaphist.functions.times import in_utc
 
 PATH_SEPARATOR = "/"
 
@@ -30,7 +31,7 @@ def _load(reader, path: str, one_per_file: bool) -> DataFrame:
         season_to_short(_path_value("season")).alias("season"),
         F.to_timestamp_ntz(_path_value("run"), F.lit("yyyyMMdd'T'HHmmss")).alias("run_ts"),
         F.col("value").alias("payload"),
-        F.col("_metadata.file_modification_time").alias("landed_at"),
+        in_utc(F.col("_metadata.file_modification_time")).alias("landed_at"),
     )
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from snaphist.functions.times import utc_now
 from snaphist.schemas import CHANGE_LOG, RAW_MEMBERS, RUNS, STATE, to_schema
 from snaphist.sources.tables import read_table, write_partitions
 
 
 def aligned(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """Rows conformed to the raw table: known columns kept, absent ones NULL, load time filled in."""
-    now = F.localtimestamp() if load_ts is None else load_ts
+    now = utc_now() if load_ts is None else load_ts
     return to_schema(df, RAW_MEMBERS, {"load_ts": now})
 
 

@@ -29,7 +29,7 @@ def ingest_stream(
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        landed = batch.agg(F.max(F.col("landed_at").cast("timestamp_ntz"))).first()[0]
+        landed = batch.agg(F.max("landed_at")).first()[0]
         if landed is None:
             return
         ingest(

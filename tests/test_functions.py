@@ -1,8 +1,9 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from snaphist.functions import codes, seasons, text
+from snaphist.functions import codes, seasons, text, times
 from snaphist.functions.hashing import row_hash
 
 
@@ -74,6 +75,21 @@ def test_seasons(spark):
     assert len(one(spark, seasons.current_season())) == 4
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    noon = datetime.datetime(2024, 2, 5, 12)
+    aware = noon.replace(tzinfo=datetime.timezone(datetime.timedelta(hours=2)))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert one(spark, times.moment(noon)) == noon
+        assert one(spark, times.moment("2024-02-05 12:00:00")) == noon
+        assert one(spark, times.moment(aware)) == noon.replace(hour=10)
+        utc = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+        assert abs(one(spark, times.utc_now()) - utc) < datetime.timedelta(minutes=5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_codes(spark):
     for code, normal in [("L", "LW"), ("R", "RW"), ("C", "C"), ("Z", "Z")]:
         assert one(spark, codes.normalize_code(F.lit(code), codes.POSITION_ALIASES)) == normal
