@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import exact_dedup, url_rules
+from snaphist.llm import exact_dedup, topk, url_rules
 
 # The rules of the URL query.
 URL_RULES = [
@@ -33,6 +33,11 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return topk.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_exact_dedup, op5_url_rules]
+    found = [op4_exact_dedup, op5_url_rules, op6_topk]
     return {f.__name__: f for f in found}

@@ -33,5 +33,22 @@ FROM q LEFT JOIN m ON q.page_id = m.page_id
 """
 
 
+OP6 = """
+WITH e AS (
+  SELECT vec_id, embedding AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), v AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(x, lambda c: floor(64 * c::DOUBLE)) AS x FROM e
+), s AS (
+  SELECT q.n AS qn, q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY qn ORDER BY score DESC, vec_id) AS rk, vec_id, score FROM s
+)
+SELECT query_id, rk::INTEGER AS rank, vec_id, score FROM r WHERE rk <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4, "op5_url_rules": OP5}
+    return {"op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6}
