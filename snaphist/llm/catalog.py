@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import exact_dedup, topk, url_rules
+from snaphist.llm import exact_dedup, mixing, packing, topk, url_rules
 
 # The rules of the URL query.
 URL_RULES = [
@@ -22,6 +22,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path())
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions = exact_dedup.deduplicate(documents(spark, sf_dir))
     return decisions.withColumnRenamed("digest", "text_sha256")
@@ -38,6 +48,11 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", k=20)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_exact_dedup, op5_url_rules, op6_topk]
+    found = [op1_packing, op4_exact_dedup, op5_url_rules, op6_topk, op9_mixing]
     return {f.__name__: f for f in found}
