@@ -125,10 +125,9 @@ def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     for _ in range(_LANE_BYTES // 8):
         value = lanes[at] & _MASKS[np.minimum(left, 8)]
         if who is None:
-            out = mix((out ^ value) * _STEP + value)
+            out = mix(out * _STEP ^ value)
         else:
-            h = out[who]
-            out[who] = mix((h ^ value) * _STEP + value)
+            out[who] = mix(out[who] * _STEP ^ value)
         keep = np.flatnonzero(left > 8)
         if not len(keep):
             break
