@@ -4,6 +4,27 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP2 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM d
+), n AS (
+  SELECT doc_id, len(s) AS n_shingles FROM g
+), p AS (
+  SELECT doc_id, unnest(s) AS x FROM g
+), i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM p a JOIN p b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT i.a, i.b FROM i JOIN n x ON i.a = x.doc_id JOIN n y ON i.b = y.doc_id
+  WHERE 100 * shared >= 90 * (x.n_shingles + y.n_shingles - shared)
+), r(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT l.b, r.c FROM r JOIN l ON r.doc_id = l.a
+)
+SELECT n.doc_id, n_shingles, min(r.c) AS component_id FROM n JOIN r ON n.doc_id = r.doc_id GROUP BY ALL
+"""
+
 OP4 = f"""
 WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256, {_LOWER} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -51,4 +72,4 @@ SELECT query_id, rk::INTEGER AS rank, vec_id, score FROM r WHERE rk <= 20
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6}
+    return {"op2_ngram_join": OP2, "op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6}
