@@ -47,6 +47,8 @@ def stream_state(found: DataFrame, max_files: int) -> DataFrame:
     checkpoint = new_dir(spark, "dedup-state")
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    # Many small stores: no room is set aside for the logs of each.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set(
         "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
     )
@@ -97,8 +99,8 @@ def deduplicate(
     state = table(stream_state(found, max_files), "dedup-groups")
     groups = state.select(F.col("digest").alias("_digest"), "keep_id", F.col("n"))
     members = found.join(groups, found["digest"] == groups["_digest"]).drop("_digest")
-    odd = table(_differing(docs, members, normalise, digest), "dedup-differing")
-    if not odd.isEmpty():
+    odd = _differing(docs, members, normalise, digest)
+    if odd is not None:
         members = _regroup(members, odd)
     order = Window.partitionBy("digest", "keep_id", "doc_id").orderBy("locator")
     return members.select(
@@ -112,8 +114,8 @@ def deduplicate(
     )
 
 
-def _differing(docs, members, normalise, digest) -> DataFrame:
-    """Rows of groups whose bytes are not all equal: (doc_id, digest, text) of the whole group.
+def _differing(docs, members, normalise, digest) -> DataFrame | None:
+    """Rows of groups whose bytes are not all equal: (doc_id, digest, text) of each such group.
 
     Only texts of groups with hits are compared: each with the content located for its group.
     """
@@ -136,15 +138,17 @@ def _differing(docs, members, normalise, digest) -> DataFrame:
         .groupBy(F.col("digest").alias("_of"))
         .agg(F.max("_text").alias("_kept_text"))
     )
-    bad = (
+    bad = table(
         rows.join(keepers, rows["digest"] == keepers["_of"])
         .where(F.col("_text") != F.col("_kept_text"))
-        .groupBy(F.col("digest").alias("_bad"))
-        .agg(F.lit(1).alias("_"))
-    )
-    return rows.join(bad, rows["digest"] == bad["_bad"], "left_semi").select(
-        "doc_id", "digest", "_text"
+        .select(F.col("digest").alias("_bad"))
+        .distinct(),
+        "dedup-collisions",
     )
+    if bad.isEmpty():
+        return None
+    texts = rows.join(small(bad), F.col("digest") == F.col("_bad"))
+    return table(texts.select("doc_id", "digest", "_text"), "dedup-differing")
 
 
 def _regroup(members: DataFrame, odd: DataFrame) -> DataFrame:
