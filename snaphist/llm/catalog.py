@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import exact_dedup, jaccard_join, mixing, packing, topk, url_rules
+from snaphist.llm import exact_dedup, jaccard_join, mixing, packing, quality_lm, topk, url_rules
 
 # The rules of the URL query.
 URL_RULES = [
@@ -36,6 +36,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(documents(spark, sf_dir), k=3, num=90, den=100)
 
 
+def op3_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_lm.classify(documents(spark, sf_dir), labels)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decisions = exact_dedup.deduplicate(documents(spark, sf_dir))
     return decisions.withColumnRenamed("digest", "text_sha256")
@@ -58,5 +63,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_ngram_join, op4_exact_dedup, op5_url_rules, op6_topk, op9_mixing]
+    found = [op1_packing, op2_ngram_join, op3_quality_lm, op4_exact_dedup, op5_url_rules, op6_topk, op9_mixing]
     return {f.__name__: f for f in found}

@@ -346,3 +346,26 @@ def _with_grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> Dat
         F.first("root").alias("cluster"), F.first("n").alias("n"), F.first("grams").alias("grams")
     )
     return one.select("cluster", "id", "n", "grams")
+
+
+def keep(docs: DataFrame, joined: DataFrame) -> DataFrame:
+    """One document of each group stays, the one with the smallest doc_id, with all its columns.
+
+    Documents without words stay all. Where rows share a doc_id, those with different texts stay or go
+    together, staying if one of them does, and of those with equal texts one stays. A group whose
+    ids are all null counts as sharing one.
+    """
+    joined = table(joined.where("n_shingles > 0").select("doc_id", "component_id"), "join-result")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = joined.groupBy(F.col("doc_id").alias("_id")).agg(
+        F.max(stays).alias("_stays"), F.count("*").alias("_n")
+    )
+    marked = table(ids.where("not _stays or _n > 1"), "join-dropped")
+    empty = ~F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    on = {"doc_id": "_id"}
+    rest = same(docs.where(~empty), small(marked.select("_id")), on, "left_anti")
+    again = marked.where("_stays")
+    if not again.isEmpty():
+        rows = same(docs.where(~empty), again.select("_id"), on, "left_semi")
+        rest = rest.unionByName(rows.dropDuplicates(["doc_id", "text"]))
+    return docs.where(empty).unionByName(rest)
