@@ -71,5 +71,24 @@ SELECT query_id, rk::INTEGER AS rank, vec_id, score FROM r WHERE rk <= 20
 """
 
 
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d
+), v AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS x FROM s
+), m AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY x) < doc_id AS bad FROM v
+), g AS (
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS gone FROM m WHERE bad GROUP BY doc_id
+), k AS (
+  SELECT d.doc_id, len(w) AS n_words, list_filter(w, lambda x, i: NOT coalesce(list_contains(gone, i), false)) AS kept
+  FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, (n_words - len(kept))::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": OP2, "op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6}
+    return {"op2_ngram_join": OP2, "op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6, "op8_substring_dedup": OP8}

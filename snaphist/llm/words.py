@@ -59,8 +59,9 @@ class Words:
 def texts(column: pa.Array, lower: bool = False) -> Texts:
     """The bytes of a string column, null as empty, A-Z lower-cased on demand."""
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if binary else pa.large_string())
     _, offsets, data = column.buffers()
     if len(column) == 0 or data is None:
         return Texts(np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64))
