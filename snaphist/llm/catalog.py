@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import exact_dedup, jaccard_join, mixing, packing, quality_lm, substring_dedup, topk, url_rules
+from snaphist.llm import exact_dedup, jaccard_join, license_rules, mixing, packing, personal_data, quality_lm, substring_dedup, topk, url_rules
 
 # The rules of the URL query.
 URL_RULES = [
@@ -57,6 +57,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", k=20)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.scan(documents(spark, sf_dir))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring_dedup.remove(documents(spark, sf_dir))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -67,6 +71,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.detect(documents(spark, sf_dir)).drop("detections")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_ngram_join, op3_quality_lm, op4_exact_dedup, op5_url_rules, op6_topk, op8_substring_dedup, op9_mixing]
+    found = [op1_packing, op2_ngram_join, op3_quality_lm, op4_exact_dedup, op5_url_rules, op6_topk, op7_personal_data, op8_substring_dedup, op9_mixing, op10_license_rules]
     return {f.__name__: f for f in found}
