@@ -163,10 +163,10 @@ def suffixes(
 ) -> DataFrame:
     """(key, large, span, doc_id, row_key, start) of the suffixes with a repeated prefix."""
     if repeated.limit(max_broadcast + 1).count() <= max_broadcast:
-        known = repeated.select("key", (F.col("n") > group_rows).alias("large")).toPandas()
-        order = np.argsort(known["key"].to_numpy(np.int64).view(np.uint64))
-        keys = known["key"].to_numpy(np.int64).view(np.uint64)[order]
-        shared = docs.sparkSession.sparkContext.broadcast((keys, known["large"].to_numpy(bool)[order]))
+        known = repeated.select("key", (F.col("n") > group_rows).alias("large")).toArrow()
+        keys, large = known["key"].to_numpy().view(np.uint64), known["large"].to_numpy()
+        order = np.argsort(keys)
+        shared = docs.sparkSession.sparkContext.broadcast((keys[order], large[order]))
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, big = shared.value
