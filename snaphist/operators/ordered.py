@@ -12,17 +12,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaphist.operators.skew import PART, Splits, hot_only, match_keys
+from snaphist.operators.skew import PART, Splits, hot_only, match_keys, rank
 
 
 def _order(splits: Splits, tiebreak: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in (splits.order, *tiebreak)]
 
 
-def _rank(splits: Splits, tiebreak: Sequence[str]) -> Column:
-    return F.struct(splits.order, *tiebreak)
-
-
 def _with_edges(df: DataFrame, edges: DataFrame, splits: Splits) -> DataFrame:
     # One row per range of a hot key: bounded by the bound on the cut points.
     return match_keys(df, edges, splits.partition, "left", broadcast=True)
@@ -38,7 +34,7 @@ def with_neighbours(
     """Add values of the row before (``previous``) and after (``following``) within the key.
 
     Both map a new column to the column it is taken from. ``df`` carries the part column
-    of ``splits`` where a key is hot. ``splits.order`` must not be NULL.
+    of ``splits`` where a key is hot. NULL comes last in the order and in each tiebreak.
     """
     previous, following = dict(previous or {}), dict(following or {})
     window = Window.partitionBy(*splits.partition).orderBy(*_order(splits, tiebreak))
@@ -49,14 +45,14 @@ def with_neighbours(
             *[F.lead(source).over(window).alias(name) for name, source in following.items()],
         )
 
-    rank = _rank(splits, tiebreak)
+    place = rank([splits.order, *tiebreak])
     last = F.struct(F.lit(1).alias("_"), *sorted(set(previous.values())))
     first = F.struct(F.lit(1).alias("_"), *sorted(set(following.values())))
     by_part = Window.partitionBy(*splits.keys).orderBy(PART)
     edges = (
         hot_only(df, splits)
         .groupBy(*splits.partition)
-        .agg(F.max_by(last, rank).alias("_last"), F.min_by(first, rank).alias("_first"))
+        .agg(F.max_by(last, place).alias("_last"), F.min_by(first, place).alias("_first"))
         .select(
             *splits.partition,
             F.lag("_last").over(by_part).alias("_before"),
@@ -100,11 +96,11 @@ def carry_forward(
         .orderBy(PART)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rank = F.when(F.col(value).isNotNull(), _rank(splits, tiebreak))
+    place = F.when(F.col(value).isNotNull(), rank([splits.order, *tiebreak]))
     edges = (
         hot_only(df, splits)
         .groupBy(*splits.partition)
-        .agg(F.max_by(value, rank).alias("_last"))
+        .agg(F.max_by(value, place).alias("_last"))
         .select(
             *splits.partition,
             F.last("_last", ignorenulls=True).over(earlier_parts).alias("_before"),

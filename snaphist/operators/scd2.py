@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 
 from snaphist.functions.hashing import row_hash, row_text
 from snaphist.operators.ordered import with_neighbours
-from snaphist.operators.skew import (
-    PART,
-    Splits,
-    broadcast_if_small,
-    split_hot_keys,
-    with_part,
-)
+from snaphist.operators.skew import PART, Splits, match_keys, split_hot_keys, with_part
 from snaphist.schemas import FOREVER
 
 ABSENT = "_absent"
@@ -35,6 +29,7 @@ def scd2(
     tiebreak: Sequence[str] = (),
     splits: Splits | None = None,
     runs: DataFrame | None = None,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Versions of ``key`` ordered by ``ts``, all columns of ``df`` kept.
 
@@ -43,15 +38,16 @@ def scd2(
     sentinel date. Both steps share one shuffle and one sort. (key, ts) should be unique, or
     ``tiebreak`` must order equal times; then all but the last of them get an empty validity.
 
-    ``runs`` (a column ``ts`` with all snapshot times) closes the last version of a key at the
-    first run that no longer lists it; without it a key stays current for ever.
+    ``runs`` (columns ``scope`` and ``ts``, the times of all snapshots of each scope, such as a group)
+    closes the last version of a key at the first run of its scope that no longer lists it, unless the
+    key is listed elsewhere by then; without it a key stays current for ever.
     """
     columns = [c for c in df.columns if c != "hash_diff"]
     if splits is None:
-        splits = split_hot_keys(df, [key], ts)
+        splits = split_hot_keys(df, [key], ts, tiebreak=tiebreak)
     rows = df.select(*columns)
     if runs is not None:
-        rows = _with_absences(with_part(rows, splits), key, ts, tiebreak, splits, runs)
+        rows = _with_absences(with_part(rows, splits), key, ts, tiebreak, splits, runs, scope)
     rows = with_part(rows, splits)
     if collapse:
         # The attributes themselves are compared, so the hash neither travels through the
@@ -76,16 +72,20 @@ def scd2(
 
 
 def _with_absences(
-    rows: DataFrame, key: str, ts: str, tiebreak: Sequence[str], splits: Splits, runs: DataFrame
+    rows: DataFrame,
+    key: str,
+    ts: str,
+    tiebreak: Sequence[str],
+    splits: Splits,
+    runs: DataFrame,
+    scope: Sequence[str],
 ) -> DataFrame:
-    """Add a row marked absent at each run at which a key listed before is missing."""
-    calendar = runs.select(F.col(ts).alias("_run")).distinct()
-    # One row per run time, not per row of data.
-    calendar = broadcast_if_small(
-        calendar.select("_run", F.lead("_run").over(Window.orderBy("_run")).alias("_next_run"))
-    )
+    """Add a row marked absent at each run of its scope at which a key listed before is missing."""
+    # A window per scope over its run times; without a scope, over the distinct times of all.
+    order = Window.partitionBy(*scope).orderBy(ts)
+    calendar = runs.select(*scope, ts).distinct().withColumn("_next_run", F.lead(ts).over(order))
     seen = with_neighbours(rows, splits, tiebreak, following={"_next_seen": ts})
-    absent = seen.join(calendar, seen[ts] == calendar["_run"]).where(
+    absent = match_keys(seen, calendar, [*scope, ts], "inner").where(
         F.col("_next_run").isNotNull()
         & (F.col("_next_seen").isNull() | (F.col("_next_seen") > F.col("_next_run")))
     )

@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 
 from snaphist.functions.times import moment
 from snaphist.operators.ordered import carry_forward, with_neighbours
-from snaphist.operators.skew import (
-    Splits,
-    broadcast_if_small,
-    split_hot_keys,
-    with_part,
-)
+from snaphist.operators.skew import Splits, split_hot_keys, with_part
+from snaphist.session import materialize
 
 
 def as_of(versions: DataFrame, at: str | datetime.datetime | Column) -> DataFrame:
@@ -46,8 +42,12 @@ def as_of_join(
     forward. That is one pass over sorted rows: unlike an equi-join with a range condition
     it never pairs all facts of a key with all its versions. Columns of ``versions`` must
     not clash with those of ``facts``, the key aside. ``splits`` cuts ``key`` by ``ts``; it is
-    best measured on the facts together with the rows the versions were made from.
+    best measured on the facts together with the rows the versions were made from. A fact
+    whose key or time is NULL has no version: it is dropped, or kept with NULLs if ``how`` is left.
     """
+    named = F.col(key).isNotNull()
+    nameless = facts.where(~named)
+    facts, versions = facts.where(named), versions.where(named)
     attributes = [c for c in versions.columns if c != key]
     fact = F.struct(*[c for c in facts.columns])
     starts = versions.select(
@@ -77,10 +77,14 @@ def as_of_join(
     result = carried.where(F.col("_kind") == 1)
     if how == "inner":
         result = result.where(valid)
-    return result.select(
+    result = result.select(
         *[F.col(f"_fact.{c}").alias(c) for c in facts.columns],
         *[F.when(valid, F.col(f"_at.{c}")).alias(c) for c in attributes],
     )
+    if how == "inner":
+        return result
+    empty = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in attributes]
+    return result.unionByName(nameless.select("*", *empty))
 
 
 def attribute_changes(
@@ -94,7 +98,7 @@ def attribute_changes(
 ) -> DataFrame:
     """When which attribute of a key changed, from what to what: one row per change."""
     if splits is None:
-        splits = split_hot_keys(df, [key], ts)
+        splits = split_hot_keys(df, [key], ts, tiebreak=tiebreak)
     rows = with_neighbours(
         with_part(df.select(key, ts, *tiebreak, *attributes), splits),
         splits,
@@ -133,14 +137,14 @@ def membership_diff(
 ) -> DataFrame:
     """Who joined, left or stayed at each run of a group, compared with its run before.
 
-    Members of the first run of a group count as joined. Windows run per group over its runs
-    and per (group, member), both at most as long as the number of runs. The list of runs is
-    counted; up to a million of them are broadcast, more are joined by shuffle.
+    Members of the first run of a group count as joined. The distinct rows are computed once and
+    written; the runs follow from them. Windows run per group over its runs and per (group, member),
+    both at most as long as the number of runs.
     """
-    listed = df.select(group, run, member).distinct()
+    listed = materialize(df.select(group, run, member).distinct(), "listed")
     by_group = Window.partitionBy(group).orderBy(run)
-    runs = broadcast_if_small(
-        df.select(group, run)
+    runs = (
+        listed.select(group, run)
         .distinct()
         .select(
             group,

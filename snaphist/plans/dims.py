@@ -70,6 +70,10 @@ def dim_member(
     full history (``stage_rows``) with ``collapse`` it holds each change once. The natural
     key numbers rows by member, then by start, and so equals the surrogate key;
     ``member_key`` is the key that stays the same across rebuilds.
+
+    ``runs`` (group_id, season, run_ts of the stored snapshots) closes a member at the next stored
+    run of its group and season that no longer lists it. Runs at which a group did not change are not
+    stored and close nobody.
     """
     versions = scd2(
         staged,
@@ -80,6 +84,7 @@ def dim_member(
         tiebreak=["group_id"],
         splits=splits,
         runs=runs,
+        scope=() if runs is None else ("group_id", "season"),
     ).select(
         "member_id",
         "full_name",
