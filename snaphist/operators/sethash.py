@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from snaphist.functions.hashing import (
     FIELD_SEPARATOR,
@@ -21,12 +26,8 @@ from snaphist.operators.skew import match_keys
 # The fields of a member that enter the set hash; the first one names it.
 HASH_FIELDS = ("full_name", "number", "position")
 
-# A snapshot of at most this many members is sorted and hashed as one text.
-MAX_LISTED_MEMBERS = 1_000_000
-
-# Keys of larger snapshots are broadcast up to this many, and joined by a salted shuffle beyond.
-MAX_BROADCAST_SNAPSHOTS = 100_000
-_SALTS = 256
+# Forms of the hash: the md5 over the sorted members, and the additive digest.
+LISTED, DIGEST = "listed", "digest"
 
 
 def _fields(fields: Sequence[str]) -> list[Column]:
@@ -42,15 +43,6 @@ def drop_unnamed(df: DataFrame, name: str) -> DataFrame:
     return df.where(strip(as_text(F.col(name))) != "")
 
 
-def _listed_hash(fields: Sequence[str]) -> Column:
-    """md5 over the sorted members. Members sort by their fields as they came, unstripped."""
-    names = [f"f{i}" for i in range(len(fields))]
-    member = F.struct(*[c.alias(n) for c, n in zip(_fields(fields), names)])
-    members = F.sort_array(F.collect_list(F.when(_is_named(fields), member)))
-    texts = F.transform(members, lambda m: member_text([m.getField(n) for n in names]))
-    return F.md5(F.array_join(texts, MEMBER_SEPARATOR))
-
-
 def set_digest(df: DataFrame, keys: Sequence[str], fields: Sequence[str] = HASH_FIELDS) -> DataFrame:
     """Additive multiset hash per snapshot: sums over hash bits of the named members.
 
@@ -81,43 +73,72 @@ def set_digest(df: DataFrame, keys: Sequence[str], fields: Sequence[str] = HASH_
 
 
 def set_hash(
-    df: DataFrame,
-    keys: Sequence[str],
-    fields: Sequence[str] = HASH_FIELDS,
-    max_listed: int = MAX_LISTED_MEMBERS,
-    max_broadcast: int = MAX_BROADCAST_SNAPSHOTS,
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str] = HASH_FIELDS
 ) -> DataFrame:
     """Hash and member count per snapshot: md5 of the sorted ``name|number|position`` texts.
 
-    The md5 needs the whole sorted text of a snapshot, so it is used up to ``max_listed``
-    members. Larger snapshots get the additive digest instead, which needs no such text.
-    Which form applies depends on the member count alone, and a changed count is a changed
-    set, so comparing hashes stays exact across the border.
+    The same function whatever the size. Members are sorted by Spark, by their fields as they came,
+    and a task reads them batch by batch into the running md5, so it holds one batch at most. An md5
+    is serial by nature: a huge snapshot takes one task. Where snapshots are huge, choose
+    ``set_digest`` instead. Members without a name are counted but do not enter the hash.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    large = sizes.where(F.col("_n") > max_listed).select(*keys)
-    n_large = large.count()
-    if n_large == 0:
-        return _listed(df, keys, fields)
-    salted = n_large > max_broadcast
-    listed = _listed(_split_off(df, large, keys, fields, salted, "left_anti"), keys, fields)
-    summed = set_digest(_split_off(df, large, keys, fields, salted, "left_semi"), keys, fields)
-    return listed.unionByName(summed)
-
-
-def _listed(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        _listed_hash(fields).alias("set_hash"), F.count("*").cast("bigint").alias("member_count")
+    names = [f"_f{i}" for i in range(len(fields))]
+    members = (
+        df.select(*keys, *[c.alias(n) for c, n in zip(_fields(fields), names)], _is_named(fields).alias("_named"))
+        .select(*keys, *names, F.when(F.col("_named"), member_text([F.col(n) for n in names])).alias("_text"))
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, *names)
+        .select(*keys, "_text")
     )
-
-
-def _split_off(df, large, keys, fields, salted, how):
-    """Rows of ``df`` in (left_semi) or not in (left_anti) the large snapshots."""
-    if not salted:
-        return match_keys(df, large, keys, how, broadcast=True)
-    salt = F.pmod(F.xxhash64(*_fields(fields)), F.lit(_SALTS))
-    copies = large.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt"))
-    return match_keys(df.withColumn("_salt", salt), copies, [*keys, "_salt"], how).drop("_salt")
+    width = len(keys)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, running, count, started = None, None, 0, False
+        for batch in batches:
+            done: list[tuple] = []
+            columns = [batch.column(i) for i in range(width)]
+            for start, stop in _runs(columns, batch.num_rows):
+                key = tuple(c[start].as_py() for c in columns)
+                if running is None or key != current:
+                    if running is not None:
+                        done.append((*current, running.hexdigest(), count))
+                    current, running, count, started = key, hashlib.md5(), 0, False
+                named = batch.column(width).slice(start, stop - start).drop_null().to_pylist()
+                count += stop - start
+                if named:
+                    running.update(((MEMBER_SEPARATOR if started else "") + MEMBER_SEPARATOR.join(named)).encode())
+                    started = True
+            yield from _batch(done)
+        if running is not None:
+            yield from _batch([(*current, running.hexdigest(), count)])
+
+    kinds = [members.schema[k] for k in keys]
+    schema = StructType([*kinds, StructField("set_hash", StringType()), StructField("member_count", LongType())])
+    types = [to_arrow_type(f.dataType) for f in schema]
+
+    def _batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if rows:
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return members.mapInArrow(digests, schema)
+
+
+def _runs(columns: Sequence[pa.Array], n: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that agree in all ``columns``; NULL agrees with NULL."""
+    change = np.zeros(max(0, n - 1), bool)
+    for c in columns:
+        code = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        change |= code[1:] != code[:-1]
+    edges = [0, *(np.flatnonzero(change) + 1).tolist(), n]
+    return ((a, b) for a, b in zip(edges, edges[1:]) if b > a)
+
+
+def hash_sets(
+    df: DataFrame, keys: Sequence[str], form: str, fields: Sequence[str] = HASH_FIELDS
+) -> DataFrame:
+    """``set_hash`` or ``set_digest``, as named by ``form``."""
+    return {LISTED: set_hash, DIGEST: set_digest}[form](df, keys, fields)
 
 
 def with_set_hash(df: DataFrame, hashes: DataFrame, keys: Sequence[str]) -> DataFrame:

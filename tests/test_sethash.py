@@ -78,16 +78,27 @@ def test_digest_distinguishes_what_the_listed_hash_does(spark):
     assert digest.select("set_hash").distinct().count() == n
 
 
-def test_large_snapshots_take_the_digest_whichever_join(spark):
-    df = spark.createDataFrame(sample(), SCHEMA)
-    keys = ["group_id"]
-    large = df.groupBy("group_id").count().where("count > 20").select("group_id")
-    assert 0 < large.count() < 12
-    want = set_hash(df, keys).join(large, keys, "left_anti").unionByName(
-        set_digest(df, keys).join(large, keys, "left_semi")
-    )
-    for max_broadcast in (100, 0):
-        assert same(want, set_hash(df, keys, max_listed=20, max_broadcast=max_broadcast))
+def test_batches_of_a_few_rows_give_the_same_hashes(spark):
+    data = sample()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        got = set_hash(spark.createDataFrame(data, SCHEMA), ["group_id"]).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {r[0]: (r[1], r[2]) for r in got} == brute_force(data)
+
+
+def test_a_blank_row_never_changes_the_hash(spark):
+    data = sample()
+    blank = [(f"g{g}", name, "9", "D") for g in range(12) for name in ("", None, " ")]
+    a, b = (spark.createDataFrame(d, SCHEMA) for d in (data, data + blank))
+    for hash_of in (set_hash, set_digest):
+        assert same(
+            hash_of(a, ["group_id"]).select("group_id", "set_hash"),
+            hash_of(b, ["group_id"]).select("group_id", "set_hash"),
+        )
 
 
 def test_with_set_hash_keeps_null_keys(spark):
