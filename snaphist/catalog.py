@@ -685,5 +685,128 @@ def stream_ingest_log(spark, sf_dir):
     return warehouse.read_log(spark, root).drop("run_id")
 
 
+def _weekly_root(spark, sf_dir) -> str:
+    """A warehouse of three runs over its own state, the second of them twice."""
+
+    def fill(root: str) -> None:
+        docs = fixtures.snapshot_documents(spark, sf_dir)
+        first, second = (F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in ("08", "22"))
+        week = F.col("run_ts")
+        batches = {
+            "b1": docs.where(week < first),
+            "b2": docs.where((week >= first) & (week < second)),
+            "b3": docs.where(week >= second),
+        }
+        for number, name in enumerate(("b1", "b2", "b2", "b3")):
+            ingest.ingest(batches[name], root, name, datetime.datetime(2024, 2, 5 + number))
+
+    return _once(spark, sf_dir, "weekly", fill)
+
+
+@query
+def ingest_incremental(spark, sf_dir):
+    raw = warehouse.read_members(spark, _weekly_root(spark, sf_dir))
+    return raw.select(*SNAPSHOT, "member_id", "number", "full_name", "position", "set_hash")
+
+
+@query
+def ingest_replay(spark, sf_dir):
+    """What the log holds of each run, and the state version the run wrote."""
+    root = _weekly_root(spark, sf_dir)
+    runs = warehouse.read_runs(spark, root).select("run_id", "state_version")
+    counted = warehouse.read_log(spark, root).groupBy("run_id", "decision").agg(
+        F.count("*").cast("bigint").alias("snapshots")
+    )
+    return counted.join(runs, "run_id")
+
+
+@query
+def scd2_closed_groups(spark, sf_dir):
+    """Members closed by the stored runs of their own group; unchanged runs are not stored."""
+    raw = warehouse.read_members(spark, _weekly_root(spark, sf_dir))
+    rows = raw.withColumn("member", F.concat_ws("/", "group_id", "season", "member_id"))
+    versions = scd2(
+        rows, "member", "run_ts", ["group_id"],
+        runs=raw.select("group_id", "season", "run_ts"), scope=["group_id", "season"],
+    )
+    return versions.select("member", "effective_date", "end_date", "is_current")
+
+
+@query
+def ingest_errors(spark, sf_dir):
+    """Statuses of groups that are good, half corrupt, corrupt, empty, or without a season."""
+    docs = fixtures.snapshot_documents(spark, sf_dir)
+    kind = F.col("group_id").cast("bigint") % 5
+    broken = F.lit('{"forwards": [')
+    changed = docs.withColumn(
+        "payload", F.when(kind == 2, broken).when(kind == 3, F.lit("{}")).otherwise(F.col("payload"))
+    ).withColumn("season", F.when(kind != 4, F.col("season")))
+    extra = docs.where(kind == 1).select(*SNAPSHOT, broken.alias("payload")).distinct()
+    statuses = ingest.ingest(
+        changed.unionByName(extra), new_dir(spark, "errors"), "run-1", datetime.datetime(2024, 2, 5)
+    )
+    return statuses.drop("set_hash")
+
+
+def _land_in_parts(spark, sf_dir, path: str) -> None:
+    """Each snapshot in two files, written out of order."""
+    docs = fixtures.event_documents(spark, sf_dir)
+    late = F.dayofyear("run_ts") % 2 == 0
+    part = F.pmod(F.xxhash64("payload"), F.lit(2))
+    for weeks, half in ((late, 0), (~late, 1), (~late, 0), (late, 1)):
+        (
+            docs.where(weeks & (part == half))
+            .select(
+                "season",
+                F.col("group_id").alias("group"),
+                F.date_format("run_ts", "yyyyMMdd'T'HHmmss").alias("run"),
+                F.col("payload").alias("value"),
+            )
+            .hint("rebalance", "season", "group", "run")
+            .write.mode("append")
+            .partitionBy("season", "group", "run")
+            .text(path)
+        )
+
+
+@query
+def stream_ingest_split(spark, sf_dir):
+    """Members of the changed snapshots, streamed in parts and out of order."""
+
+    def fill(root: str) -> None:
+        landed = f"{root}/landed"
+        _land_in_parts(spark, sf_dir, landed)
+        stream = documents.stream_documents(spark, landed, one_per_file=False, files_per_batch=15)
+        ingest_stream(stream, f"{root}/warehouse", f"{root}/checkpoint").awaitTermination()
+
+    root = _once(spark, sf_dir, "split", fill)
+    members = warehouse.ordered_members(spark, f"{root}/warehouse")
+    return members.select(*SNAPSHOT, "member_id", "number", "full_name", "set_hash")
+
+
+@query
+def mart_rebuild(spark, sf_dir):
+    """The mart completed last, of two versions and one that was never completed."""
+
+    def fill(root: str) -> None:
+        rows = fixtures.group_snapshots(spark, sf_dir)
+        used = temporal.members_used(rows)
+        early = temporal.members_used(rows.where(F.col("run_ts") < F.lit(CUT).cast("timestamp_ntz")))
+        warehouse.save_mart(early, root, "members_used", "r9")
+        warehouse.save_mart(used, root, "members_used", "r10")
+        early.write.parquet(f"{root}/marts/members_used/version=r99")
+
+    return warehouse.read_mart(spark, _once(spark, sf_dir, "marts", fill), "members_used")
+
+
+@query
+def stg_season_orders(spark, sf_dir):
+    """Rows of one season out of several, whether written short or long."""
+    rows = fixtures.messy_members(spark, sf_dir)
+    both = F.when(F.col("row_id") % 2 == 0, F.col("season")).otherwise(seasons.season_to_long(F.col("season")))
+    staged = staging.stage_rows(rows.withColumn("season", both), "1997")
+    return staged.select("row_id", "group_id", "season", "member_id", "position_group")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from snaphist.operators.skew import match_keys
+
 # A snapshots table has columns (group_id, season, run_ts, set_hash, member_count) and
 # one row per group, season and run.
 GROUP_KEYS = ("group_id", "season")
@@ -53,25 +55,31 @@ def decide_against_state(
     existing: DataFrame | None = None,
     force: bool = False,
     keys: Sequence[str] = GROUP_KEYS,
+    known_run_unchanged: bool = False,
 ) -> DataFrame:
     """Decide a batch of snapshots against stored state.
 
     A group may occur with several runs; each is then compared with the run before it, the
     first one with the state. Snapshots not newer than the state of their group are late:
-    logged, but never written and never compared with. ``existing`` lists the groups that
-    have stored snapshots; without it, having state counts as having snapshots.
+    marked so, and never compared with. With ``known_run_unchanged`` the very snapshot of the state, same
+    run time and hash, is unchanged instead. ``existing`` lists the groups that have stored
+    snapshots; without it, having state counts as having snapshots. A NULL key is a key.
     """
     has_state = F.col("last_ingested").isNotNull()
     known = state.select(*keys, "current_hash", "last_ingested")
-    joined = snapshots.join(known, list(keys), "left")
+    joined = match_keys(snapshots, known, keys, "left")
     if existing is None:
         joined = joined.withColumn("_stored", has_state)
     else:
         marks = existing.select(*keys).distinct().withColumn("_mark", F.lit(True))
-        joined = joined.join(marks, list(keys), "left").withColumn(
+        joined = match_keys(joined, marks, keys, "left").withColumn(
             "_stored", F.col("_mark").isNotNull()
         ).drop("_mark")
-    joined = joined.withColumn("_late", has_state & (F.col("run_ts") <= F.col("last_ingested")))
+    late = has_state & (F.col("run_ts") <= F.col("last_ingested"))
+    if known_run_unchanged:
+        same_run = F.col("run_ts").eqNullSafe(F.col("last_ingested"))
+        late = late & ~(same_run & F.col("set_hash").eqNullSafe(F.col("current_hash")))
+    joined = joined.withColumn("_late", late)
     window = Window.partitionBy(*keys, "_late").orderBy(F.col("run_ts").asc_nulls_last())
     previous = F.when(F.row_number().over(window) == 1, F.col("current_hash")).otherwise(
         F.lag("set_hash").over(window)
@@ -92,6 +100,11 @@ def decide_against_state(
     )
 
 
+def is_stored(decision: Column) -> Column:
+    """Late snapshots are stored too, though they replace nothing."""
+    return decision.isin(NEW, CHANGED, LATE)
+
+
 def change_log(decisions: DataFrame) -> DataFrame:
     """One log row per group and run, whether changed or not."""
     return decisions.select(

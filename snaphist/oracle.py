@@ -518,4 +518,50 @@ def oracle_sql() -> dict[str, str]:
       FROM snapshots s JOIN ilog l ON s.group_id = l.group_id AND s.season = l.season AND s.run_ts = l.run_ts
         JOIN st ON st.group_id = s.group_id AND st.season = s.season
       WHERE l.changed GROUP BY s.group_id, st.season, st.member_count"""
+    q["ingest_incremental"] = q["ingest_raw_members"]
+    q["ingest_replay"] = ingested + """
+      SELECT CASE WHEN run_ts < TIMESTAMP '2024-01-08' THEN 'b1' WHEN run_ts < TIMESTAMP '2024-01-22' THEN 'b2'
+                  ELSE 'b3' END AS run_id, decision, CAST(COUNT(*) AS BIGINT) AS snapshots,
+        CAST(CASE WHEN run_ts < TIMESTAMP '2024-01-08' THEN 1 WHEN run_ts < TIMESTAMP '2024-01-22' THEN 2
+                  ELSE 3 END AS BIGINT) AS state_version
+      FROM ilog GROUP BY ALL"""
+    # Moves: a member joins at a stored run of its group if the run before does not list it, and leaves
+    # at one that does not list it if the run before does.
+    q["scd2_closed_groups"] = ingested + """
+      , runs AS (SELECT group_id, season, run_ts, LAG(run_ts) OVER w AS run_before, LEAD(run_ts) OVER w AS run_after
+                 FROM ilog WHERE changed WINDOW w AS (PARTITION BY group_id, season ORDER BY run_ts)),
+      present AS (SELECT r.*, s.member FROM runs r JOIN snapshots s
+                  ON s.group_id = r.group_id AND s.season = r.season AND s.run_ts = r.run_ts),
+      joins AS (SELECT p.group_id, p.season, p.member, p.run_ts FROM present p
+                WHERE NOT EXISTS (SELECT 1 FROM present q WHERE q.group_id = p.group_id AND q.season = p.season
+                                  AND q.member = p.member AND q.run_ts = p.run_before)),
+      leaves AS (SELECT p.group_id, p.season, p.member, p.run_after AS run_ts FROM present p
+                 WHERE p.run_after IS NOT NULL
+                   AND NOT EXISTS (SELECT 1 FROM present q WHERE q.group_id = p.group_id AND q.season = p.season
+                                   AND q.member = p.member AND q.run_ts = p.run_after))
+      SELECT j.group_id || '/' || j.season || '/' || j.member AS member, j.run_ts AS effective_date,
+        COALESCE(MIN(l.run_ts), TIMESTAMP '9999-12-31') AS end_date, MIN(l.run_ts) IS NULL AS is_current
+      FROM joins j LEFT JOIN leaves l ON l.group_id = j.group_id AND l.season = j.season
+        AND l.member = j.member AND l.run_ts > j.run_ts
+      GROUP BY ALL"""
+    q["ingest_errors"] = _with(SNAPS) + """
+      , g AS (SELECT group_id, season, CAST(group_id AS BIGINT) % 5 AS kind, COUNT(*) AS n FROM snapshots GROUP BY ALL)
+      SELECT group_id, season,
+        CASE WHEN kind IN (1, 2) THEN 'error' WHEN kind = 3 THEN 'failed' ELSE 'success' END AS status,
+        CAST(CASE WHEN kind IN (2, 3) THEN 0 ELSE n END AS BIGINT) AS member_count, kind IN (0, 4) AS wrote_bronze,
+        CASE WHEN kind IN (1, 2) THEN 'document cannot be parsed' WHEN kind = 3 THEN 'no members found' END AS error
+      FROM g"""
+    q["stream_ingest_split"] = _with(LANDED, """
+      h AS (SELECT group_id, season, run_ts,
+              md5(string_agg(full_name || '|' || number || '|N/A', '||' ORDER BY full_name, number)) AS set_hash
+            FROM landed GROUP BY group_id, season, run_ts),
+      l AS (SELECT *, LAG(set_hash) OVER (PARTITION BY group_id, season ORDER BY run_ts) AS previous FROM h)""") + """
+      SELECT d.group_id, d.season, d.run_ts, replace(full_name, 'User ', '') AS member_id, number, full_name, set_hash
+      FROM landed d JOIN l ON d.group_id = l.group_id AND d.season = l.season AND d.run_ts = l.run_ts
+      WHERE previous IS DISTINCT FROM set_hash"""
+    q["mart_rebuild"] = _with(SNAPS) + """
+      SELECT group_id, season, COUNT(DISTINCT member) AS members_used FROM snapshots GROUP BY ALL"""
+    q["stg_season_orders"] = _with(MESSY) + f"""
+      SELECT row_id, group_id, season, {FALLBACK} AS member_id, {GROUP_OF} AS position_group
+      FROM messy WHERE season = '1997'"""
     return q

@@ -13,11 +13,14 @@ from snaphist.operators.changes import (
     GROUP_KEYS,
     change_log,
     decide_against_state,
+    is_stored,
     state_from_log,
     upsert_state,
 )
 from snaphist.operators.flatten import parse_documents, to_members, with_lineage
-from snaphist.operators.sethash import set_hash
+from snaphist.functions.seasons import season_of
+from snaphist.operators.sethash import hash_sets
+from snaphist.operators.skew import match_keys
 from snaphist.session import materialize, spread
 from snaphist.sources import bronze, warehouse
 from snaphist.sources.tracked import keep_tracked
@@ -29,54 +32,74 @@ def ingest(
     docs: DataFrame,
     root: str,
     run_id: str,
-    run_ts: datetime.datetime,
+    run_ts: datetime.datetime | None = None,
     *,
     source: str = DEFAULT_SOURCE,
     tracked: DataFrame | None = None,
     existing: DataFrame | None = None,
     force: bool = False,
     keep_raw: bool = False,
+    hash_form: str | None = None,
 ) -> DataFrame:
-    """Ingest ``docs`` (group_id, season, payload and optionally run_ts) as run ``run_id``.
+    """Ingest ``docs`` (group_id, season, payload; optionally run_ts, landed_at, problem) as run ``run_id``.
 
     Only groups whose member set changed are stored and loaded; the log and the state cover
-    all of them. Every write replaces the run's own partitions and the run commits with its
+    all of them. Late snapshots, and later parts of a known one, are stored as well but leave the
+    state; ``warehouse.ordered_members`` puts them in their place. A group of which any document cannot be
+    read writes nothing and keeps its state. Without a season a document belongs to that of its run time;
+    without ``run_ts`` the run has the latest landing time. ``hash_form`` (listed or digest) is fixed by a
+    warehouse's first run. Every write replaces the run's own partitions and the run commits with its
     last write, so after a crash at any point, or by mistake, the same run can be repeated
     and leaves the same tables. Runs of one warehouse must not overlap.
 
     Returns one status row per group: success, failed (no members) or error.
     """
     spark = docs.sparkSession
-    now = moment(run_ts)
-    if "run_ts" in docs.columns:
-        docs = docs.withColumn("run_ts", F.coalesce("run_ts", now))
-    else:
-        docs = docs.withColumn("run_ts", now)
-    docs = docs.select(*_SNAPSHOT, "payload")
+    optional = {"run_ts": "timestamp_ntz", "landed_at": "timestamp_ntz", "problem": "string"}
+    for name, kind in optional.items():
+        if name not in docs.columns:
+            docs = docs.withColumn(name, F.lit(None).cast(kind))
     if tracked is not None:
         docs = keep_tracked(docs, tracked)
+    # Read once: members and payloads then come from the same version of each file.
+    docs = materialize(
+        spread(docs.select(*_SNAPSHOT, "payload", "landed_at", "problem")), "documents"
+    )
+    if run_ts is None:
+        run_ts = docs.agg(F.max("landed_at")).first()[0]
+        if run_ts is None:
+            raise ValueError("a run needs a time, or documents with a landing time")
+    now = moment(run_ts)
+    form = warehouse.hash_form(spark, root, hash_form)
+    docs = docs.withColumn("run_ts", F.coalesce("run_ts", now)).withColumn(
+        "season", F.coalesce("season", season_of(F.col("run_ts")))
+    ).drop("landed_at")
 
     # Parsed once; hashing later reads four of the columns, storing the changed groups only.
-    rows = parse_documents(spread(docs), keep_raw=keep_raw)
+    readable = docs.withColumn("payload", F.when(F.col("problem").isNull(), F.col("payload")))
+    rows = parse_documents(readable, keep_raw=keep_raw)
     parsed = with_lineage(rows, run_id, F.col("run_ts"), source)
     staged = materialize(parsed, "parsed")
-    members = to_members(staged)
+    unreadable = staged.where("is_corrupt").select(*GROUP_KEYS).distinct()
+    members = match_keys(to_members(staged), unreadable, GROUP_KEYS, "left_anti")
 
     before, version = warehouse.versions_of(warehouse.read_runs(spark, root), run_id)
     state = warehouse.read_state_version(spark, root, before)
 
-    snapshots = set_hash(members, _SNAPSHOT)
-    decisions = decide_against_state(snapshots, state, existing, force)
+    snapshots = hash_sets(members, _SNAPSHOT, form)
+    decisions = decide_against_state(
+        snapshots, state, existing, force, known_run_unchanged=not force
+    )
     warehouse.write_log(change_log(decisions.withColumn("run_id", F.lit(run_id))), root)
     log = warehouse.read_log(spark, root).where(F.col("run_id") == run_id)
 
-    written = log.where("changed").select(
+    written = log.where(is_stored(F.col("decision"))).select(
         *_SNAPSHOT, "run_id", F.col("current_hash").alias("set_hash"), "member_count"
     )
     keys = written.select(*_SNAPSHOT, "set_hash")
-    stored = members.drop("set_hash").join(keys, _SNAPSHOT)
+    stored = match_keys(members.drop("set_hash"), keys, _SNAPSHOT, "inner")
     bronze.write_bronze(bronze.enrich(stored, now), root)
-    payloads = docs.join(keys.select(*_SNAPSHOT), _SNAPSHOT, "left_semi")
+    payloads = match_keys(docs.drop("problem"), keys.select(*_SNAPSHOT), _SNAPSHOT, "left_semi")
     bronze.write_payloads(payloads.withColumn("run_id", F.lit(run_id)), root)
     bronze.write_manifest(bronze.manifest(written, root, source), root)
     own_bronze = bronze.read_bronze(spark, root).where(F.col("run_id") == run_id)
@@ -97,22 +120,24 @@ def group_statuses(
     groups = staged.groupBy(*GROUP_KEYS).agg(
         F.count("member").cast("bigint").alias("member_count"),
         F.max("is_corrupt").alias("_corrupt"),
+        F.max("problem").alias("_problem"),
     )
     writes = log.groupBy(*GROUP_KEYS).agg(
         F.max_by("current_hash", F.col("run_ts")).alias("set_hash"),
-        F.max("changed").alias("wrote_bronze"),
+        F.max(is_stored(F.col("decision"))).alias("wrote_bronze"),
     )
     if tracked is not None:
         absent = tracked.join(groups, "group_id", "left_anti").select(
             "group_id", F.lit(None).cast("string").alias("season"),
             F.lit(0).cast("bigint").alias("member_count"),
             F.lit(None).cast("boolean").alias("_corrupt"),
+            F.lit(None).cast("string").alias("_problem"),
         )
         groups = groups.unionByName(absent)
     failed = F.when(F.col("_corrupt").isNull(), F.lit("no document")).when(
-        F.col("_corrupt"), F.lit("document cannot be parsed")
+        F.col("_corrupt"), F.coalesce("_problem", F.lit("document cannot be parsed"))
     )
-    return groups.join(writes, list(GROUP_KEYS), "left").select(
+    return match_keys(groups, writes, GROUP_KEYS, "left").select(
         *GROUP_KEYS,
         F.when(F.coalesce("_corrupt", F.lit(True)), F.lit("error"))
         .when(F.col("member_count") == 0, F.lit("failed"))

@@ -46,6 +46,7 @@ DOCUMENT_MEMBER = StructType(
     ]
 )
 
+# The columns of the loaded tables.
 RAW_MEMBERS = StructType(
     [
         StructField("group_id", STRING),
@@ -174,6 +175,10 @@ RUNS = StructType(
     ]
 )
 
+SETTINGS = StructType([StructField("hash_form", STRING)])
+
+POINTER = StructType([StructField("number", BIGINT), StructField("version", STRING)])
+
 
 def to_schema(
     df: DataFrame, schema: StructType, defaults: dict[str, Column] | None = None

@@ -93,5 +93,5 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    small = int(size.toString()) < cores * SPREAD_BYTES_PER_CORE
+    small = int(str(size)) < cores * SPREAD_BYTES_PER_CORE
     return df.repartition(cores) if small else df

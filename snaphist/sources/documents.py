@@ -15,7 +15,7 @@ PATH_SEPARATOR = "/"
 def _path_value(name: str) -> Column:
     """Value of a ``name=value`` folder in the file's path, NULL if there is none."""
     found = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]+)/", 1)
-    decoded = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+    decoded = F.try_url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
     return F.nullif(decoded, F.lit(""))
 
 
@@ -26,12 +26,25 @@ def _load(reader, path: str, one_per_file: bool) -> DataFrame:
         .option("recursiveFileLookup", True)
         .load(path)
     )
+    stamp = F.regexp_replace("_run", r"^(\d{4})(\d\d)(\d\d)T(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
+    run_ts = F.when(F.col("_run").rlike(r"^\d{8}T\d{6}$"), stamp.try_cast("timestamp_ntz"))
+    has_run = F.contains(F.col("_metadata.file_path"), F.lit("/run="))
     return text.select(
         _path_value("group").alias("group_id"),
         season_to_short(_path_value("season")).alias("season"),
-        F.to_timestamp_ntz(_path_value("run"), F.lit("yyyyMMdd'T'HHmmss")).alias("run_ts"),
+        _path_value("run").alias("_run"),
+        has_run.alias("_has_run"),
         F.col("value").alias("payload"),
         in_utc(F.col("_metadata.file_modification_time")).alias("landed_at"),
+    ).select(
+        "group_id",
+        "season",
+        run_ts.alias("run_ts"),
+        "payload",
+        "landed_at",
+        F.when(F.col("group_id").isNull(), F.lit("no group in the path"))
+        .when(F.col("_has_run") & run_ts.isNull(), F.lit("run folder cannot be read"))
+        .alias("problem"),
     )
 
 
@@ -39,7 +52,8 @@ def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) ->
     """Documents below ``path``, laid out as ``season=…/group=…[/run=yyyyMMddTHHmmss]/*``.
 
     Set ``one_per_file=False`` for files with one document per line, the better layout for
-    many small documents.
+    many small documents. ``problem`` says what in a path cannot be read; such a document
+    disturbs no other.
     """
     return _load(spark.read, path, one_per_file)
 

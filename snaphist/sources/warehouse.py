@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaphist.functions.times import utc_now
-from snaphist.schemas import CHANGE_LOG, RAW_MEMBERS, RUNS, STATE, to_schema
+from snaphist.operators.changes import GROUP_KEYS, decide_history, is_write
+from snaphist.operators.sethash import DIGEST, LISTED, hash_sets
+from snaphist.operators.skew import match_keys
+from snaphist.schemas import CHANGE_LOG, POINTER, RAW_MEMBERS, RUNS, SETTINGS, STATE, to_schema
 from snaphist.sources.tables import read_table, write_partitions
 
 
@@ -83,20 +86,79 @@ def versions_of(runs: DataFrame, run_id: str) -> tuple[int, int]:
     return latest_version(runs.where(F.col("state_version") < written)), written
 
 
+def hash_form(spark: SparkSession, root: str, wanted: str | None = None) -> str:
+    """The form of set hash a warehouse uses: recorded by its first run, the same ever after."""
+    path = f"{root}/settings"
+    recorded = read_table(spark, path, SETTINGS, format="json").first()
+    if recorded is None:
+        form = LISTED if wanted is None else wanted
+        if form not in (LISTED, DIGEST):
+            raise ValueError(f"no such form of hash: {form}")
+        spark.createDataFrame([(form,)], SETTINGS).coalesce(1).write.mode("overwrite").json(path)
+        return form
+    if wanted is not None and wanted != recorded["hash_form"]:
+        raise ValueError(f"this warehouse uses the {recorded['hash_form']} hash")
+    return recorded["hash_form"]
+
+
+def ordered_members(spark: SparkSession, root: str) -> DataFrame:
+    """Raw rows of every snapshot that changed its group, in the order of run times.
+
+    The order in which snapshots arrived, and in how many parts, makes no difference: parts of one
+    snapshot are one set, a late one counts where it belongs, one that turns out unchanged is left out, and one
+    that was not stored because it equalled an earlier snapshot, but no longer its predecessor, is given that
+    snapshot's members.
+    """
+    form = hash_form(spark, root)
+    snapshot = [*GROUP_KEYS, "run_ts"]
+    raw = read_members(spark, root)
+    stored = hash_sets(raw, snapshot, form).withColumn("stored", F.lit(True))
+    # Snapshots seen and not stored, once each. Their hash is that of all their members.
+    seen = read_log(spark, root).groupBy(*snapshot).agg(
+        F.max("current_hash").alias("set_hash"), F.max("member_count").cast("bigint").alias("member_count")
+    )
+    unstored = match_keys(seen, stored.select(*snapshot), snapshot, "left_anti")
+    history = decide_history(stored.unionByName(unstored.withColumn("stored", F.lit(False))))
+    before = (
+        Window.partitionBy(*GROUP_KEYS, "set_hash").orderBy("run_ts").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    twin = F.last(F.when(F.col("stored"), F.col("run_ts")), ignorenulls=True).over(before)
+    wanted = (
+        history.withColumn("_from", twin)
+        .where(is_write(F.col("decision")))
+        .select(*GROUP_KEYS, F.col("run_ts").alias("_at"), F.col("_from").alias("run_ts"), F.col("set_hash").alias("_hash"))
+    )
+    rows = raw.drop("set_hash")
+    keyed = match_keys(rows, wanted, snapshot, "inner")
+    return keyed.withColumn("run_ts", F.col("_at")).withColumn("set_hash", F.col("_hash")).select(*raw.columns)
+
+
 def save_mart(df: DataFrame, root: str, name: str, version: str) -> DataFrame:
-    """Rebuild a mart in full under a new version, then point its view there."""
-    path = f"{root}/marts/{name}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    mart = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Rebuild a mart in full under a new version, then point readers and its view there.
+
+    The pointer is written last, so a version is read only when it is complete. Pointers count up, so
+    the last one written is the latest version, whatever it is called.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/marts/{name}/version={version}")
+    last = _pointers(spark, root, name).agg(F.max("number")).first()[0] or 0
+    pointer = spark.createDataFrame([(last + 1, version)], POINTER)
+    write_partitions(pointer, f"{root}/mart_pointers/{name}", ["number"], rebalance=False)
+    mart = read_mart(spark, root, name)
     mart.createOrReplaceTempView(name)
     return mart
 
 
+def _pointers(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_table(spark, f"{root}/mart_pointers/{name}", POINTER)
+
+
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The mart's latest version."""
-    versions = spark.read.parquet(f"{root}/marts/{name}")
-    latest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == latest).drop("version")
+    """The version of a mart that was completed last."""
+    latest = _pointers(spark, root, name).orderBy(F.desc("number")).first()
+    if latest is None:
+        raise ValueError(f"no complete version of {name}")
+    return spark.read.parquet(f"{root}/marts/{name}/version={latest['version']}")
 
 
 def register(spark: SparkSession, root: str) -> None:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from snaphist.functions.codes import DEFAULT_SOURCE
@@ -17,6 +18,10 @@ def ingest_stream(
     *,
     source: str = DEFAULT_SOURCE,
     tracked: DataFrame | None = None,
+    force: bool = False,
+    existing: Callable[[SparkSession], DataFrame] | None = None,
+    keep_raw: bool = False,
+    hash_form: str | None = None,
     available_now: bool = True,
     name: str = "ingest",
 ) -> StreamingQuery:
@@ -25,20 +30,23 @@ def ingest_stream(
     The run id follows from the batch number and the run time from the landing times, so a
     batch that Spark repeats after a failure replays its run instead of adding to it. State
     lives in the versioned state table: a snapshot older than its group's state is logged as
-    late and replaces nothing.
+    late, stored, and replaces nothing. ``existing`` gives the groups with stored snapshots anew for each
+    batch; the other options are those of a run.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
-        landed = batch.agg(F.max("landed_at")).first()[0]
-        if landed is None:
+        if batch.isEmpty():
             return
         ingest(
-            batch.drop("landed_at"),
+            batch,
             root,
             run_id=f"{name}-{batch_id:09d}",
-            run_ts=landed,
             source=source,
             tracked=tracked,
+            existing=None if existing is None else existing(batch.sparkSession),
+            force=force,
+            keep_raw=keep_raw,
+            hash_form=hash_form,
         )
 
     writer = docs.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)

@@ -176,14 +176,69 @@ def test_a_crash_is_healed_by_repeating_the_run(spark, landing, root, two_runs,
         assert healed[name] == plain[name], name
 
 
-def test_late_run_is_logged_only(spark, landing, root):
+def test_late_run_is_stored_and_leaves_the_state(spark, landing, root):
     run(spark, root, landing, 2)
     before = contents(spark, root)
     run(spark, root, landing, 1)
     after = contents(spark, root)
-    assert after["raw"] == before["raw"] and after["state"] == before["state"]
+    assert after["state"] == before["state"]
     log = warehouse.read_log(spark, root).where("run_id = 'run-1'")
     assert rows(log, "group_id", "decision") == [("AAA", "late"), ("BBB", "late")]
+    raw = warehouse.read_members(spark, root).where("run_id = 'run-1'")
+    assert rows(raw, "group_id", "full_name") == [("AAA", "Ann"), ("AAA", "Bo"), ("BBB", "Cy")]
+
+
+def test_arrival_order_makes_no_difference(spark, landing, root, tmp_path):
+    """A, B, A: the last was unchanged when the middle one had not arrived yet."""
+    land(landing, 4, AAA=document("Bo", "Ann"), BBB=document("Cy"))
+    land(landing, 5, AAA=document("Bo", "Ann"))
+    columns = ("group_id", "run_ts", "full_name", "set_hash")
+    want = None
+    for i, days in enumerate(((1, 2, 3, 4, 5), (1, 5, 4, 3, 2), (5, 2, 4, 1, 3))):
+        where = f"{root}{i}"
+        for day in days:
+            run(spark, where, landing, day)
+        got = rows(warehouse.ordered_members(spark, where), *columns)
+        want = want or got
+        assert got == want
+    assert len([r for r in want if r[1] == at(4)]) == 3
+
+
+def test_unreadable_paths_become_statuses(spark, root, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, 1, AAA=document("Ann"), BBB=document("Bo"))
+    bad = landing / "season=20252026" / "group=BBB" / "run=bad"
+    bad.mkdir(parents=True)
+    (bad / "doc.json").write_text(document("Cy"))
+    stray = landing / "season=2025" / "group=%zz" / "run=20240101T000000"
+    stray.mkdir(parents=True)
+    (stray / "doc.json").write_text(document("Di"))
+    statuses = plan_ingest.ingest(read_documents(spark, str(landing)), root, "r", at(2))
+    got = {(r.group_id, r.status, r.error) for r in statuses.collect()}
+    assert got == {
+        ("AAA", "success", None), ("BBB", "error", "run folder cannot be read"),
+        (None, "error", "no group in the path"),
+    }
+    assert rows(warehouse.read_state(spark, root), "group_id") == [("AAA",)]
+
+
+def test_half_read_group_writes_nothing(spark, landing, root):
+    docs = read_documents(spark, str(landing)).where(F.dayofmonth("run_ts") == 1)
+    broken = docs.where("group_id = 'AAA'").withColumn("payload", F.lit("{"))
+    statuses = plan_ingest.ingest(docs.union(broken), root, "r", at(2))
+    assert rows(statuses.where("group_id = 'AAA'"), "status", "wrote_bronze") == [("error", False)]
+    for table in (warehouse.read_state, warehouse.read_log, warehouse.read_members):
+        assert table(spark, root).where("group_id = 'AAA'").isEmpty()
+
+
+def test_form_of_hash_is_fixed_by_the_first_run(spark, landing, root):
+    run(spark, root, landing, 1, hash_form="digest")
+    run(spark, root, landing, 2)
+    assert warehouse.hash_form(spark, root) == "digest"
+    decisions = rows(warehouse.read_log(spark, root), "run_ts", "group_id", "decision")
+    assert (at(2), "AAA", "unchanged") in decisions and (at(2), "BBB", "changed") in decisions
+    with pytest.raises(ValueError):
+        run(spark, root, landing, 3, hash_form="listed")
 
 
 def test_force_stores_unchanged_groups(spark, landing, root):

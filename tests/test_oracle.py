@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from snaphist.catalog import all_queries as queries
+from snaphist.oracle import oracle_sql
 from tests.compare import compare, connect
 from tests.conftest import SF_DIR
 
