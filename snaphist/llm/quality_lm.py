@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaphist.llm import words as W
-from snaphist.llm.store import small, table
+from snaphist.llm.store import fetch, small, table
 
 # Trusted documents the model is trained on, at most.
-MAX_TRAINING_DOCS = 4000
+MAX_TRAINING_DOCS = 2000
 # Share of trusted documents whose perplexity is within their language's limit.
 QUANTILE = 0.998
 # Words seen less often in the sample count as unknown.
@@ -77,6 +77,13 @@ def _key(*codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashed_key(*columns: str) -> Column:
+    def key(*codes: pa.Array) -> pa.Array:
+        return pa.array(W.signed(_key(*(c.to_numpy().view(np.uint64) for c in codes))))
+
+    return F.arrow_udf(key, "long")(*columns)
+
+
 def _trigrams(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """Counts of (a, b, c), the sample's trigrams as word codes."""
 
@@ -161,16 +168,16 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     seen = table(
         sample.mapInArrow(read, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-words"
     )
-    known = seen.where(F.col("n") >= MIN_COUNT).select("h").toPandas()["h"].to_numpy(np.int64)
+    known = fetch(seen.where(F.col("n") >= MIN_COUNT).select("h"))["h"].to_numpy()
     # Chance of one particular word among those not in the vocabulary.
     singles = max(1, seen.where(F.col("n") < MIN_COUNT).count())
     vocabulary = np.sort(known.view(np.uint64))
     tables, floor = _tables(_trigrams(sample, vocabulary))
     shards: list[dict] = [{} for _ in range(SHARDS)]
     for name, (df, keys) in tables.items():
-        rows = df.toPandas()
-        key = _key(*(rows[k].to_numpy(np.int64).view(np.uint64) for k in keys))
-        value = rows["v"].to_numpy(np.float32)
+        rows = fetch(df.select(_hashed_key(*keys).alias("key"), F.col("v").cast("float")))
+        key = rows["key"].to_numpy().view(np.uint64)
+        value = rows["v"].to_numpy()
         order = np.argsort(key)
         key, value = key[order], value[order]
         for s in range(SHARDS):
@@ -196,14 +203,8 @@ def _find(model: Model, name: str, key: np.ndarray, default: float) -> tuple[np.
     return out, found
 
 
-def log_likelihood(t: W.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Summed log probability of each text and the number of its words, end mark included."""
-    codes, ends = coded(t, model.vocabulary)
-    begins = np.r_[0, ends[:-1]]
-    inside = np.ones(len(codes), bool)
-    inside[begins] = inside[begins + 1] = False
-    at = np.flatnonzero(inside)
-    a, b, c = codes[at - 2], codes[at - 1], codes[at]
+def trigram_scores(a: np.ndarray, b: np.ndarray, c: np.ndarray, model: Model) -> np.ndarray:
+    """Log probability of each c after a and b, by the longest n-gram that is known."""
     value, found = _find(model, "p3", _key(a, b, c), 0.0)
     rest = np.flatnonzero(~found)
     value[rest], _ = _find(model, "w3", _key(a[rest], b[rest]), 0.0)
@@ -214,6 +215,17 @@ def log_likelihood(t: W.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
     p1, _ = _find(model, "p1", _key(c[rest]), model.unseen)
     value[rest] += w2 + p1
     value[c == UNKNOWN] -= model.unknown_kinds
+    return value
+
+
+def log_likelihood(t: W.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Summed log probability of each text and the number of its words, end mark included."""
+    codes, ends = coded(t, model.vocabulary)
+    begins = np.r_[0, ends[:-1]]
+    inside = np.ones(len(codes), bool)
+    inside[begins] = inside[begins + 1] = False
+    at = np.flatnonzero(inside)
+    value = trigram_scores(codes[at - 2], codes[at - 1], codes[at], model)
     n = ends - begins - 2
     return np.add.reduceat(value.astype(float), np.cumsum(n) - n) if len(n) else np.zeros(0), n
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaphist.session import new_dir
@@ -13,26 +16,39 @@ from snaphist.session import new_dir
 MAX_BROADCAST_ROWS = 200_000
 
 
-def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` once and read it back. A lost executor then costs a second read only.
-
-    Shuffle files of the writing query are removed as soon as it ends; the table needs them no more.
-    """
-    spark = df.sparkSession
-    path = new_dir(spark, name)
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside remove their shuffle files as soon as they end."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, None)
     spark.conf.set(key, "true")
     try:
-        df.write.option("compression", codec).parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Write ``df`` once and read it back. A lost executor then costs a second read only.
+
+    The shuffle files of the writing query go with its end; the table needs them no more.
+    """
+    spark = df.sparkSession
+    path = new_dir(spark, name)
+    with _shuffles_removed(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fetch(df: DataFrame) -> pa.Table:
+    """All rows of ``df``, whose number something else bounds, on the driver."""
+    with _shuffles_removed(df.sparkSession):
+        return df.toArrow()
+
+
 def small(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Mark a written table for broadcast if it has few rows; otherwise the join shuffles it."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

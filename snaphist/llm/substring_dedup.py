@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaphist.llm import words as W
-from snaphist.llm.store import same, small, table
+from snaphist.llm.store import fetch, same, table
 
 LENGTH = 13
 # Words of the first prefix.
@@ -163,7 +163,7 @@ def suffixes(
 ) -> DataFrame:
     """(key, large, span, doc_id, row_key, start) of the suffixes with a repeated prefix."""
     if repeated.limit(max_broadcast + 1).count() <= max_broadcast:
-        known = repeated.select("key", (F.col("n") > group_rows).alias("large")).toArrow()
+        known = fetch(repeated.select("key", (F.col("n") > group_rows).alias("large")))
         keys, large = known["key"].to_numpy().view(np.uint64), known["large"].to_numpy()
         order = np.argsort(keys)
         shared = docs.sparkSession.sparkContext.broadcast((keys[order], large[order]))
