@@ -8,6 +8,7 @@ functions run, row by row: there is no shuffle.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -87,11 +88,20 @@ FORMS = [
 
 @dataclass(frozen=True)
 class Rule:
-    """A detection of ``label`` wherever ``pattern`` fits whole words of a text with ``keyword``."""
+    """A detection of ``label`` wherever ``pattern`` fits whole words of a text with ``keyword``.
+
+    ``probe`` is an expression that fits wherever ``pattern`` does; rules may share it.
+    """
 
     label: str
     keyword: str
     pattern: str
+    probe: str = ""
+
+    def anchor(self) -> str:
+        """What any text that the rule fits contains, as rare as possible."""
+        spelled = "licen[cs]e" in self.pattern or re.search(r"(^| )license\b", self.pattern)
+        return "licen" if spelled else self.keyword
 
 
 def rules() -> list[Rule]:
@@ -105,8 +115,8 @@ def rules() -> list[Rule]:
             for v in versions:
                 number = v.removesuffix(" 0") if v.endswith(" 0") else v
                 tail = rf"( (version|v))? v?{number}( 0)?"
-                made.append(Rule(f"{label}-{v.replace(' ', '.')}", keyword, form.format(name) + tail))
-        made += [Rule(label, keyword, form.format(name)) for label, keyword, name, _ in FAMILIES]
+                made.append(Rule(f"{label}-{v.replace(' ', '.')}", keyword, form.format(name) + tail, name))
+        made += [Rule(label, keyword, form.format(name), name) for label, keyword, name, _ in FAMILIES]
     return [Rule(*t) for t in TEXTS] + made
 
 
@@ -144,13 +154,24 @@ def _pattern(inner: str) -> str:
 
 
 def _rule_table(made: list[Rule]) -> Column:
+    """Rules by what gates them: (keyword, probe, rules (rank, label, pattern))."""
+    gated: dict[tuple[str, str], list[Column]] = {}
+    for i, r in enumerate(made):
+        gated.setdefault((r.keyword, r.probe), []).append(
+            F.struct(
+                F.lit(i).alias("rank"),
+                F.lit(r.label).alias("label"),
+                F.lit(_pattern(r.pattern)).alias("pattern"),
+            )
+        )
     return F.array(
         *[
             F.struct(
-                F.lit(i).alias("rank"), F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"),
-                F.lit(_pattern(r.pattern)).alias("pattern"),
+                F.lit(f" {keyword}").alias("keyword"),
+                F.lit(f" (?:{probe})").alias("probe"),
+                F.array(*listed).alias("rules"),
             )
-            for i, r in enumerate(made)
+            for (keyword, probe), listed in gated.items()
         ]
     )
 
@@ -165,9 +186,9 @@ def detect(docs: DataFrame, made: list[Rule] | None = None) -> DataFrame:
     each. Other columns, whatever their names, are ignored. An empty table gives no rows.
     """
     made = rules() if made is None else made
-    keywords = sorted({r.keyword for r in made} | set(PHRASES))
-    # A keyword that contains another is covered by it.
-    stems = [k for k in keywords if not any(o != k and o in k for o in keywords)]
+    # Most names include the word itself, and keywords such as a common word are tried after it only.
+    stems = sorted({r.anchor() for r in made} | {Rule(label, p, p).anchor() for p, label in PHRASES.items()})
+    stems = [k for k in stems if not any(o != k and f" {k}".startswith(f" {o}") for o in stems)]
     words = F.col("_words")
     gate = F.lit(False)
     for stem in stems:
@@ -185,13 +206,19 @@ def detect(docs: DataFrame, made: list[Rule] | None = None) -> DataFrame:
         return F.when(F.contains(words, F.lit(f" {phrase}")), named).otherwise(none)
 
     base = F.concat(*[base_of(p, label) for p, label in PHRASES.items()])
-    gated = F.filter(_rule_table(made), lambda r: F.contains(words, F.concat(F.lit(" "), r.keyword)))
+    gated = F.filter(
+        _rule_table(made),
+        lambda g: F.contains(words, g.keyword) & F.regexp_like(words, g.probe),
+    )
     found = F.flatten(
         F.transform(
-            gated,
+            F.flatten(F.transform(gated, lambda g: g.rules)),
             lambda r: F.transform(
                 places(words, r.pattern),
-                lambda x: F.struct(r["rank"].alias("rank"), r.label.alias("label"), x.start.alias("start"), x.stop.alias("stop")),
+                lambda x: F.struct(
+                    r["rank"].alias("rank"), r.label.alias("label"),
+                    x.start.alias("start"), x.stop.alias("stop"),
+                ),
             ),
         )
     )
