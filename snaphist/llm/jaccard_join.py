@@ -1,18 +1,17 @@
 """N-gram Jaccard join as a blocked sparse product of document and n-gram incidence.
 
-The n-gram columns are hashed into blocks. Two sets that meet the similarity bound differ in at most so
-many n-grams as their sizes allow; with one more block than that, some block of both is the
-same. Documents that share a block (within a range of sizes) are therefore gathered, and only among them
-the incidence rows are multiplied, block of columns by block of columns: overlap counts add up,
-and pairs whose count cannot reach the size-derived bound any more are discarded. Equal sets count
-once. No pair of documents ever becomes a row: a task returns a spanning forest of its links.
+The columns, n-grams, are put in one order, rare ones first. Two sets that meet the similarity bound share one
+of the first few columns of each, as many as their sizes allow; documents that share none of those
+are discarded unseen. The others are gathered, and only among them the incidence rows are multiplied,
+block of columns by block of columns: overlap counts add up, and pairs whose count cannot reach the
+size-derived bound any more are discarded. Equal sets count once. No pair of documents ever
+becomes a row: a task returns a spanning forest of its links.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +20,21 @@ from pyspark.sql import functions as F
 
 from snaphist.llm import words as W
 from snaphist.llm.graph import components
-from snaphist.llm.store import same, small, table
+from snaphist.llm.store import fetch, same, small, table
 
 # Bounds of one task's product.
 BLOCK_DOCS = 1024
-BLOCK_NGRAMS = 1 << 18
+BLOCK_NGRAMS = 1 << 20
 COLUMNS = 1024
 
-# Repeated partitions for sets with too many empty blocks; the last level is for what is left.
-LEVELS = 8
+# A column met at least so often among the first ones is frequent and goes to the end of the order.
+FREQUENT = 3
+# Frequent columns known to the tasks, the most frequent ones. Any order gives the same links, so
+# this bounds what is broadcast and nothing else.
+MAX_FREQUENT = 2_000_000
+
+# Digests of sets that a task remembers, to pass over equal sets.
+MAX_SEEN = 1_000_000
 
 _SETS = "doc_id long, n long, d1 long, d2 long"
 
@@ -57,91 +62,41 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
-class Bands:
-    """Ranges of set sizes and the number of column blocks that each needs.
+def first_columns(
+    sets: list[np.ndarray], num: int, den: int, frequent: np.ndarray, wide: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """(columns, how many of each set): the first columns of each set, frequent ones last.
 
-    A set and any other similar enough lie in one band or in two neighbouring ones, so group i holds bands i
-    and i + 1, and each set is in two groups.
+    A set of n shares ``ceil(num * n / den)`` columns at least with any that meets the bound, so the first
+    ``n - ceil(num * n / den) + 1`` of both, in whatever common order, have one in common.
+    ``wide`` takes half as many more, to learn which columns are frequent.
     """
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den = num, den
-        self.edges = [1, 2]
-
-    def group(self, i: int) -> tuple[int, int]:
-        """(blocks, empty blocks that a set may have) of group i; no blocks if equal sets alone fit."""
-        while len(self.edges) < i + 3:
-            self.edges.append(self.edges[-1] * self.den // self.num + 1)
-        low, high = self.edges[i], self.edges[i + 2] - 1
-        differ = 2 * high * (self.den - self.num) // (self.den + self.num)
-        if differ == 0:
-            return 0, 0
-        spare = 0
-        for _ in range(4):
-            mean = (differ + 1 + spare) * np.exp(-low / (differ + 1 + spare))
-            spare = 0 if mean < 0.2 else int(np.ceil(mean + 2 * np.sqrt(mean)))
-        return differ + 1 + spare, spare
-
-    def of(self, size: int) -> int:
-        while self.edges[-1] <= size:
-            self.edges.append(self.edges[-1] * self.den // self.num + 1)
-        return int(np.searchsorted(self.edges, size, side="right")) - 1
-
-
-@lru_cache(maxsize=4)
-def bands(num: int, den: int) -> Bands:
-    return Bands(num, den)
-
-
-def keys_of(sets: list[np.ndarray], num: int, den: int) -> list[np.ndarray]:
-    """Keys of each set's column blocks. Sets that meet the bound, unless equal, share one.
-
-    Blocks empty in a set give no key. A set with more of them than its group allows takes part in a
-    second partition of the columns, and so on: a pair is missed only where both sets have too many.
-    """
-    ladder = bands(num, den)
-    keys: list[list[np.ndarray]] = [[] for _ in sets]
-    todo = [
-        (i, g, 0) for i, s in enumerate(sets) if len(s) for b in [ladder.of(len(s))] for g in (b - 1, b) if g >= 0
-    ]
-    while todo:
-        shape = [ladder.group(g) for _, g, _ in todo]
-        blocks = np.array([b for b, _ in shape], np.int64)
-        base = np.cumsum(blocks) - blocks
-        live = [j for j in range(len(todo)) if blocks[j]]
-        if not live:
-            break
-        size = np.array([len(sets[todo[j][0]]) for j in live])
-        grams = np.concatenate([sets[todo[j][0]] for j in live])
-        salt = np.array([(todo[j][1] << 8) | todo[j][2] for j in live], np.uint64)
-        mixed = W.mix(grams ^ np.repeat(W.mix(salt + np.uint64(1)), size))
-        cell = np.repeat(base[live], size) + (
-            (mixed >> np.uint64(20)) % np.repeat(blocks[live], size).astype(np.uint64)
-        ).astype(np.int64)
-        value = W.mix(mixed + np.uint64(12345))
-        cells = int(blocks.sum())
-        # Halves of 32 bits add up exactly in floating point.
-        low = np.bincount(cell, (value & np.uint64(0xFFFFFFFF)).astype(float), cells).astype(np.uint64)
-        high = np.bincount(cell, (value >> np.uint64(32)).astype(float), cells).astype(np.uint64)
-        count = np.bincount(cell, minlength=cells)
-        again = []
-        for j, mark in zip(live, salt):
-            i, group, level = todo[j]
-            own = slice(base[j], base[j] + blocks[j])
-            full = np.flatnonzero(count[own])
-            name = W.mix(np.full(len(full), mark, np.uint64) * W._STEP + full.astype(np.uint64))
-            keys[i].append(W.mix(W.mix(low[own][full] ^ name) * W._STEP ^ high[own][full]))
-            if blocks[j] - len(full) > shape[j][1]:
-                if level + 1 < LEVELS:
-                    again.append((i, group, level + 1))
-                else:
-                    keys[i].append(W.mix(np.array([mark], np.uint64)))
-        todo = again
-    return [np.concatenate([np.zeros(0, np.uint64), *k]) for k in keys]
-
-
-def incidence(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataFrame:
-    """(doc_id, n, d1, d2, keys) of each row: set size, set digest and block keys."""
+    size = np.array([len(s) for s in sets], np.int64)
+    grams = np.concatenate([np.zeros(0, np.uint64), *sets])
+    want = np.where(size > 0, size - -(-num * size // den) + 1, 0)
+    if wide:
+        want = np.minimum(size, want + want // 2 + 8)
+    last = np.zeros(len(grams), bool)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
+        last = frequent[at] == grams
+    ends = np.cumsum(size)
+    begins = ends - size
+
+    def rank(marked: np.ndarray) -> np.ndarray:
+        count = np.cumsum(marked)
+        before = np.concatenate([[0], count])[begins]
+        return count - 1 - np.repeat(before, size)
+
+    rare = np.add.reduceat(np.append(~last, False).astype(np.int64), begins) if len(sets) else size
+    rare = np.where(size > 0, rare, 0)
+    place = np.where(last, np.repeat(rare, size) + rank(last), rank(~last))
+    taken = place < np.repeat(want, size)
+    return grams[taken], want
+
+
+def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
+    """(doc_id, n, d1, d2) of each row: set size and set digest."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,30 +109,51 @@ def incidence(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataF
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(d1, pa.int64()),
                         pa.array(d2, pa.int64()),
-                        pa.array([x.tobytes() for x in keys_of(sets, num, den)], pa.binary()),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "keys"],
+                    names=["doc_id", "n", "d1", "d2"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return table(rows.mapInArrow(read, _SETS + ", keys binary"), "sets")
+    return table(rows.mapInArrow(read, _SETS), "sets")
 
 
-def _clusters(classes: DataFrame) -> DataFrame:
-    """(node, root): classes linked through shared column blocks."""
+def _columns(docs, k, lower, num, den, frequent, wide) -> DataFrame:
+    """(key, node): first columns of each set; a node is the first half of the set's digest."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            blobs = batch.column(1).to_pylist()
-            key = np.frombuffer(b"".join(blobs), np.int64)
-            owner = np.repeat(batch.column(0).to_numpy(), [len(b) // 8 for b in blobs])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(owner)], names=["key", "id"])
+            for part in W.slices(batch, "text"):
+                new: dict[tuple[int, int], np.ndarray] = {}
+                for s in sets_of(W.texts(part.column(0), lower), k):
+                    name = digest(s)
+                    if name not in seen and len(s):
+                        new[name] = s
+                if len(seen) > MAX_SEEN:
+                    seen.clear()
+                seen.update(new)
+                columns, n = first_columns(list(new.values()), num, den, shared.value, wide)
+                nodes = np.repeat(np.array([d for d, _ in new], np.int64), n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(W.signed(columns)), pa.array(nodes)], names=["key", "node"]
+                )
+
+    return docs.select("text").mapInArrow(read, "key long, node long")
 
-    keys = classes.select("id", "keys").mapInArrow(unfold, "key long, id long")
+
+def _clusters(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataFrame:
+    """(node, root): nodes linked through shared first columns."""
+    none = np.zeros(0, np.uint64)
+    counted = _columns(docs, k, lower, num, den, none, True).groupBy("key").agg(F.count("*").alias("n"))
+    often = table(counted.where(F.col("n") >= FREQUENT), "frequent")
+    top = fetch(often.orderBy(F.desc("n"), "key").limit(MAX_FREQUENT).select("key"))
+    frequent = np.sort(top["key"].to_numpy().view(np.uint64))
+    keys = _columns(docs, k, lower, num, den, frequent, False)
     # The frame grows from the first row, so nothing of a key's rows is held in memory.
-    order = Window.partitionBy("key").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = keys.withColumn("root", F.first("id").over(order)).where("root < id")
-    return components(edges.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    order = Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = keys.withColumn("root", F.first("node").over(order)).where("root < node")
+    return components(edges.select(F.col("node").alias("a"), F.col("root").alias("b")))
 
 
 def linked(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
@@ -217,15 +193,19 @@ def linked(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return label
 
 
-def _links(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) among the classes of each cluster, from products of pairs of row blocks."""
-    order = Window.partitionBy("cluster").orderBy("id")
-    blocked = members.withColumn(
-        "block",
-        F.floor(F.sum("n").over(order) / F.lit(BLOCK_NGRAMS))
-        + F.floor((F.row_number().over(order) - 1) / F.lit(BLOCK_DOCS)),
+def _placements(members: DataFrame) -> DataFrame:
+    """(cluster, left, right, id, p1, p2): the products that each class of a cluster takes part in."""
+    order = Window.partitionBy("root").orderBy("id")
+    blocked = table(
+        members.select(
+            F.col("root").alias("cluster"), "id", "d1", "d2",
+            (
+                F.floor(F.sum("n").over(order) / F.lit(BLOCK_NGRAMS))
+                + F.floor((F.row_number().over(order) - 1) / F.lit(BLOCK_DOCS))
+            ).alias("block"),
+        ),
+        "row-blocks",
     )
-    blocked = table(blocked, "row-blocks")
     present = blocked.select("cluster", "block").distinct()
     pairs = (
         present.alias("x")
@@ -238,10 +218,19 @@ def _links(members: DataFrame, num: int, den: int) -> DataFrame:
             F.explode(F.array_distinct(F.array("x.block", "y.block"))).alias("_block"),
         )
     )
+    placed = blocked.join(
+        pairs, (F.col("cluster") == F.col("_cluster")) & (F.col("block") == F.col("_block"))
+    )
+    return table(
+        placed.select("cluster", "left", "right", "id", F.col("d1").alias("p1"), F.col("d2").alias("p2")),
+        "placements",
+    )
+
+
+def _links(grams: DataFrame, placements: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) among the classes of each cluster, from products of pairs of row blocks."""
     rows = (
-        blocked.join(
-            pairs, (F.col("cluster") == F.col("_cluster")) & (F.col("block") == F.col("_block"))
-        )
+        grams.join(small(placements), (F.col("g1") == F.col("p1")) & (F.col("g2") == F.col("p2")))
         .select("cluster", "left", "right", "id", "grams")
         .repartition("cluster", "left", "right")
         .sortWithinPartitions("cluster", "left", "right", "id")
@@ -267,6 +256,8 @@ def _links(members: DataFrame, num: int, den: int) -> DataFrame:
                     if (out := finish()) is not None:
                         yield out
                     current, ids, sets = key, [], []
+                if ids and ids[-1] == r["id"]:
+                    continue  # a row that repeats a doc_id and text
                 ids.append(r["id"])
                 sets.append(np.frombuffer(r["grams"], np.uint64))
         if (out := finish()) is not None:
@@ -287,23 +278,23 @@ def join(
     any other in its component. Repeated rows link like others. Other columns, whatever their
     names, are ignored. An empty table gives no rows.
     """
-    found = incidence(docs, k, lower, num, den)
+    found = incidence(docs, k, lower)
     classes = table(
         found.where("n > 0")
         .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("low"), F.first("n").alias("n"))
         .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    clusters = _clusters(classes)
+    clusters = _clusters(docs, k, lower, num, den)
     nodes = table(
         clusters.unionByName(clusters.select(F.col("root").alias("node"), "root").distinct()), "clusters"
     )
     members = table(
-        classes.select("id", "d1", "d2", "low", "n").join(nodes, F.col("id") == F.col("node")).drop("node"),
+        classes.join(nodes, F.col("d1") == F.col("node")).drop("node"),
         "members",
     )
-    edges = _links(_with_grams(docs, members, k, lower), num, den)
+    edges = _links(_grams(docs, members, k, lower), _placements(members), num, den)
     roots = components(edges)
     of_class = table(
         classes.select("id", "d1", "d2", "low")
@@ -324,8 +315,8 @@ def join(
     )
 
 
-def _with_grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> DataFrame:
-    """(cluster, id, n, grams): the sets of the gathered classes, from one document of each."""
+def _grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> DataFrame:
+    """(g1, g2, grams): set digest and set of the documents that stand for the gathered classes."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,13 +330,7 @@ def _with_grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> Dat
 
     wanted = small(table(members.select(F.col("low").alias("_id")).distinct(), "wanted"))
     rows = same(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, {"doc_id": "_id"}, "inner")
-    grams = rows.select("doc_id", "text").mapInArrow(read, "g1 long, g2 long, grams binary")
-    found = members.join(grams, (F.col("d1") == F.col("g1")) & (F.col("d2") == F.col("g2")))
-    # Rows that repeat a doc_id and text give the same set.
-    one = found.groupBy("id").agg(
-        F.first("root").alias("cluster"), F.first("n").alias("n"), F.first("grams").alias("grams")
-    )
-    return one.select("cluster", "id", "n", "grams")
+    return rows.select("doc_id", "text").mapInArrow(read, "g1 long, g2 long, grams binary")
 
 
 def keep(docs: DataFrame, joined: DataFrame) -> DataFrame:

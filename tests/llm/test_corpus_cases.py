@@ -83,18 +83,22 @@ def test_jaccard_join(spark, k, num, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.sets(st.integers(0, 400), min_size=1, max_size=90), st.data())
-def test_similar_sets_share_a_block(a, data):
-    """No pair that meets the bound lacks a common key, whatever the sizes."""
-    gone = data.draw(st.sets(st.sampled_from(sorted(a)), max_size=max(0, len(a) // 12)))
-    new = data.draw(st.sets(st.integers(1000, 1400), max_size=max(0, len(a) // 12)))
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1, max_size=90), st.sets(st.integers(0, 1400)), st.data())
+def test_similar_sets_share_a_first_column(a, often, data):
+    """No pair that meets the bound lacks a common column, whatever counts as frequent."""
+    gone = data.draw(st.sets(st.sampled_from(sorted(a)), max_size=max(0, len(a) // 8)))
+    new = data.draw(st.sets(st.integers(1000, 1400), max_size=max(0, len(a) // 8)))
     b = (a - gone) | new
-    if a == b or 100 * len(a & b) < 90 * len(a | b):
-        return
     sets = [np.sort(W.mix(np.array(sorted(s), np.uint64))) for s in (a, b)]
-    x, y = jaccard_join.keys_of(sets, 90, 100)
-    assert set(x.tolist()) & set(y.tolist())
+    frequent = np.sort(W.mix(np.array(sorted(often), np.uint64)))
+    for num in (80, 90):
+        columns, n = jaccard_join.first_columns([sets[0], np.zeros(0, np.uint64), sets[1]], num, 100, frequent)
+        assert n[1] == 0 and len(columns) == n.sum()
+        x, y = set(columns[: n[0]].tolist()), set(columns[n[0] :].tolist())
+        assert x <= set(sets[0].tolist()) and y <= set(sets[1].tolist())
+        if 100 * len(a & b) >= num * len(a | b):
+            assert x & y
 
 
 def test_jaccard_join_ties_and_empty(spark):
