@@ -20,7 +20,7 @@ from snaphist.operators.skew import split_hot_keys
 from snaphist.operators.sethash import drop_unnamed, set_digest, set_hash, with_set_hash
 from snaphist.operators.surrogate import surrogate_key
 from snaphist.plans import dims, ingest, report, staging
-from snaphist.session import new_dir, spread
+from snaphist.session import materialize, new_dir, spread
 from snaphist.sources import bronze, documents, tracked, warehouse
 from snaphist.streaming.ingest_stream import ingest_stream
 
@@ -51,6 +51,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, fill: Callable[[str], Non
     return _roots[key]
 
 
+def forget_warehouses() -> None:
+    """Let the next query that needs a warehouse fill it anew."""
+    _roots.clear()
+
+
 # --- histories and dimensions
 
 
@@ -338,11 +343,13 @@ def membership_diff(spark, sf_dir):
 
 def _models(spark, sf_dir) -> dict[str, DataFrame]:
     raw = fixtures.raw_members(spark, sf_dir)
+    # Written once for its tests and for the dimension.
+    staged = materialize(staging.stg_members(raw, "2023"), "stg_members")
     return {
         "raw_members": raw,
-        "stg_members": staging.stg_members(raw, "2023"),
+        "stg_members": staged,
         "dim_group": dims.dim_group(raw),
-        "dim_member": dims.dim_member_latest(raw, "2023"),
+        "dim_member": dims.dim_member_latest(raw, "2023", staged),
     }
 
 

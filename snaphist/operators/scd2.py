@@ -30,6 +30,7 @@ def scd2(
     splits: Splits | None = None,
     runs: DataFrame | None = None,
     scope: Sequence[str] = (),
+    ranged: bool = False,
 ) -> DataFrame:
     """Versions of ``key`` ordered by ``ts``, all columns of ``df`` kept.
 
@@ -41,6 +42,9 @@ def scd2(
     ``runs`` (columns ``scope`` and ``ts``, the times of all snapshots of each scope, such as a group)
     closes the last version of a key at the first run of its scope that no longer lists it, unless the
     key is listed elsewhere by then; without it a key stays current for ever.
+
+    With ``ranged`` the one shuffle deals ranges of keys instead of hashes, so the versions come out in
+    partitions ordered by key.
     """
     columns = [c for c in df.columns if c != "hash_diff"]
     if splits is None:
@@ -49,6 +53,8 @@ def scd2(
     if runs is not None:
         rows = _with_absences(with_part(rows, splits), key, ts, tiebreak, splits, runs, scope)
     rows = with_part(rows, splits)
+    if ranged:
+        rows = rows.repartitionByRange(*[F.col(c).asc_nulls_last() for c in splits.partition])
     if collapse:
         # The attributes themselves are compared, so the hash neither travels through the
         # shuffle nor is computed for rows that merge away.

@@ -13,17 +13,20 @@ from snaphist.session import materialize
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row's place in its task in the low 33 bits
 
 
-def surrogate_key(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+def surrogate_key(
+    df: DataFrame, order_by: Sequence[str], name: str, ranged: bool = False
+) -> DataFrame:
     """Number the rows 1..n by ``order_by``, as a global ROW_NUMBER would, in parallel.
 
     Rows are range partitioned and sorted, so the place of a row within its partition
     plus the size of all partitions before it is its number. The sorted rows are written
     once: counting and numbering then see the very same partitions, and counting reads one
-    column only. ``order_by`` must order the rows totally.
+    column only. ``order_by`` must order the rows totally. ``ranged`` says that the partitions
+    of ``df`` are ranges of that order already, so that they are sorted at most.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
     fixed = materialize(
-        df.repartitionByRange(*order)
+        (df if ranged else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "numbered",

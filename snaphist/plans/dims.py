@@ -85,6 +85,7 @@ def dim_member(
         splits=splits,
         runs=runs,
         scope=() if runs is None else ("group_id", "season"),
+        ranged=True,
     ).select(
         "member_id",
         "full_name",
@@ -103,14 +104,24 @@ def dim_member(
         "is_current",
         "hash_diff",
     )
-    numbered = surrogate_key(versions, ["member_id", "effective_date", "group_id"], "member_sk")
+    # The history comes in ranges of members and in order, so numbering takes no shuffle of its own.
+    numbered = surrogate_key(
+        versions, ["member_id", "effective_date", "group_id"], "member_sk", ranged=True
+    )
     return numbered.withColumn("member_nk", F.col("member_sk")).select(
         *DIM_MEMBER_COLUMNS, stable_key("member_id").alias("member_key")
     )
 
 
-def dim_member_latest(raw: DataFrame, season: str | None = None) -> DataFrame:
-    """The member dimension over the staging model: one version per group a member was in."""
+def dim_member_latest(
+    raw: DataFrame, season: str | None = None, staged: DataFrame | None = None
+) -> DataFrame:
+    """The member dimension over the staging model: one version per group a member was in.
+
+    ``staged`` is the staging model where it is at hand as a table.
+    """
+    if staged is not None:
+        return dim_member(staged, collapse=False)
     staged = stg_members(raw, season)
     # Staging only drops rows, so members are measured on the raw rows, without its shuffle.
     splits = split_hot_keys(

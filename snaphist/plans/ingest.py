@@ -15,7 +15,6 @@ from snaphist.operators.changes import (
     decide_against_state,
     is_stored,
     state_from_log,
-    upsert_state,
 )
 from snaphist.operators.flatten import parse_documents, to_members, with_lineage
 from snaphist.functions.seasons import season_of
@@ -106,7 +105,7 @@ def ingest(
     warehouse.load_members(own_bronze, root, now)
 
     batch = state_from_log(log).withColumn("updated_at", now)
-    warehouse.write_state(upsert_state(state, batch), root, version)
+    warehouse.update_state(batch, root, before, version)
 
     statuses = group_statuses(staged, log, tracked)
     warehouse.write_run(run_summary(statuses, run_id, run_ts, version), root)

@@ -175,6 +175,8 @@ RUNS = StructType(
     ]
 )
 
+STATE_INDEX = StructType([StructField("bucket", INT), StructField("version", BIGINT)])
+
 SETTINGS = StructType([StructField("hash_form", STRING)])
 
 POINTER = StructType([StructField("number", BIGINT), StructField("version", STRING)])

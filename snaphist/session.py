@@ -60,17 +60,21 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it exists, wherever Spark's paths lead."""
+    where, files = _hadoop_path(spark, path)
+    files.delete(where, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables of the application now; no result may still read them."""
-    where, files = _hadoop_path(spark, _scratch_dir(spark))
-    files.delete(where, True)
+    remove_folder(spark, _scratch_dir(spark))
 
 
 def remove_table(df: DataFrame) -> None:
     """Remove a table that ``materialize`` made and that nothing reads any more."""
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        where, files = _hadoop_path(df.sparkSession, folder)
-        files.delete(where, True)
+        remove_folder(df.sparkSession, folder)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

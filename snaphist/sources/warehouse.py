@@ -6,12 +6,25 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaphist.functions.times import utc_now
-from snaphist.operators.changes import GROUP_KEYS, decide_history, is_write
+from snaphist.operators.changes import GROUP_KEYS, decide_history, is_write, upsert_state
 from snaphist.operators.sethash import DIGEST, LISTED, hash_sets
 from snaphist.operators.skew import match_keys
-from snaphist.schemas import CHANGE_LOG, POINTER, RAW_MEMBERS, RUNS, SETTINGS, STATE, to_schema
+from snaphist.schemas import (
+    CHANGE_LOG,
+    POINTER,
+    RAW_MEMBERS,
+    RUNS,
+    SETTINGS,
+    STATE,
+    STATE_INDEX,
+    to_schema,
+)
+from snaphist.session import remove_folder
 from snaphist.sources.tables import read_table, write_partitions
 
+# Part of the layout of a warehouse.
+STATE_BUCKETS = 64
+
 
 def aligned(df: DataFrame, load_ts: Column | None = None) -> DataFrame:
     """Rows conformed to the raw table: known columns kept, absent ones NULL, load time filled in."""
@@ -45,13 +58,67 @@ def _state_path(root: str, version: int) -> str:
     return f"{root}/state/version={version:012d}"
 
 
-def write_state(rows: DataFrame, root: str, version: int) -> None:
-    """Write one full state version; readers see it once a run names it."""
-    to_schema(rows, STATE).write.mode("overwrite").parquet(_state_path(root, version))
+def _index_path(root: str, version: int) -> str:
+    return f"{root}/state_index/version={version:012d}"
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("group_id", "season"), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def _read_index(spark: SparkSession, root: str, version: int) -> dict[int, int]:
+    """Which version holds each bucket of a state version: at most one row per bucket."""
+    rows = read_table(spark, _index_path(root, version), STATE_INDEX).collect()
+    return {r["bucket"]: r["version"] for r in rows}
+
+
+def _read_buckets(spark: SparkSession, root: str, held: dict[int, int]) -> DataFrame:
+    if not held:
+        return spark.createDataFrame([], STATE)
+    folders = [f"{_state_path(root, v)}/bucket={b}" for b, v in sorted(held.items())]
+    return spark.read.schema(STATE).parquet(*folders)
+
+
+def update_state(batch: DataFrame, root: str, before: int, version: int) -> None:
+    """Write state ``version``: that of ``before`` with the rows of ``batch`` upserted.
+
+    State lies in a fixed number of hash buckets and only those that the batch touches are read and
+    written; an index names the version of each bucket. Readers see it once a run names the version.
+    """
+    spark = batch.sparkSession
+    batch = batch.withColumn("bucket", _bucket())
+    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
+    held = _read_index(spark, root, before)
+    old = _read_buckets(spark, root, {b: held[b] for b in touched if b in held})
+    rows = upsert_state(old, batch.drop("bucket"))
+    to_schema(rows, STATE).withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy(
+        "bucket"
+    ).parquet(_state_path(root, version))
+    index = held | dict.fromkeys(touched, version)
+    spark.createDataFrame(sorted(index.items()), STATE_INDEX).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(_index_path(root, version))
 
 
 def read_state_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return read_table(spark, _state_path(root, version), STATE)
+    return _read_buckets(spark, root, _read_index(spark, root, version))
+
+
+def drop_old_states(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove what only state versions before the last ``keep`` committed ones read.
+
+    Runs up to there cannot be repeated afterwards.
+    """
+    versions = [r[0] for r in read_runs(spark, root).select("state_version").distinct().collect()]
+    kept = sorted(versions)[-keep:]
+    needed = {(b, v) for k in kept for b, v in _read_index(spark, root, k).items()}
+    for version in range(1, max(kept, default=0)):
+        if version in kept:
+            continue
+        remove_folder(spark, _index_path(root, version))
+        for bucket in range(STATE_BUCKETS):
+            if (bucket, version) not in needed:
+                remove_folder(spark, f"{_state_path(root, version)}/bucket={bucket}")
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,7 +211,7 @@ def test_unreadable_paths_become_statuses(spark, root, tmp_path):
     bad = landing / "season=20252026" / "group=BBB" / "run=bad"
     bad.mkdir(parents=True)
     (bad / "doc.json").write_text(document("Cy"))
-    stray = landing / "season=2025" / "group=%zz" / "run=20240101T000000"
+    stray = landing / "season=2025" / "run=20240101T000000"
     stray.mkdir(parents=True)
     (stray / "doc.json").write_text(document("Di"))
     statuses = plan_ingest.ingest(read_documents(spark, str(landing)), root, "r", at(2))
@@ -234,9 +235,10 @@ def test_half_read_group_writes_nothing(spark, landing, root):
 def test_form_of_hash_is_fixed_by_the_first_run(spark, landing, root):
     run(spark, root, landing, 1, hash_form="digest")
     run(spark, root, landing, 2)
+    run(spark, root, landing, 3)
     assert warehouse.hash_form(spark, root) == "digest"
     decisions = rows(warehouse.read_log(spark, root), "run_ts", "group_id", "decision")
-    assert (at(2), "AAA", "unchanged") in decisions and (at(2), "BBB", "changed") in decisions
+    assert (at(2), "BBB", "changed") in decisions and (at(3), "BBB", "unchanged") in decisions
     with pytest.raises(ValueError):
         run(spark, root, landing, 3, hash_form="listed")
 
@@ -338,3 +340,42 @@ def test_state_rebuilt_from_manifests(spark, two_runs):
     state = warehouse.read_state(spark, two_runs)
     rebuilt = bronze.state_of(bronze.read_manifest(spark, two_runs))
     assert same(rebuilt, state)
+
+
+def test_state_is_written_by_touched_buckets(spark, landing, root):
+    for day in (1, 2, 3):
+        run(spark, root, landing, day)
+    state = contents(spark, root)["state"]
+    written = [d.name for d in Path(root, "state").glob("version=*3/bucket=*")]
+    assert len(written) <= 2
+    warehouse.drop_old_states(spark, root)
+    assert contents(spark, root)["state"] == state
+    run(spark, root, landing, 3)
+    assert contents(spark, root)["state"] == state
+    assert len(list(Path(root, "state_index").glob("version=*"))) == 2
+
+
+def test_scratch_folders(spark, tmp_path):
+    from snaphist import session
+
+    table = session.materialize(spark.range(3), "three")
+    folder = Path(table.inputFiles()[0].split(":", 1)[1]).parent
+    session.remove_table(table)
+    assert not folder.exists()
+
+    class Context:
+        applicationId = "app"
+        def __init__(self, master, given=None): self.master, self.given = master, given
+        def getCheckpointDir(self): return self.given
+
+    class Session:
+        def __init__(self, master, named=None, given=None):
+            self.sparkContext, self.named = Context(master, given), named
+            self.conf = self
+        def get(self, key, default): return self.named
+
+    assert session.shared_dir(Session("yarn", "hdfs://a/b/")) == "hdfs://a/b"
+    assert session.shared_dir(Session("yarn", "file:/a/b", "file:/a/b/uuid")) == "file:/a/b"
+    assert session.shared_dir(Session("yarn", "hdfs://a/b", "hdfs://other/c")) == "hdfs://other/c"
+    with pytest.raises(ValueError):
+        session.shared_dir(Session("local-cluster[3,2,1000]"))

@@ -3,7 +3,10 @@ from pyspark.sql import functions as F
 
 from snaphist import fixtures
 from snaphist.operators.latest import latest_per_key
+from snaphist.operators.scd2 import scd2
+from snaphist.operators.skew import no_splits
 from snaphist.operators.surrogate import surrogate_key
+from snaphist.plans import staging
 from tests.helpers import plan, rows, same
 
 
@@ -40,3 +43,15 @@ def test_latest_per_key_limits_before_the_shuffle(spark, sf_dir):
 def test_latest_puts_missing_times_last(spark):
     df = spark.createDataFrame([("k", None, 1), ("k", 5, 2), ("n", None, 3)], "k STRING, ts INT, v INT")
     assert rows(latest_per_key(df, ["k"], "ts")) == [("k", 5, 2), ("n", None, 3)]
+
+
+def test_history_and_numbering_share_one_exchange(spark):
+    raw = fixtures.raw_members(spark, "/root/testdata/sf0.001")
+    staged = staging.stage_rows(raw, "2023")
+    splits = no_splits(["member_id"], "run_ts")
+    ranged = scd2(staged, "member_id", "run_ts", ["group_id"], tiebreak=["group_id"], splits=splits, ranged=True)
+    order = ["member_id", "effective_date", "group_id"]
+    shown = plan(ranged.sortWithinPartitions(*order))
+    assert shown.count("Exchange") == 1 and "rangepartitioning" in shown
+    plain = scd2(staged, "member_id", "run_ts", ["group_id"], tiebreak=["group_id"], splits=splits)
+    assert same(ranged, plain)
