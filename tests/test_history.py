@@ -261,3 +261,47 @@ def test_shuffled_members_used(spark):
         (g, "2025", len({m for m, _, h, _ in data if h == g})) for g in {d[2] for d in data}
     )
     assert rows(temporal.members_used(df)) == want
+
+
+def tied(seed: int):
+    """Rows of few times, some without time or tiebreak, most of one member or of none."""
+    draw = random.Random(seed)
+    out = []
+    for i in range(120):
+        member = draw.choice(["h", "h", "h", None, f"m{draw.randrange(5)}"])
+        ts = draw.choice([None, at(1), at(1), at(2), at(3)])
+        out.append((member, ts, draw.choice(["a", "b"]), draw.choice(["1", "2", None]), i if i != 7 * seed else None))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ties_and_nulls_split_like_plain_windows(spark, seed):
+    df = spark.createDataFrame(tied(seed), SCHEMA + ", n INT")
+    split = split_hot_keys(df, ["member"], "ts", rows_per_part=4, tiebreak=["n"])
+    plain = no_splits(["member"], "ts")
+    parts = with_part(df.where("member = 'h' AND ts IS NOT NULL"), split).groupBy("ts").agg(F.count_distinct(PART).alias("k"))
+    assert parts.agg(F.max("k")).first()[0] > 1  # rows of one time lie in several parts
+    for collapse in (True, False):
+        history = [scd2(df, "member", "ts", ["group_id"], collapse=collapse, tiebreak=["n"], splits=s) for s in (plain, split)]
+        assert same(*history)
+    changes = [temporal.attribute_changes(df, "member", "ts", ["group_id", "number"], tiebreak=["n"], splits=s) for s in (plain, split)]
+    assert same(*changes)
+    versions = scd2(df.where("ts IS NOT NULL AND member IS NOT NULL").dropDuplicates(["member", "ts"]), "member", "ts", ["group_id"])
+    versions = versions.select("member", F.col("group_id").alias("v"), "effective_date", "end_date")
+    facts = df.select("member", "ts", "n")
+    by_time = split_hot_keys(facts, ["member"], "ts", rows_per_part=4)
+    for how in ("inner", "left"):
+        joined = [temporal.as_of_join(facts, versions, "member", "ts", how=how, splits=s) for s in (plain, by_time)]
+        assert same(*joined)
+        assert joined[0].where("member IS NULL AND v IS NOT NULL").isEmpty()
+        if how == "left":
+            assert joined[0].count() == facts.count()
+
+
+def test_closing_looks_at_the_group_alone(spark):
+    """B is stored once and unchanged after; only A's members can leave at A's next stored run."""
+    data = [("x", at(1), "A"), ("y", at(1), "A"), ("z", at(1), "B"), ("x", at(2), "A"), ("w", at(3), "C")]
+    df = spark.createDataFrame(data, "member STRING, ts TIMESTAMP_NTZ, group_id STRING")
+    out = scd2(df, "member", "ts", ["group_id"], runs=df.select("group_id", "ts"), scope=["group_id"])
+    assert rows(out, "member", "is_current") == [("w", True), ("x", True), ("y", False), ("z", True)]
+    assert "SinglePartition" not in plan(out)
