@@ -27,11 +27,9 @@ BLOCK_DOCS = 1024
 BLOCK_NGRAMS = 1 << 20
 COLUMNS = 1024
 
-# A column met at least so often among the first ones is frequent and goes to the end of the order.
-FREQUENT = 3
-# Frequent columns known to the tasks, the most frequent ones. Any order gives the same links, so
-# this bounds what is broadcast and nothing else.
-MAX_FREQUENT = 2_000_000
+# Columns met in several sets that are known to the tasks, the most frequent ones. Any order gives the same
+# links, so this bounds what is broadcast and nothing else.
+MAX_KNOWN = 4_000_000
 
 # Digests of sets that a task remembers, to pass over equal sets.
 MAX_SEEN = 1_000_000
@@ -62,37 +60,40 @@ def digest(grams: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
+def counted_share(num: int, den: int) -> float:
+    """Share of all columns, by hash, whose frequency is counted: well above what is taken of a set."""
+    return min(1.0, 2.5 * (den - num) / den)
+
+
+def _below(share: float) -> np.uint64:
+    return np.uint64(min(2**64 - 1, int(share * 2**64)))
+
+
 def first_columns(
-    sets: list[np.ndarray], num: int, den: int, frequent: np.ndarray, wide: bool = False
+    sets: list[np.ndarray], num: int, den: int, known: tuple[np.ndarray, np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(columns, how many of each set): the first columns of each set, frequent ones last.
+    """(columns, how many of each set): the first columns of each set in the common order.
 
     A set of n shares ``ceil(num * n / den)`` columns at least with any that meets the bound, so the first
-    ``n - ceil(num * n / den) + 1`` of both, in whatever common order, have one in common.
-    ``wide`` takes half as many more, to learn which columns are frequent.
+    ``n - ceil(num * n / den) + 1`` of both, in whatever common order, have one in common. The order is:
+    counted columns before others, rare before frequent by ``known`` (sorted columns and the power
+    of two of their frequency; all others are met once), then by hash.
     """
     size = np.array([len(s) for s in sets], np.int64)
     grams = np.concatenate([np.zeros(0, np.uint64), *sets])
     want = np.where(size > 0, size - -(-num * size // den) + 1, 0)
-    if wide:
-        want = np.minimum(size, want + want // 2 + 8)
-    last = np.zeros(len(grams), bool)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        last = frequent[at] == grams
-    ends = np.cumsum(size)
-    begins = ends - size
-
-    def rank(marked: np.ndarray) -> np.ndarray:
-        count = np.cumsum(marked)
-        before = np.concatenate([[0], count])[begins]
-        return count - 1 - np.repeat(before, size)
-
-    rare = np.add.reduceat(np.append(~last, False).astype(np.int64), begins) if len(sets) else size
-    rare = np.where(size > 0, rare, 0)
-    place = np.where(last, np.repeat(rare, size) + rank(last), rank(~last))
-    taken = place < np.repeat(want, size)
-    return grams[taken], want
+    level = np.zeros(len(grams), np.uint8)
+    columns, power = known
+    if len(columns):
+        at = np.minimum(np.searchsorted(columns, grams), len(columns) - 1)
+        hit = columns[at] == grams
+        level[hit] = power[at[hit]]
+    level[grams >= _below(counted_share(num, den))] = 255
+    owner = np.repeat(np.arange(len(sets)), size)
+    # Sets are sorted by hash, and the sort is stable.
+    order = np.lexsort((level, owner))
+    place = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
+    return grams[order][place < np.repeat(want, size)], want
 
 
 def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
@@ -117,12 +118,16 @@ def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
     return table(rows.mapInArrow(read, _SETS), "sets")
 
 
-def _columns(docs, k, lower, num, den, frequent, wide) -> DataFrame:
-    """(key, node): first columns of each set; a node is the first half of the set's digest."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
+    """(key, node): first columns of each set; a node is the first half of the set's digest.
+
+    Without ``known``, all columns whose frequency is counted.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
+        limit = _below(counted_share(num, den))
         for batch in batches:
             for part in W.slices(batch, "text"):
                 new: dict[tuple[int, int], np.ndarray] = {}
@@ -133,7 +138,12 @@ def _columns(docs, k, lower, num, den, frequent, wide) -> DataFrame:
                 if len(seen) > MAX_SEEN:
                     seen.clear()
                 seen.update(new)
-                columns, n = first_columns(list(new.values()), num, den, shared.value, wide)
+                if shared.value is None:
+                    parts = [s[: np.searchsorted(s, limit)] for s in new.values()]
+                    n = [len(x) for x in parts]
+                    columns = np.concatenate([np.zeros(0, np.uint64), *parts])
+                else:
+                    columns, n = first_columns(list(new.values()), num, den, shared.value)
                 nodes = np.repeat(np.array([d for d, _ in new], np.int64), n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(W.signed(columns)), pa.array(nodes)], names=["key", "node"]
@@ -144,12 +154,16 @@ def _columns(docs, k, lower, num, den, frequent, wide) -> DataFrame:
 
 def _clusters(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataFrame:
     """(node, root): nodes linked through shared first columns."""
-    none = np.zeros(0, np.uint64)
-    counted = _columns(docs, k, lower, num, den, none, True).groupBy("key").agg(F.count("*").alias("n"))
-    often = table(counted.where(F.col("n") >= FREQUENT), "frequent")
-    top = fetch(often.orderBy(F.desc("n"), "key").limit(MAX_FREQUENT).select("key"))
-    frequent = np.sort(top["key"].to_numpy().view(np.uint64))
-    keys = _columns(docs, k, lower, num, den, frequent, False)
+    counted = _columns(docs, k, lower, num, den).groupBy("key").agg(F.count("*").alias("n"))
+    often = table(counted.where("n > 1"), "frequent")
+    top = fetch(
+        often.orderBy(F.desc("n"), "key")
+        .limit(MAX_KNOWN)
+        .select("key", F.floor(F.log2("n")).cast("byte").alias("power"))
+    )
+    columns, power = top["key"].to_numpy().view(np.uint64), top["power"].to_numpy().astype(np.uint8)
+    order = np.argsort(columns)
+    keys = _columns(docs, k, lower, num, den, (columns[order], power[order]))
     # The frame grows from the first row, so nothing of a key's rows is held in memory.
     order = Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edges = keys.withColumn("root", F.first("node").over(order)).where("root < node")

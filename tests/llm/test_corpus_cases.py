@@ -91,9 +91,10 @@ def test_similar_sets_share_a_first_column(a, often, data):
     new = data.draw(st.sets(st.integers(1000, 1400), max_size=max(0, len(a) // 8)))
     b = (a - gone) | new
     sets = [np.sort(W.mix(np.array(sorted(s), np.uint64))) for s in (a, b)]
-    frequent = np.sort(W.mix(np.array(sorted(often), np.uint64)))
+    columns = np.sort(W.mix(np.array(sorted(often), np.uint64)))
+    known = columns, (columns % np.uint64(5)).astype(np.uint8)
     for num in (80, 90):
-        columns, n = jaccard_join.first_columns([sets[0], np.zeros(0, np.uint64), sets[1]], num, 100, frequent)
+        columns, n = jaccard_join.first_columns([sets[0], np.zeros(0, np.uint64), sets[1]], num, 100, known)
         assert n[1] == 0 and len(columns) == n.sum()
         x, y = set(columns[: n[0]].tolist()), set(columns[n[0] :].tolist())
         assert x <= set(sets[0].tolist()) and y <= set(sets[1].tolist())
