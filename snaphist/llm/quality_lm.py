@@ -1,46 +1,78 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
-The model is trained on a bounded sample of one half of the trusted documents: its counts,
-continuation counts and interpolated probabilities are Spark aggregates and joins, hash-sharded by n-gram.
-The finished tables are bounded by the sample; they reach the tasks in shards, and each batch of
-documents is joined to one shard after the other. The other half of the trusted documents, all of it, sets a
-perplexity limit per language.
+The model is trained on one half of the trusted documents, all of it. Its counts are tables of sorted n-grams, packed
+and hash-sharded: trigrams by their first two words, bigrams by both. Scoring deals the trigrams of the documents, packed per
+slice of texts, to the trigram shards and from there to the bigram shards, each next to the counts it asks for; only
+sums per document come out. What belongs to single words reaches all tasks. The other half of the trusted documents,
+all of it, sets a perplexity limit per language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from snaphist.llm import words as W
 from snaphist.llm.store import fetch, small, table
 
-# Trusted documents the model is trained on, at most.
-MAX_TRAINING_DOCS = 2000
 # Share of trusted documents whose perplexity is within their language's limit.
 QUANTILE = 0.998
 # Words seen less often in the sample count as unknown.
 MIN_COUNT = 2
-SHARDS = 8
+# Words of training text per shard, and shards at least.
+SHARD_WORDS = 1 << 20
+MIN_SHARDS = 24
+# Documents are scored in so many rounds, which bounds the shuffle files that exist at once.
+ROUNDS = 4
+# Trigrams gathered in a task before they are dealt on.
+CHUNK = 1 << 20
 
 UNKNOWN, BEGIN, END = (np.uint64(i) for i in (1, 2, 3))
+_FIRST = 4
+
+_PACKED = "shard int, kind int, n int, blob binary, docs binary"
+_COUNTS, _ASKED = 0, 1
 
 
 @dataclass
 class Model:
-    """Sorted vocabulary, and per shard the sorted keys and log values of each table."""
+    """Sorted word hashes, word i having code i + 4, what belongs to single codes, and the tables of counts."""
 
-    vocabulary: np.ndarray
-    shards: list[dict[str, tuple[np.ndarray, np.ndarray]]]
-    unseen: float
+    hashes: np.ndarray
     # Log of the number of words that share the unknown word's probability.
     unknown_kinds: float
+    shards: int = MIN_SHARDS
+    # Probability by code, and of a code after any: weight of it, and sum of bigram counts.
+    p1: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    w2: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    all2: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    d2: tuple[float, ...] = ()
+    d3: tuple[float, ...] = ()
+
+    @property
+    def vocabulary(self) -> np.ndarray:
+        return np.arange(_FIRST, _FIRST + len(self.hashes), dtype=np.uint64)
+
+
+@dataclass
+class Tables:
+    """Rows (shard, blob) of (a, b, c, count) by (a, b) and of (b, c, count) by (b, c)."""
+
+    tri: DataFrame
+    bi: DataFrame
+
+
+class Trained(Model):
+    """A model with its tables, which stay with the driver's plans."""
+
+    tables: Tables
 
 
 def _fold(doc_id: Column) -> Column:
@@ -53,108 +85,171 @@ def trusted(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").cast("long").alias("_id")).distinct()
 
 
-def coded(t: W.Texts, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def coded(t: W.Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word codes of all texts, two begin marks before and an end mark after each, and their ends."""
     w = W.words(t)
     h = W.hash_spans(t.buf, w.starts, w.ends)
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        h[vocabulary[at] != h] = UNKNOWN
-    else:
-        h[:] = UNKNOWN
+    code = np.full(len(h), UNKNOWN, np.uint32)
+    if len(hashes):
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        code = np.where(hashes[at] == h, at + _FIRST, code).astype(np.uint32)
     n = w.counts()
     ends = np.cumsum(n + 3)
-    out = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, np.uint64)
-    out[np.arange(len(h)) + 2 + 3 * w.text_of()] = h
+    out = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, np.uint32)
+    out[np.arange(len(h)) + 2 + 3 * w.text_of()] = code
     out[ends - 1] = END
     return out, ends
 
 
-def _key(*codes: np.ndarray) -> np.ndarray:
-    out = np.full(len(codes[0]), np.uint64(len(codes)), np.uint64)
-    for c in codes:
-        out = W.mix(out * W._STEP ^ c)
+def _trigrams(t: W.Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, c, text) of each word and end mark c after a and b."""
+    codes, ends = coded(t, hashes)
+    begins = np.r_[0, ends[:-1]].astype(np.int64)
+    inside = np.ones(len(codes), bool)
+    inside[begins] = inside[begins + 1] = False
+    at = np.flatnonzero(inside)
+    text = np.repeat(np.arange(len(ends), dtype=np.uint32), ends - begins - 2)
+    return codes[at - 2], codes[at - 1], codes[at], text
+
+
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte planes one after another, compressed."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, n: int, kinds: str) -> list[np.ndarray]:
+    """Columns of ``kinds``, type letters and sizes such as ``u4u4i8``."""
+    types = [np.dtype(kinds[i : i + 2]) for i in range(0, len(kinds), 2)]
+    raw = np.frombuffer(pa.decompress(blob, n * sum(k.itemsize for k in types), "zstd", asbytes=True), np.uint8)
+    out, at = [], 0
+    for k in types:
+        plane = raw[at : at + n * k.itemsize].reshape(k.itemsize, n)
+        out.append(np.ascontiguousarray(plane.T).view(k).ravel())
+        at += n * k.itemsize
     return out
 
 
-def _hashed_key(*columns: str) -> Column:
-    def key(*codes: pa.Array) -> pa.Array:
-        return pa.array(W.signed(_key(*(c.to_numpy().view(np.uint64) for c in codes))))
+def _summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of ``columns``, sorted, and their sums of ``n``."""
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+def _dealt(a: np.ndarray, b: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard that rows with keys (a, b) go to, and their places, in order."""
+    shard = (W.mix(_pair(a, b)) % np.uint64(shards)).astype(np.uint32)
+    order = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+    ends = np.cumsum(np.bincount(shard, minlength=shards))
+    for s in np.flatnonzero(np.diff(ends, prepend=0)):
+        yield int(s), order[ends[s - 1] if s else 0 : ends[s]]
+
 
-    return F.arrow_udf(key, "long")(*columns)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows)) if rows else [[]] * 5
+    names = ["shard", "kind", "n", "blob", "docs"]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
 
 
-def _trigrams(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Counts of (a, b, c), the sample's trigrams as word codes."""
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(c[i].as_py() for c in batch.columns)
+
+
+def _gathered(dealt: DataFrame) -> DataFrame:
+    """All rows of a shard in one task, counts first."""
+    return dealt.repartition("shard").sortWithinPartitions("shard", "kind")
+
+
+def _added_up(dealt: DataFrame, kinds: str, name: str) -> DataFrame:
+    """One row of distinct n-grams per shard, from rows with parts of their counts."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, rows in groupby(_rows(batches), itemgetter(0)):
+            parts = [_unpack(blob, n, kinds) for _, _, n, blob, _ in rows]
+            *columns, n = (np.concatenate(c) for c in zip(*parts))
+            columns, n = _summed(columns, n)
+            yield _batch([(shard, _COUNTS, len(n), _pack(*columns, n), None)])
+
+    return table(_gathered(dealt).mapInArrow(read, _PACKED), name)
+
+
+def _count_trigrams(sample: DataFrame, hashes: np.ndarray, shards: int) -> DataFrame:
+    shared = sample.sparkSession.sparkContext.broadcast(hashes)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                codes, ends = coded(W.texts(part.column(0)), vocabulary)
-                last = np.ones(len(codes), bool)
-                for e in (0, 1):
-                    last[np.r_[0, ends[:-1]] + e] = False
-                at = np.flatnonzero(last)
-                parts = [pa.array(W.signed(codes[at - d])) for d in (2, 1, 0)]
-                yield pa.RecordBatch.from_arrays(parts, names=["a", "b", "c"])
+                a, b, c, _ = _trigrams(W.texts(part.column(0)), shared.value)
+                (a, b, c), n = _summed([a, b, c], np.ones(len(a), np.int64))
+                yield _batch([
+                    (s, _COUNTS, len(at), _pack(a[at], b[at], c[at], n[at]), None) for s, at in _dealt(a, b, shards)
+                ])
+
+    return _added_up(sample.select("text").mapInArrow(read, _PACKED), "u4u4u4i8", "lm-trigrams")
 
-    rows = docs.select("text").mapInArrow(read, "a long, b long, c long")
-    return table(rows.groupBy("a", "b", "c").agg(F.count("*").alias("n")), "trigrams")
 
+def _count_bigrams(tri: DataFrame, shards: int) -> DataFrame:
+    """Of each bigram the number of different words before it."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, n, blob, _ in _rows(batches):
+            _, b, c, _ = _unpack(blob, n, "u4u4u4i8")
+            (b, c), k = _summed([b, c], np.ones(n, np.int64))
+            yield _batch([(s, _COUNTS, len(at), _pack(b[at], c[at], k[at]), None) for s, at in _dealt(b, c, shards)])
+
+    return _added_up(tri.mapInArrow(read, _PACKED), "u4u4i8", "lm-bigrams")
 
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+
+def _tally(df: DataFrame, kinds: str) -> DataFrame:
+    """(of, code, n): how many n-grams have a count, 4 at most; of bigrams also sums by word.
+
+    ``of`` is 0 for a count, 1 for the bigrams that end in a word, 2 for the sum of counts of those that
+    begin with it, and 3, 4, 5 for how many of those have count 1, 2 or more.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, size, blob, _ in _rows(batches):
+            *words, n = _unpack(blob, size, kinds)
+            found = [(0, *np.unique(np.minimum(n, 5), return_counts=True))]
+            if len(words) == 2:
+                found.append((1, *np.unique(words[1], return_counts=True)))
+                found.append((2, *((x[0] if isinstance(x, list) else x) for x in _summed([words[0]], n))))
+                for i in (1, 2, 3):
+                    found.append((2 + i, *np.unique(words[0][np.minimum(n, 3) == i], return_counts=True)))
+            for of, code, k in found:
+                columns = [pa.array(np.full(len(code), of, np.int32)), pa.array(code.astype(np.int64)), pa.array(k.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["of", "code", "n"])
+
+    return df.mapInArrow(read, "of int, code long, n long").groupBy("of", "code").agg(F.sum("n").alias("n"))
+
+
+def _discounts(found: dict[int, int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts of counts 1, 2 and more, from the counts of counts."""
-    found = {r["n"]: r["k"] for r in counts.where("n <= 4").groupBy("n").agg(F.count("*").alias("k")).collect()}
     n1, n2, n3, n4 = (max(1, found.get(i, 0)) for i in (1, 2, 3, 4))
     y = n1 / (n1 + 2 * n2)
     return tuple(min(max(d, 0.05), i) for i, d in ((0.95, 1 - 2 * y * n2 / n1), (1.9, 2 - 3 * y * n3 / n2), (2.8, 3 - 4 * y * n4 / n3)))
 
 
-def _discounted(d: tuple[float, float, float]) -> Column:
-    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-
+def _discounted(d: tuple[float, ...], n: np.ndarray) -> np.ndarray:
+    return np.array([0.0, *d])[np.minimum(n, 3)]
 
-def _tables(tri: DataFrame) -> tuple[dict[str, tuple[DataFrame, list[str]]], float]:
-    """Log probabilities and log back-off weights by n-gram, highest order interpolated throughout."""
-    bi = table(tri.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
-    uni = table(bi.groupBy("c").agg(F.count("*").alias("n")), "unigrams")
-    d3, d2, d1 = _discounts(tri), _discounts(bi), _discounts(uni)
-    total, kinds, spare = uni.agg(F.sum("n"), F.count("*"), F.sum(_discounted(d1))).first()
-    total, kinds, spare = float(total or 1), kinds or 0, float(spare or 1.0)
-    floor = spare / total / (kinds + 1)
-    p1 = uni.select("c", ((F.col("n") - _discounted(d1)) / total + floor).alias("p1"))
 
-    def weight(df, keys, d):
-        return df.groupBy(*keys).agg(F.sum("n").alias("all"), F.sum(_discounted(d)).alias("free")).select(
-            *keys, "all", (F.col("free") / F.col("all")).alias("w")
-        )
-
-    w2, w3 = weight(bi, ["b"], d2), weight(tri, ["a", "b"], d3)
-    p2 = table(
-        bi.join(w2, "b").join(p1, "c").select(
-            "b", "c", ((F.col("n") - _discounted(d2)) / F.col("all") + F.col("w") * F.col("p1")).alias("p2")
-        ),
-        "p2",
-    )
-    p3 = tri.join(w3, ["a", "b"]).join(p2, ["b", "c"]).select(
-        "a", "b", "c", ((F.col("n") - _discounted(d3)) / F.col("all") + F.col("w") * F.col("p2")).alias("p3")
-    )
-    return {
-        "p1": (p1.select("c", F.log("p1").alias("v")), ["c"]),
-        "p2": (p2.select("b", "c", F.log("p2").alias("v")), ["b", "c"]),
-        "p3": (p3.select("a", "b", "c", F.log("p3").alias("v")), ["a", "b", "c"]),
-        "w2": (w2.select("b", F.log("w").alias("v")), ["b"]),
-        "w3": (w3.select("a", "b", F.log("w").alias("v")), ["a", "b"]),
-    }, floor
-
-
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS) -> Model:
-    """The model of at most ``max_docs`` trusted documents, those with the smallest hashed id."""
-    chosen = (
-        trusted(labels).where(_fold(F.col("_id")) == 0).orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
-    )
+def train(docs: DataFrame, labels: DataFrame) -> Trained:
+    """The model of the training half of the trusted documents, which is all those with an even hashed id."""
+    chosen = table(trusted(labels).where(_fold(F.col("_id")) == 0), "lm-chosen")
     sample = table(
-        docs.join(F.broadcast(chosen), docs["doc_id"].cast("long") == F.col("_id")).select("text"), "lm-sample"
+        docs.join(small(chosen), docs["doc_id"].cast("long") == F.col("_id")).select("text"), "lm-sample"
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,88 +263,192 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_TRAINING_DOCS)
     seen = table(
         sample.mapInArrow(read, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-words"
     )
-    known = fetch(seen.where(F.col("n") >= MIN_COUNT).select("h"))["h"].to_numpy()
+    hashes = np.sort(fetch(seen.where(F.col("n") >= MIN_COUNT).select("h"))["h"].to_numpy().view(np.uint64))
+    total, rare = seen.agg(F.sum("n"), F.count_if(F.col("n") < MIN_COUNT)).first()
+    shards = max(MIN_SHARDS, (total or 0) // SHARD_WORDS)
+    tri = _count_trigrams(sample, hashes, shards)
+    bi = _count_bigrams(tri, shards)
     # Chance of one particular word among those not in the vocabulary.
-    singles = max(1, seen.where(F.col("n") < MIN_COUNT).count())
-    vocabulary = np.sort(known.view(np.uint64))
-    tables, floor = _tables(_trigrams(sample, vocabulary))
-    shards: list[dict] = [{} for _ in range(SHARDS)]
-    for name, (df, keys) in tables.items():
-        rows = fetch(df.select(_hashed_key(*keys).alias("key"), F.col("v").cast("float")))
-        key = rows["key"].to_numpy().view(np.uint64)
-        value = rows["v"].to_numpy()
-        order = np.argsort(key)
-        key, value = key[order], value[order]
-        for s in range(SHARDS):
-            own = key % np.uint64(SHARDS) == s
-            shards[s][name] = key[own], value[own]
-    return Model(vocabulary, shards, float(np.log(floor)), float(np.log(singles)))
-
-
-def _find(model: Model, name: str, key: np.ndarray, default: float) -> tuple[np.ndarray, np.ndarray]:
-    """Values of ``key`` in a table, shard by shard, and which were found."""
-    out = np.full(len(key), default, np.float32)
-    found = np.zeros(len(key), bool)
-    of = (key % np.uint64(SHARDS)).astype(np.uint8)
-    for s, shard in enumerate(model.shards):
-        keys, values = shard[name]
-        if not len(keys):
-            continue
-        who = np.flatnonzero(of == s)
-        at = np.minimum(np.searchsorted(keys, key[who]), len(keys) - 1)
-        hit = keys[at] == key[who]
-        out[who[hit]] = values[at[hit]]
-        found[who[hit]] = True
-    return out, found
-
-
-def trigram_scores(a: np.ndarray, b: np.ndarray, c: np.ndarray, model: Model) -> np.ndarray:
-    """Log probability of each c after a and b, by the longest n-gram that is known."""
-    value, found = _find(model, "p3", _key(a, b, c), 0.0)
-    rest = np.flatnonzero(~found)
-    value[rest], _ = _find(model, "w3", _key(a[rest], b[rest]), 0.0)
-    p2, found = _find(model, "p2", _key(b[rest], c[rest]), 0.0)
-    value[rest] += p2
-    rest = rest[~found]
-    w2, _ = _find(model, "w2", _key(b[rest]), 0.0)
-    p1, _ = _find(model, "p1", _key(c[rest]), model.unseen)
-    value[rest] += w2 + p1
-    value[c == UNKNOWN] -= model.unknown_kinds
-    return value
-
-
-def log_likelihood(t: W.Texts, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Summed log probability of each text and the number of its words, end mark included."""
-    codes, ends = coded(t, model.vocabulary)
-    begins = np.r_[0, ends[:-1]]
-    inside = np.ones(len(codes), bool)
-    inside[begins] = inside[begins + 1] = False
-    at = np.flatnonzero(inside)
-    value = trigram_scores(codes[at - 2], codes[at - 1], codes[at], model)
-    n = ends - begins - 2
-    return np.add.reduceat(value.astype(float), np.cumsum(n) - n) if len(n) else np.zeros(0), n
-
-
-def score(docs: DataFrame, fitted: Model) -> DataFrame:
-    """``docs`` with n_words and perplexity, null where a text has no word. Own columns of these names go."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted)
-    kept = docs.select(*[c for c in docs.columns if c not in ("n_words", "perplexity")])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+    model = Trained(hashes, float(np.log(max(1, rare))), shards)
+    model.tables = Tables(tri, bi)
+    of3 = fetch(_tally(tri, "u4u4u4i8")).to_pandas()
+    model.d3 = _discounts(dict(zip(of3["code"], of3["n"])))
+    of2 = fetch(_tally(bi, "u4u4i8"))
+    of, code, n = (of2[c].to_numpy() for c in ("of", "code", "n"))
+    model.d2 = _discounts(dict(zip(code[of == 0], n[of == 0])))
+
+    def by_code(i: int) -> np.ndarray:
+        out = np.zeros(_FIRST + len(hashes))
+        out[code[of == i]] = n[of == i]
+        return out
+
+    uni = by_code(1).astype(np.int64)
+    d1 = _discounts(dict(enumerate(np.bincount(np.minimum(uni, 5)).tolist())))
+    every = float(uni.sum() or 1)
+    spare = float(_discounted(d1, uni).sum() or 1.0)
+    floor = spare / every / (np.count_nonzero(uni) + 1)
+    model.p1 = (uni - _discounted(d1, uni)) / every + floor
+    model.all2 = np.maximum(by_code(2), 1)
+    free = sum(d * by_code(3 + i) for i, d in enumerate(model.d2))
+    model.w2 = np.where(by_code(2) > 0, free / model.all2, 1.0)
+    return model
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` among sorted ``keys``, and which are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class _Contexts:
+    """Discounted share of each c after a and b, and the weight of shorter n-grams after them."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray, d3: tuple[float, ...]):
+        pairs = _pair(a, b)
+        new = np.r_[True, pairs[1:] != pairs[:-1]][: len(pairs)]
+        first, of = np.flatnonzero(new), np.cumsum(new) - 1
+        less = _discounted(d3, n)
+        total = np.add.reduceat(n, first) if len(first) else n
+        self.pairs, self.keys = pairs[first], _pair(of, c)
+        self.weight = (np.add.reduceat(less, first) / total if len(first) else less).astype(np.float32)
+        self.share = ((n - less) / total[of]).astype(np.float32) if len(first) else less.astype(np.float32)
+
+    def of(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at, known = _find(self.pairs, _pair(a, b))
+        share, weight = np.zeros(len(a), np.float32), np.ones(len(a), np.float32)
+        who = np.flatnonzero(known)
+        weight[who] = self.weight[at[who]]
+        hit, found = _find(self.keys, _pair(at[who], c[who]))
+        share[who[found]] = self.share[hit[found]]
+        return share, weight
+
+
+def _logs(model: Model, bi: tuple, b: np.ndarray, c: np.ndarray, share: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Log probabilities from what the trigrams give and sorted bigrams (keys, counts) that hold all (b, c)."""
+    keys, n = bi
+    at, found = _find(keys, _pair(b, c))
+    p2 = model.w2[b] * model.p1[c]
+    who = np.flatnonzero(found)
+    k = n[at[who]]
+    p2[who] += (k - _discounted(model.d2, k)) / model.all2[b[who]]
+    return np.log(share + weight * p2) - np.where(c == UNKNOWN, model.unknown_kinds, 0.0)
+
+
+def _whole(df: DataFrame, kinds: str) -> list[np.ndarray]:
+    """All rows of a table of counts that fits into memory, sorted."""
+    parts = [_unpack(r.blob, r.n, kinds) for r in df.collect()] or [_unpack(_pack(np.zeros(0, np.uint8)), 0, kinds)]
+    *columns, n = (np.concatenate(c) for c in zip(*parts))
+    columns, n = _summed(columns, n)
+    return [*columns, n]
+
+
+def trigram_scores(a: np.ndarray, b: np.ndarray, c: np.ndarray, model: Trained) -> np.ndarray:
+    """Log probability of each c after a and b by a model whose tables fit into memory."""
+    a, b, c = (np.asarray(x).astype(np.uint32) for x in (a, b, c))
+    share, weight = _Contexts(*_whole(model.tables.tri, "u4u4u4i8"), model.d3).of(a, b, c)
+    first, second, n = _whole(model.tables.bi, "u4u4i8")
+    return _logs(model, (_pair(first, second), n), b, c, share, weight)
+
+
+def _sums(texts: DataFrame, model: Trained) -> DataFrame:
+    """(_key, total, n): summed log probability and how many there are of each text; equal texts may add up."""
+    plain = Model(**{k: getattr(model, k) for k in Model.__dataclass_fields__})
+    shared = texts.sparkSession.sparkContext.broadcast(plain)
+
+    def asked(shard: int, at: np.ndarray, columns: list[np.ndarray], text: np.ndarray, keys: np.ndarray) -> tuple:
+        own, of = np.unique(text[at], return_inverse=True)
+        return shard, _ASKED, len(at), _pack(*(c[at] for c in columns), of.astype(np.uint32)), keys[own].tobytes()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
         for batch in batches:
             for part in W.slices(batch, "text"):
-                total, n = log_likelihood(
-                    W.texts(part.column(part.schema.get_field_index("text"))), model
-                )
-                words = n - 1
-                nll = pa.array(np.exp(-total / n), mask=words == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(words), nll], names=[*part.schema.names, "n_words", "perplexity"]
-                )
-
-    schema = T.StructType([*kept.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("perplexity", T.DoubleType())])
-    return kept.mapInArrow(read, schema)
+                keys, first = np.unique(part.column(0).to_numpy(), return_index=True)
+                a, b, c, text = _trigrams(W.texts(part.column(1).take(pa.array(first))), own.hashes)
+                order = np.argsort(_pair(a, b))
+                columns, text = [x[order] for x in (a, b, c)], text[order]
+                yield _batch([asked(s, at, columns, text, keys) for s, at in _dealt(*columns[:2], own.shards)])
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+
+        def dealt(parts: list[tuple]) -> pa.RecordBatch:
+            b, c, share, weight, text, keys = (np.concatenate(x) for x in zip(*parts))
+            keys, of = np.unique(keys, return_inverse=True)
+            text = of[text]
+            order = np.argsort(_pair(b, c))
+            columns, text = [x[order] for x in (b, c, share, weight)], text[order]
+            return _batch([asked(s, at, columns, text, keys) for s, at in _dealt(*columns[:2], own.shards)])
+
+        none, parts, size, docs = np.zeros(0, np.int64), [], 0, 0
+        for _, rows in groupby(_rows(batches), itemgetter(0)):
+            known = _Contexts(none, none, none, none, own.d3)
+            for _, kind, n, blob, keys in rows:
+                if kind == _COUNTS:
+                    known = _Contexts(*_unpack(blob, n, "u4u4u4i8"), own.d3)
+                    continue
+                a, b, c, text = _unpack(blob, n, "u4u4u4u4")
+                keys = np.frombuffer(keys, np.int64)
+                parts.append((b, c, *known.of(a, b, c), text.astype(np.int64) + docs, keys))
+                size, docs = size + n, docs + len(keys)
+                if size >= CHUNK:
+                    yield dealt(parts)
+                    parts, size, docs = [], 0, 0
+        if parts:
+            yield dealt(parts)
+
+    def bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for _, rows in groupby(_rows(batches), itemgetter(0)):
+            known = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            for _, kind, n, blob, keys in rows:
+                if kind == _COUNTS:
+                    b, c, k = _unpack(blob, n, "u4u4i8")
+                    known = _pair(b, c), k
+                    continue
+                b, c, share, weight, text = _unpack(blob, n, "u4u4f4f4u4")
+                total = np.bincount(text, _logs(own, known, b, c, share, weight))
+                columns = [pa.array(np.frombuffer(keys, np.int64)), pa.array(total), pa.array(np.bincount(text))]
+                yield pa.RecordBatch.from_arrays(columns, names=["_key", "total", "n"])
+
+    asking = texts.select("_key", "text").mapInArrow(ask, _PACKED)
+    passed = _gathered(model.tables.tri.unionByName(asking)).mapInArrow(contexts, _PACKED)
+    parts = _gathered(model.tables.bi.unionByName(passed)).mapInArrow(bigrams, "_key long, total double, n long")
+    return parts.groupBy("_key").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.lit("text"))
+
+
+def score(docs: DataFrame, fitted: Trained) -> DataFrame:
+    """``docs`` without its text, with _key, n_words and perplexity, null where a text has no word.
+
+    Own columns of these names go. Equal texts are scored once in each slice; sums and counts both add up, so
+    that their ratio is the same.
+    """
+    keyed = docs.withColumn("_key", text_key(F.col("text")))
+    parts = []
+    for i in range(ROUNDS):
+        own = keyed.where(F.pmod("_key", F.lit(ROUNDS)) == i)
+        parts.append(table(_sums(own, fitted), "lm-sums"))
+    sums = parts[0]
+    for part in parts[1:]:
+        sums = sums.unionByName(part)
+    sums = table(sums.withColumnRenamed("_key", "_of"), "lm-sums")
+
+    def count(text: pa.Array) -> pa.Array:
+        column = pa.RecordBatch.from_arrays([text], names=["text"])
+        counts = [W.words(W.texts(part.column(0))).counts() for part in W.slices(column, "text")]
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64())
+
+    kept = [c for c in docs.columns if c not in ("text", "n_words", "perplexity", "_key")]
+    rows = table(keyed.select(*kept, "_key", F.arrow_udf(count, "long")("text").alias("n_words")), "lm-rows")
+    scored = rows.join(small(sums), F.col("_key") == F.col("_of"), "left")
+    nll = F.when(F.col("n_words") > 0, F.exp(-F.col("total") / F.col("n")))
+    return scored.select(*kept, "_key", "n_words", nll.alias("perplexity"))
 
 
 def limits(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -286,18 +485,17 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) ->
     perplexity. Text that is null or has no word has no perplexity and is not kept. Repeated rows are
     judged alike. Other columns are ignored. An empty table gives no rows.
     """
-    fitted = train(docs, labels)
-    narrow = score(docs.select("doc_id", "lang", "text"), fitted).drop("text")
-    scored = table(narrow, "lm-scores")
-    return judge(scored, limits(scored, labels, quantile))
+    scored = table(score(docs.select("doc_id", "lang", "text"), train(docs, labels)), "lm-scores")
+    return judge(scored, limits(scored, labels, quantile)).drop("_key")
 
 
 def keep(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, with all their columns.
 
-    Scores are computed in the pass that reads the texts, so no text is shuffled.
+    The texts and languages that are not kept are broadcast as hashes if they are few; otherwise the join shuffles the texts.
     """
-    fitted = train(docs, labels)
-    scored = table(score(docs.select("doc_id", "lang", "text"), fitted).drop("text"), "lm-scores")
-    judged = judge(score(docs, fitted), limits(scored, labels, quantile))
-    return judged.where("kept").select(*docs.columns)
+    scored = table(score(docs.select("doc_id", "lang", "text"), train(docs, labels)), "lm-scores")
+    judged = judge(scored, limits(scored, labels, quantile))
+    bad = judged.where(~F.col("kept")).select("_key", F.col("lang").alias("_lang")).distinct()
+    same_text = (text_key(docs["text"]) == F.col("_key")) & docs["lang"].eqNullSafe(F.col("_lang"))
+    return docs.join(small(table(bad, "lm-rejected")), same_text, "left_anti")

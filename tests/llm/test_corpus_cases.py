@@ -149,6 +149,25 @@ def test_quality_is_a_probability(spark):
         assert total == pytest.approx(1.0, abs=0.02)
 
 
+def test_quality_model_counts_the_whole_training_half(spark):
+    texts = [(i, f"w{i} w{i}") for i in range(5000)]
+    docs, labels = odd.documents(spark, texts), odd.labels(spark, range(5000))
+    half = quality_lm.trusted(labels).where(quality_lm._fold(F.col("_id")) == 0).count()
+    model = quality_lm.train(docs, labels)
+    assert len(model.vocabulary) == half > 2000
+
+
+def test_quality_shards_agree_with_one_table(spark):
+    """Texts scored by way of the shards have the perplexity that the whole tables give."""
+    texts = [(i, " ".join(random.Random(i // 2).choices("a b c d e f g h".split(), k=9 + i % 5))) for i in range(80)]
+    docs = odd.documents(spark, texts)
+    model = quality_lm.train(docs, odd.labels(spark, range(0, 80, 3)))
+    rows = {r.doc_id: r.perplexity for r in quality_lm.score(docs, model).collect()}
+    for i, text in texts[:20]:
+        a, b, c, _ = quality_lm._trigrams(W.texts(pa.array([text])), model.hashes)
+        assert rows[i] == pytest.approx(np.exp(-quality_lm.trigram_scores(a, b, c, model).mean()), rel=1e-5)
+
+
 def test_exact_dedup_odd(spark):
     rows = exact_dedup.deduplicate(odd.documents(spark), max_files=1).collect()
     assert len(rows) == len(odd.TEXTS)
