@@ -4,7 +4,7 @@ The model is trained on one half of the trusted documents, all of it. Its counts
 and hash-sharded: trigrams by their first two words, bigrams by both. Scoring deals the trigrams of the documents, packed per
 slice of texts, to the trigram shards and from there to the bigram shards, each next to the counts it asks for; only
 sums per document come out. What belongs to single words reaches all tasks. The other half of the trusted documents,
-all of it, sets a perplexity limit per language.
+all of it, sets a perplexity limit per language and length class.
 """
 
 from __future__ import annotations
@@ -26,11 +26,13 @@ from snaphist.llm.store import fetch, small, table
 QUANTILE = 0.998
 # Words seen less often in the sample count as unknown.
 MIN_COUNT = 2
+# Held-out trusted documents that a length class of a language needs to have a limit of its own.
+MIN_HELD = 100
 # Words of training text per shard, and shards at least.
 SHARD_WORDS = 1 << 20
 MIN_SHARDS = 24
 # Documents are scored in so many rounds, which bounds the shuffle files that exist at once.
-ROUNDS = 4
+ROUNDS = 8
 # Trigrams gathered in a task before they are dealt on.
 CHUNK = 1 << 20
 
@@ -437,7 +439,7 @@ def score(docs: DataFrame, fitted: Trained) -> DataFrame:
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
-    sums = table(sums.withColumnRenamed("_key", "_of"), "lm-sums")
+    sums = table(sums.select(F.col("_key").alias("_of"), F.col("total").alias("_total"), F.col("n").alias("_n")), "lm-sums")
 
     def count(text: pa.Array) -> pa.Array:
         column = pa.RecordBatch.from_arrays([text], names=["text"])
@@ -447,28 +449,46 @@ def score(docs: DataFrame, fitted: Trained) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("text", "n_words", "perplexity", "_key")]
     rows = table(keyed.select(*kept, "_key", F.arrow_udf(count, "long")("text").alias("n_words")), "lm-rows")
     scored = rows.join(small(sums), F.col("_key") == F.col("_of"), "left")
-    nll = F.when(F.col("n_words") > 0, F.exp(-F.col("total") / F.col("n")))
+    nll = F.when(F.col("n_words") > 0, F.exp(-F.col("_total") / F.col("_n")))
     return scored.select(*kept, "_key", "n_words", nll.alias("perplexity"))
 
 
+def _length_class(n_words: Column) -> Column:
+    """Texts of 1 to 3 words, 4 to 15, 16 to 63 and so on."""
+    return F.floor(F.log2(n_words.cast("double")) / 2).cast("int")
+
+
 def limits(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(lang, limit) from the trusted documents outside the training half; lang null: all languages."""
+    """(lang, class, limit) from the trusted documents outside the training half.
+
+    A length class of a language has its own if at least ``MIN_HELD`` of them are in it. Class null: all lengths;
+    lang null too: all languages.
+    """
     held = scored.join(
         trusted(labels).where(_fold(F.col("_id")) == 1), F.col("doc_id").cast("long") == F.col("_id")
     )
-    held = held.where("perplexity is not null").select("lang", "perplexity")
+    held = held.where("perplexity is not null").select("lang", _length_class(F.col("n_words")).alias("class"), "perplexity")
     at = F.percentile_approx("perplexity", quantile, 10000)
-    found = held.where("lang is not null").groupBy("lang").agg(at.alias("limit"))
-    return table(found.unionByName(held.agg(at.alias("limit")).select(F.lit(None).cast("string").alias("lang"), "limit")), "limits")
+    known = held.where("lang is not null")
+    by_class = known.groupBy("lang", "class").agg(at.alias("limit"), F.count("*").alias("_held"))
+    none = F.lit(None).cast("int").alias("class")
+    found = by_class.where(F.col("_held") >= MIN_HELD).drop("_held")
+    found = found.unionByName(known.groupBy("lang").agg(at.alias("limit")).select("lang", none, "limit"))
+    every = held.agg(at.alias("limit")).select(F.lit(None).cast("string").alias("lang"), none, "limit")
+    return table(found.unionByName(every), "limits")
 
 
 def judge(scored: DataFrame, limit: DataFrame) -> DataFrame:
     """``scored`` with ``limit`` and ``kept``."""
-    own = small(limit.where("lang is not null").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own")))
+    named = limit.where("lang is not null")
+    near = small(named.where("class is not null").select(F.col("lang").alias("_near_lang"), F.col("class").alias("_near_class"), F.col("limit").alias("_near")))
+    own = small(named.where("class is null").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own")))
     every = small(limit.where("lang is null").select(F.col("limit").alias("_every"), F.lit(1).alias("_one")))
-    rows = scored.withColumn("_join", F.lit(1)).join(own, F.col("lang") == F.col("_lang"), "left")
+    rows = scored.withColumns({"_join": F.lit(1), "_class": _length_class(F.col("n_words"))})
+    rows = rows.join(near, (F.col("lang") == F.col("_near_lang")) & (F.col("_class") == F.col("_near_class")), "left")
+    rows = rows.join(own, F.col("lang") == F.col("_lang"), "left")
     rows = rows.join(every, F.col("_join") == F.col("_one"), "left")
-    bound = F.coalesce("_own", "_every")
+    bound = F.coalesce("_near", "_own", "_every")
     return rows.select(
         *[c for c in scored.columns if c not in ("limit", "kept")],
         bound.alias("limit"),
@@ -479,8 +499,8 @@ def judge(scored: DataFrame, limit: DataFrame) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """(doc_id, lang, n_words, perplexity, limit, kept) of each row of ``docs``.
 
-    A document is kept if its perplexity is at most the limit of its language: the ``quantile`` of the trusted
-    documents that the model has not seen. A language without any, or a null language, takes the
+    A document is kept if its perplexity is at most the limit of its language and length class: the ``quantile`` of the
+    trusted documents that the model has not seen. A class with few takes the limit of its language. A language without any, or a null language, takes the
     limit of all languages; without trusted documents at all nothing is rejected for its
     perplexity. Text that is null or has no word has no perplexity and is not kept. Repeated rows are
     judged alike. Other columns are ignored. An empty table gives no rows.

@@ -168,6 +168,17 @@ def test_quality_shards_agree_with_one_table(spark):
         assert rows[i] == pytest.approx(np.exp(-quality_lm.trigram_scores(a, b, c, model).mean()), rel=1e-5)
 
 
+def test_quality_limits_follow_length(spark):
+    """Wide scatter of short trusted texts does not let long junk through."""
+    rows = [(i, "en", 5, 100.0 * i) for i in range(1000)] + [(i, "en", 900, 1.0 * i) for i in range(1000, 2000)]
+    rows += [(5000, "en", 900, 50_000.0), (5001, "en", 5, 50_000.0)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, perplexity double")
+    limit = quality_lm.limits(scored, odd.labels(spark, range(2000)))
+    kept = {r.doc_id: r.kept for r in quality_lm.judge(scored, limit).collect()}
+    assert kept[5001] and not kept[5000]
+    assert np.mean([kept[i] for i in range(2000)]) > 0.99
+
+
 def test_exact_dedup_odd(spark):
     rows = exact_dedup.deduplicate(odd.documents(spark), max_files=1).collect()
     assert len(rows) == len(odd.TEXTS)
