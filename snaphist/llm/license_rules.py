@@ -56,7 +56,7 @@ FAMILIES = [
     ("cc-by", "cc by", r"(creative commons )?cc by", ("2 0", "2 5", "3 0", "4 0")),
     ("creative-commons", "creative commons", r"creative commons( attribution)? licen[cs]e", ()),
     ("ofl", "open font", r"(sil )?open font licen[cs]e", ("1 0", "1 1")),
-    ("odbl", "open database", r"open (data commons )?database licen[cs]e", ("1 0",)),
+    ("odbl", "open data", r"open (data commons )?database licen[cs]e", ("1 0",)),
     ("python", "python software", r"python software foundation licen[cs]e", ("2 0",)),
     ("postgresql", "postgresql", r"postgresql licen[cs]e", ()),
     ("php", "php", r"php licen[cs]e", ("3 0", "3 01")),
@@ -76,12 +76,27 @@ TEXTS = [
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
 ]
 
+# SPDX identifiers and short names by label, the longer before those they begin with; a few are clear by themselves.
+SHORT = {
+    "agpl": r"(gnu )?agpl", "lgpl": r"(gnu )?lgpl", "gpl": r"(gnu )?gpl", "gfdl": r"(gnu )?gfdl", "apache": "apache",
+    "mpl": "mpl", "epl": "epl", "eupl": "eupl", "cddl": "cddl", "cpl": "cpl", "osl": "osl", "afl": "afl",
+    "artistic": "artistic", "bsl": "bsl", "zlib": "zlib", "isc": "isc", "mit-0": "mit 0", "mit": "mit",
+    "bsd": r"bsd( (0|1|2|3|4|two|three|four) clause)?", "unlicense": "unlicense", "wtfpl": "wtfpl", "cc0": "cc0",
+    "cc-by-nc-nd": "cc by nc nd", "cc-by-nc-sa": "cc by nc sa", "cc-by-nc": "cc by nc", "cc-by-nd": "cc by nd",
+    "cc-by-sa": "cc by sa", "cc-by": "cc by", "ofl": "ofl", "odbl": "odbl", "python": "psf",
+    "postgresql": "postgresql", "php": "php", "ruby": "ruby", "openssl": "openssl",
+}
+CLEAR = ("agpl", "lgpl", "gpl", "gfdl", "eupl", "cddl", "wtfpl", "odbl")
+SPDX = "spdx license identifier {}"
+# What stands before a short name in every form but the bare one.
+_LEAD = r"(under|of|the|identifier) "
+
 # Ways to grant a licence, from the longest to the bare name; {} is the name.
 FORMS = [
     r"(this|the) \w+ is (licensed|released|distributed|available|published) under( the)?( terms of)?( the)? {}",
     r"(licensed|released|distributed|available|published) under( the)?( terms of)?( the)? {}",
     r"(subject to|under) the terms( and conditions)? of the {}",
-    r"spdx license identifier {}",
+    SPDX,
     r"{}",
 ]
 
@@ -110,16 +125,34 @@ def rules() -> list[Rule]:
     Longer forms come before shorter, named versions before none, and families in the order given.
     """
     made = []
+    number_of = {label: versions for label, _, _, versions in FAMILIES}
     for form in FORMS:
-        for label, keyword, name, versions in FAMILIES:
-            for v in versions:
-                number = v.removesuffix(" 0") if v.endswith(" 0") else v
-                tail = rf"( (version|v))? v?{number}( 0)?"
-                made.append(Rule(f"{label}-{v.replace(' ', '.')}", keyword, form.format(name) + tail, name))
-        made += [Rule(label, keyword, form.format(name), name) for label, keyword, name, _ in FAMILIES]
+        if form != SPDX:
+            made += _named(form)
+        for label, name in [*SHORT.items(), ("python", "python")]:
+            if form == "{}" and label not in CLEAR:
+                continue
+            probe = name if form == "{}" else _LEAD + name
+            keyword = name if label == "python" else label.split("-")[0]
+            tail = "( only| or later)?"
+            for v in number_of[label]:
+                number = v.removesuffix(" 0")
+                made.append(Rule(f"{label}-{v.replace(' ', '.')}", keyword, form.format(name) + rf"( (version|v))? ?v?{number}( 0)?{tail}", probe))
+            made.append(Rule(label, keyword, form.format(name) + tail, probe))
     return [Rule(*t) for t in TEXTS] + made
 
 
+def _named(form: str) -> list[Rule]:
+    """Rules of one form with the full names."""
+    made = []
+    for label, keyword, name, versions in FAMILIES:
+        for v in versions:
+            number = v.removesuffix(" 0") if v.endswith(" 0") else v
+            tail = rf"( (version|v))? v?{number}( 0)?"
+            made.append(Rule(f"{label}-{v.replace(' ', '.')}", keyword, form.format(name) + tail, name))
+    return made + [Rule(label, keyword, form.format(name), name) for label, keyword, name, _ in FAMILIES]
+
+
 def normal_words(text: Column) -> Column:
     """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, each after one space."""
     cut = F.regexp_replace(ascii_lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")

@@ -371,6 +371,22 @@ def test_licenses_odd(spark):
     assert license_rules.detect(odd.empty(spark)).count() == 0
 
 
+def test_licenses_by_identifier_and_short_name(spark):
+    lines = {
+        "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: MIT-0": "mit-0",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "SPDX-License-Identifier: GPL-3.0-only": "gpl-3.0",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1", "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2.0", "SPDX-License-Identifier: PSF-2.0": "python-2.0",
+        "SPDX-License-Identifier: CC-BY-SA-4.0": "cc-by,cc-by-sa-4.0", "code under GPLv3": "gpl-3.0",
+        "see the LGPL 2.1 for more": "lgpl-2.1", "AGPL": "agpl", "released under MIT": "mit",
+        "Open Data Commons Database License": "odbl", "fahrt mit dem bus": "",
+    }
+    rows = {r.doc_id: r.labels for r in license_rules.detect(odd.documents(spark, list(enumerate(lines)))).collect()}
+    assert [rows[i] for i in range(len(lines))] == list(lines.values())
+    for r in license_rules.rules():
+        assert "spdx" not in r.pattern or "licen[cs]e" not in r.pattern
+
+
 def test_earlier_rule_suppresses_what_it_contains(spark):
     made = [
         license_rules.Rule("long", "b", "a b c"), license_rules.Rule("inner", "b", "b"),
