@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaphist.llm import exact_dedup, jaccard_join, license_rules, mixing, packing, personal_data, quality_lm, substring_dedup, topk, url_rules
+from snaphist.llm import centroids, exact_dedup, importance, jaccard_join, license_rules, mixing, multi_index
+from snaphist.llm import packing, personal_data, quality_lm, substring_dedup, topk, url_rules
 
 # The rules of the URL query.
 URL_RULES = [
@@ -75,6 +76,25 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.detect(documents(spark, sf_dir)).drop("detections")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return centroids.cluster(vectors, "vec_id", "embedding", k=16, rounds=3)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return importance.resample(documents(spark, sf_dir), target, longest=1, percent=10)
+
+
+def op13_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return multi_index.search(vectors, F.col("vec_id") % 20 == 0, "vec_id", "embedding", k=20)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_packing, op2_ngram_join, op3_quality_lm, op4_exact_dedup, op5_url_rules, op6_topk, op7_personal_data, op8_substring_dedup, op9_mixing, op10_license_rules]
+    found = [
+        op1_packing, op2_ngram_join, op3_quality_lm, op4_exact_dedup, op5_url_rules, op6_topk, op7_personal_data,
+        op8_substring_dedup, op9_mixing, op10_license_rules, op11_centroid_clusters, op12_importance_resampling,
+        op13_multi_index,
+    ]
     return {f.__name__: f for f in found}

@@ -90,5 +90,91 @@ SELECT doc_id, n_words::BIGINT AS n_words, (n_words - len(kept))::BIGINT AS n_re
 """
 
 
+_ROUND = """
+), a{r} AS MATERIALIZED (
+  SELECT n, vec_id, x, key % 16 AS c, key // 16 AS d FROM (
+    SELECT v.n, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x,
+           min((list_inner_product(v.x, k.x) * -2 + v.xx + k.xx)::HUGEINT * 16 + k.c) AS key
+    FROM v CROSS JOIN k{r} k GROUP BY v.n)
+"""
+
+_MEANS = """
+), m{r} AS (
+  SELECT c, i, floor(sum(y) / count(*)) AS y
+  FROM (SELECT c, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{p}) GROUP BY c, i
+), l{r} AS (
+  SELECT c, list(y ORDER BY i) AS x FROM m{r} GROUP BY c
+), k{r} AS MATERIALIZED (
+  SELECT c, x, list_inner_product(x, x) AS xx FROM (
+    SELECT k.c, coalesce(l.x, k.x) AS x FROM k{p} k LEFT JOIN l{r} l ON k.c = l.c)
+"""
+
+OP11 = (
+    """
+WITH e AS (
+  SELECT vec_id, embedding AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), f AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(x, lambda c: floor(64 * c::DOUBLE)) AS x FROM e
+), v AS MATERIALIZED (
+  SELECT n, vec_id, x, list_inner_product(x, x) AS xx FROM f
+), k0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c, x, xx FROM v QUALIFY c < 16
+"""
+    + "".join(_ROUND.format(r=r - 1) + _MEANS.format(r=r, p=r - 1) for r in (1, 2, 3))
+    + _ROUND.format(r=3)
+    + """
+)
+SELECT vec_id, a3.c::INTEGER AS cluster, d::BIGINT AS distance,
+       (sum(d) OVER (PARTITION BY a3.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(k3.x, lambda y: y::BIGINT), ',')) AS centroid_sha256
+FROM a3 JOIN k3 ON a3.c = k3.c
+"""
+)
+
+OP12 = rf"""
+WITH s AS (
+  SELECT true AS own, doc_id, {_LOWER} AS t FROM documents
+  UNION ALL SELECT false, NULL, {_LOWER} FROM benchmark
+), w AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, own, doc_id,
+         list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM s
+), c AS (
+  SELECT n, own, unnest(w) AS x FROM w
+), u AS (
+  SELECT x, hex(encode(x)) AS h FROM (SELECT DISTINCT x FROM c)
+), b AS (
+  SELECT x, list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b FROM u
+), z AS (
+  -- The table of the cyclic redundancy check: eight steps for each byte.
+  SELECT list(list_reduce(range(8), lambda r, i: xor(r >> 1, (r & 1) * 3988292384), v) ORDER BY v) AS z FROM range(256) g(v)
+), h AS MATERIALIZED (
+  SELECT x, xor(list_reduce(b, lambda r, y: xor(r >> 8, z[(xor(r, y) & 255) + 1]), 4294967295), 4294967295) % 10000 AS k
+  FROM b, z
+), g AS (
+  SELECT k, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM c JOIN h USING (x) GROUP BY k
+), a AS (
+  SELECT sum(s)::BIGINT AS sn, sum(t)::BIGINT AS tn FROM g
+), q AS (
+  SELECT k, floor(1000 * ln(((t + 1) * (sn + 10000))::DOUBLE / ((s + 1) * (tn + 10000))::DOUBLE))::BIGINT AS gain FROM g, a
+), p AS (
+  SELECT n, count(*) AS m, floor(sum(gain) / count(*))::BIGINT AS weight FROM c JOIN h USING (x) JOIN q USING (k) WHERE own GROUP BY n
+), d AS (
+  SELECT doc_id, coalesce(m, 0) AS n_features, coalesce(weight, 0) AS weight,
+         ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM w LEFT JOIN p USING (n) WHERE own
+), e AS (
+  SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS drawn
+  FROM e WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM e LEFT JOIN r USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_ngram_join": OP2, "op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6, "op8_substring_dedup": OP8}
+    return {
+        "op2_ngram_join": OP2, "op4_exact_dedup": OP4, "op5_url_rules": OP5, "op6_topk": OP6, "op8_substring_dedup": OP8,
+        "op11_centroid_clusters": OP11, "op12_importance_resampling": OP12,
+    }
