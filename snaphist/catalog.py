@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from snaphist import fixtures
 from snaphist.functions import codes, seasons, text
 from snaphist.functions.hashing import row_hash
-from snaphist.operators import changes, temporal
+from snaphist.operators import changes, settree, temporal
 from snaphist.operators.flatten import member_columns, parse_documents
 from snaphist.operators.latest import latest_per_key
 from snaphist.operators.quality import STANDARD_SUITE, ModelTests, run_suite
@@ -21,7 +21,7 @@ from snaphist.operators.sethash import drop_unnamed, set_digest, set_hash, with_
 from snaphist.operators.surrogate import surrogate_key
 from snaphist.plans import dims, ingest, report, staging
 from snaphist.session import materialize, new_dir, spread
-from snaphist.sources import bronze, documents, tracked, warehouse
+from snaphist.sources import bronze, documents, history, keys, tracked, warehouse
 from snaphist.streaming.ingest_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,37 @@ def scd2_history_exact(spark, sf_dir):
     return versions.drop("ts")
 
 
+@query
+def scd2_merge(spark, sf_dir):
+    """The collapsed history, brought up to date by four batches that come in no order of time."""
+    rows = fixtures.member_history(spark, sf_dir)
+
+    def fill(root: str) -> None:
+        number = F.pmod(F.xxhash64("event_id"), F.lit(4))
+        for i in (2, 0, 3, 1):
+            history.merge_history(rows.where(number == i), root, f"b{i}", "member", "ts", ["group_id"])
+
+    versions = history.read_history(spark, _once(spark, sf_dir, "history", fill), rows.schema)
+    return versions.drop("ts", "number")
+
+
+@query
+def member_keys(spark, sf_dir):
+    """The numbers of members after three batches, and those they had after the first."""
+    rows = fixtures.raw_members(spark, sf_dir).select("member_id", (F.day("run_ts") / 11).cast("int").alias("batch"))
+
+    def fill(root: str) -> None:
+        for i in range(3):
+            found = keys.number_keys(rows.where(F.col("batch") == i), root, "member_id", f"b{i}")
+            if i == 0:
+                found.write.parquet(f"{root}/first")
+
+    root = _once(spark, sf_dir, "keys", fill)
+    last = keys.number_keys(rows.where("false"), root, "member_id", "b2")
+    first = spark.read.parquet(f"{root}/first").withColumnRenamed("member_nk", "first_nk")
+    return last.join(first, "member_id", "left")
+
+
 @query
 def scd2_closed(spark, sf_dir):
     rows = fixtures.daily_membership(spark, sf_dir)
@@ -128,6 +159,14 @@ def surrogate_key_orders(spark, sf_dir):
     return surrogate_key(orders, ["o_orderdate", "o_orderkey"], "order_sk")
 
 
+@query
+def stamped_groups(spark, sf_dir):
+    """Rows of the group dimension stamped with the time given."""
+    raw = fixtures.raw_members(spark, sf_dir)
+    groups = dims.dim_group(raw, as_of=F.lit(CUT).cast("timestamp_ntz"))
+    return groups.select("group_id", "created_at", "updated_at")
+
+
 # --- set hashes, decisions and state
 
 
@@ -155,6 +194,13 @@ def set_hash_snapshots(spark, sf_dir):
     return set_hash(rows, SNAPSHOT, ["member", "number", "position"])
 
 
+@query
+def set_hash_tree(spark, sf_dir):
+    """Roots of the hash trees of all snapshots, of leaves by two hex digits."""
+    rows = fixtures.group_snapshots(spark, sf_dir)
+    return settree.set_hash_tree(rows, SNAPSHOT, ["member", "number", "position"])
+
+
 @query
 def set_digest_snapshots(spark, sf_dir):
     """For every snapshot the first run at which its group had the same members."""
@@ -338,6 +384,14 @@ def membership_diff(spark, sf_dir):
     return temporal.membership_diff(fixtures.group_snapshots(spark, sf_dir))
 
 
+@query
+def membership_diff_trees(spark, sf_dir):
+    """Who joined or left at each run, found by descent into the subtrees that differ."""
+    rows = fixtures.group_snapshots(spark, sf_dir).select("group_id", "run_ts", "member")
+    nodes = settree.tree_nodes(rows, ["group_id", "run_ts"], ["member"], identity="member")
+    return settree.membership_changes(rows.withColumn("path", settree.leaf_of(F.col("member"))), nodes)
+
+
 # --- quality and counts
 
 
@@ -791,6 +845,54 @@ def stream_ingest_split(spark, sf_dir):
     return members.select(*SNAPSHOT, "member_id", "number", "full_name", "set_hash")
 
 
+def _part_documents(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Snapshots in two parts: members that every week of a group lists, and those of the week only."""
+    events = fixtures.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("group_id"), fixtures.week_of(F.col("ts")).alias("run_ts"), "user_id"
+    )
+    extra = F.col("user_id") % 3 == 0
+    weeks = events.select("group_id", "run_ts").distinct()
+    base = events.where(~extra).select("group_id", "user_id").distinct()
+    own = events.where(extra).distinct()
+
+    def documents_of(rows: DataFrame) -> DataFrame:
+        member = F.struct(
+            F.col("user_id").alias("id"),
+            F.struct(F.lit("User").alias("default")).alias("firstName"),
+            F.struct(F.col("user_id").cast("string").alias("default")).alias("lastName"),
+        )
+        return rows.groupBy("group_id", "run_ts").agg(
+            F.to_json(F.struct(F.array_sort(F.collect_list(member)).alias("goalies"))).alias("payload")
+        ).withColumn("season", seasons.season_of(F.col("run_ts")))
+
+    return documents_of(weeks.join(base, "group_id")), documents_of(own)
+
+
+def _land_documents(docs: DataFrame, path: str) -> None:
+    docs.select(
+        "season",
+        F.col("group_id").alias("group"),
+        F.date_format("run_ts", "yyyyMMdd'T'HHmmss").alias("run"),
+        F.col("payload").alias("value"),
+    ).coalesce(1).write.mode("append").partitionBy("season", "group", "run").text(path)
+
+
+@query
+def stream_ingest_parts(spark, sf_dir):
+    """Members of the changed snapshots; the first part of each equals the part before, the other comes a batch later."""
+
+    def fill(root: str) -> None:
+        landed = f"{root}/landed"
+        for docs in _part_documents(spark, sf_dir):
+            _land_documents(docs, landed)
+            stream = documents.stream_documents(spark, landed, one_per_file=False)
+            ingest_stream(stream, f"{root}/warehouse", f"{root}/checkpoint").awaitTermination()
+
+    root = _once(spark, sf_dir, "parts", fill)
+    members = warehouse.ordered_members(spark, f"{root}/warehouse")
+    return members.select(*SNAPSHOT, "member_id", "full_name", "set_hash")
+
+
 @query
 def mart_rebuild(spark, sf_dir):
     """The mart completed last, of two versions and one that was never completed."""

@@ -55,15 +55,18 @@ def decide_against_state(
     existing: DataFrame | None = None,
     force: bool = False,
     keys: Sequence[str] = GROUP_KEYS,
-    known_run_unchanged: bool = False,
+    whole: bool = False,
 ) -> DataFrame:
     """Decide a batch of snapshots against stored state.
 
     A group may occur with several runs; each is then compared with the run before it, the
     first one with the state. Snapshots not newer than the state of their group are late:
-    marked so, and never compared with. With ``known_run_unchanged`` the very snapshot of the state, same
-    run time and hash, is unchanged instead. ``existing`` lists the groups that have stored
+    marked so, and never compared with. ``existing`` lists the groups that have stored
     snapshots; without it, having state counts as having snapshots. A NULL key is a key.
+
+    ``whole`` says that parts of a snapshot that came before are among its members, and that column ``known_hash``
+    holds the hash it had then, NULL for a new snapshot. The very snapshot of the state is then
+    compared with the state, not late, and a late one that is as it was is unchanged.
     """
     has_state = F.col("last_ingested").isNotNull()
     known = state.select(*keys, "current_hash", "last_ingested")
@@ -76,9 +79,10 @@ def decide_against_state(
             "_stored", F.col("_mark").isNotNull()
         ).drop("_mark")
     late = has_state & (F.col("run_ts") <= F.col("last_ingested"))
-    if known_run_unchanged:
-        same_run = F.col("run_ts").eqNullSafe(F.col("last_ingested"))
-        late = late & ~(same_run & F.col("set_hash").eqNullSafe(F.col("current_hash")))
+    again = F.lit(False)
+    if whole:
+        late = has_state & (F.col("run_ts") < F.col("last_ingested"))
+        again = F.coalesce(F.col("set_hash") == F.col("known_hash"), F.lit(False))
     joined = joined.withColumn("_late", late)
     window = Window.partitionBy(*keys, "_late").orderBy(F.col("run_ts").asc_nulls_last())
     previous = F.when(F.row_number().over(window) == 1, F.col("current_hash")).otherwise(
@@ -92,7 +96,7 @@ def decide_against_state(
         .withColumn("_seen", seen)
         .withColumn(
             "decision",
-            F.when(F.col("_late"), F.lit(LATE)).otherwise(
+            F.when(F.col("_late") & again, F.lit(UNCHANGED)).when(F.col("_late"), F.lit(LATE)).otherwise(
                 write_decision(F.col("set_hash"), F.col("previous_hash"), F.col("_seen"), force)
             ),
         )
@@ -140,16 +144,22 @@ def state_from_log(log: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFram
 
 def upsert_state(state: DataFrame, batch: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
     """Insert or replace by key: the newer row of state and batch wins, the batch on a tie."""
-    values = [c for c in state.columns if c not in keys]
     both = state.withColumn("_batch", F.lit(0)).unionByName(
         batch.select(*state.columns).withColumn("_batch", F.lit(1))
     )
+    return newest_state(both, keys)
+
+
+def newest_state(parts: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> DataFrame:
+    """The newest row of each key in state rows numbered by ``_batch``, the later batch on a tie."""
+    columns = [c for c in parts.columns if c != "_batch"]
+    values = [c for c in columns if c not in keys]
     newest = F.struct("last_ingested", "_batch", "last_run_id")
     return (
-        both.groupBy(*keys)
+        parts.groupBy(*keys)
         .agg(F.max_by(F.struct(*values), newest).alias("_row"))
         .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
-        .select(*state.columns)
+        .select(*columns)
     )
 
 

@@ -559,6 +559,40 @@ def oracle_sql() -> dict[str, str]:
       SELECT d.group_id, d.season, d.run_ts, replace(full_name, 'User ', '') AS member_id, number, full_name, set_hash
       FROM landed d JOIN l ON d.group_id = l.group_id AND d.season = l.season AND d.run_ts = l.run_ts
       WHERE previous IS DISTINCT FROM set_hash"""
+    season = "CAST(year(run_ts) - CAST(month(run_ts) < 10 AS INT) AS VARCHAR)"
+    q["stream_ingest_parts"] = _with(f"""
+      ev AS (SELECT DISTINCT event_type AS group_id, CAST(date_trunc('week', ts) AS TIMESTAMP) AS run_ts, user_id FROM events),
+      listed AS (SELECT w.group_id, w.run_ts, b.user_id FROM (SELECT DISTINCT group_id, run_ts FROM ev) w
+                 JOIN (SELECT DISTINCT group_id, user_id FROM ev WHERE user_id % 3 <> 0) b ON w.group_id = b.group_id
+                 UNION ALL SELECT group_id, run_ts, user_id FROM ev WHERE user_id % 3 = 0),
+      named AS (SELECT group_id, {season} AS season, run_ts, CAST(user_id AS VARCHAR) AS member_id,
+                  'User ' || CAST(user_id AS VARCHAR) AS full_name FROM listed),
+      h AS (SELECT group_id, season, run_ts,
+              md5(string_agg(full_name || '|N/A|N/A', '||' ORDER BY full_name)) AS set_hash
+            FROM named GROUP BY group_id, season, run_ts),
+      l AS (SELECT *, LAG(set_hash) OVER (PARTITION BY group_id, season ORDER BY run_ts) AS previous FROM h)""") + """
+      SELECT d.group_id, d.season, d.run_ts, member_id, full_name, set_hash
+      FROM named d JOIN l ON d.group_id = l.group_id AND d.season = l.season AND d.run_ts = l.run_ts
+      WHERE previous IS DISTINCT FROM set_hash"""
+    q["scd2_merge"] = q["scd2_history_collapsed"]
+    q["member_keys"] = """
+      SELECT member_id, ROW_NUMBER() OVER (ORDER BY batch, member_id) AS member_nk,
+        CASE WHEN batch = 0 THEN ROW_NUMBER() OVER (ORDER BY batch, member_id) END AS first_nk
+      FROM (SELECT CAST(user_id AS VARCHAR) AS member_id, MIN(day(ts) // 11) AS batch FROM events GROUP BY 1)"""
+    q["stamped_groups"] = """
+      SELECT DISTINCT event_type AS group_id, TIMESTAMP '2024-01-15' AS created_at, TIMESTAMP '2024-01-15' AS updated_at
+      FROM events"""
+    q["set_hash_tree"] = _with(SNAPS, """
+      m AS (SELECT group_id, season, run_ts, member || '|' || number || '|' || position AS t FROM snapshots),
+      leaves AS (SELECT group_id, season, run_ts, substr(md5(t), 1, 2) AS path,
+                   md5(string_agg(t, '||' ORDER BY t)) AS h, COUNT(*) AS n FROM m GROUP BY 1, 2, 3, 4),
+      mid AS (SELECT group_id, season, run_ts, substr(path, 1, 1) AS path,
+                md5(string_agg(path || ':' || h, '||' ORDER BY path || ':' || h)) AS h, SUM(n) AS n
+              FROM leaves GROUP BY 1, 2, 3, 4)""") + """
+      SELECT group_id, season, run_ts, md5(string_agg(path || ':' || h, '||' ORDER BY path || ':' || h)) AS set_hash,
+        CAST(SUM(n) AS BIGINT) AS member_count
+      FROM mid GROUP BY 1, 2, 3"""
+    q["membership_diff_trees"] = f"SELECT * FROM ({q['membership_diff']}) WHERE status <> 'stayed'"
     q["mart_rebuild"] = _with(SNAPS) + """
       SELECT group_id, season, COUNT(DISTINCT member) AS members_used FROM snapshots GROUP BY ALL"""
     q["stg_season_orders"] = _with(MESSY) + f"""

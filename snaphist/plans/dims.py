@@ -11,7 +11,7 @@ from snaphist.functions.codes import GROUP_NAMES, code_table, with_code_name
 from snaphist.functions.text import first_token, last_token
 from snaphist.functions.times import utc_now
 from snaphist.operators.scd2 import scd2
-from snaphist.operators.skew import Splits, split_hot_keys
+from snaphist.operators.skew import Splits, match_keys, split_hot_keys
 from snaphist.operators.surrogate import stable_key, surrogate_key
 from snaphist.plans.staging import stage_rows, stg_members
 
@@ -63,6 +63,7 @@ def dim_member(
     tracked: Sequence[str] = TRACKED,
     splits: Splits | None = None,
     runs: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Type 2 member dimension over staged rows.
 
@@ -108,9 +109,11 @@ def dim_member(
     numbered = surrogate_key(
         versions, ["member_id", "effective_date", "group_id"], "member_sk", ranged=True
     )
-    return numbered.withColumn("member_nk", F.col("member_sk")).select(
-        *DIM_MEMBER_COLUMNS, stable_key("member_id").alias("member_key")
-    )
+    if keys is None:
+        numbered = numbered.withColumn("member_nk", F.col("member_sk"))
+    else:
+        numbered = match_keys(numbered, keys.select("member_id", "member_nk"), ["member_id"], "left")
+    return numbered.select(*DIM_MEMBER_COLUMNS, stable_key("member_id").alias("member_key"))
 
 
 def dim_member_latest(

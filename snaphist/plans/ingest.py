@@ -43,7 +43,8 @@ def ingest(
     """Ingest ``docs`` (group_id, season, payload; optionally run_ts, landed_at, problem) as run ``run_id``.
 
     Only groups whose member set changed are stored and loaded; the log and the state cover
-    all of them. Late snapshots, and later parts of a known one, are stored as well but leave the
+    all of them. Snapshots are decided and stored whole: where earlier runs brought other parts of one, their
+    members join those of this run first (see ``assemble``). Late snapshots are stored as well but leave the
     state; ``warehouse.ordered_members`` puts them in their place. A group of which any document cannot be
     read writes nothing and keeps its state. Without a season a document belongs to that of its run time;
     without ``run_ts`` the run has the latest landing time. ``hash_form`` (listed or digest) is fixed by a
@@ -85,12 +86,10 @@ def ingest(
     before, version = warehouse.versions_of(warehouse.read_runs(spark, root), run_id)
     state = warehouse.read_state_version(spark, root, before)
 
-    snapshots = hash_sets(members, _SNAPSHOT, form)
-    decisions = decide_against_state(
-        snapshots, state, existing, force, known_run_unchanged=not force
-    )
+    members, snapshots = assemble(members, root, form, before)
+    decisions = decide_against_state(snapshots, state, existing, force, whole=True).drop("known_hash")
     warehouse.write_log(change_log(decisions.withColumn("run_id", F.lit(run_id))), root)
-    log = warehouse.read_log(spark, root).where(F.col("run_id") == run_id)
+    log = warehouse.read_log(spark, root, run_id)
 
     written = log.where(is_stored(F.col("decision"))).select(
         *_SNAPSHOT, "run_id", F.col("current_hash").alias("set_hash"), "member_count"
@@ -101,8 +100,7 @@ def ingest(
     payloads = match_keys(docs.drop("problem"), keys.select(*_SNAPSHOT), _SNAPSHOT, "left_semi")
     bronze.write_payloads(payloads.withColumn("run_id", F.lit(run_id)), root)
     bronze.write_manifest(bronze.manifest(written, root, source), root)
-    own_bronze = bronze.read_bronze(spark, root).where(F.col("run_id") == run_id)
-    warehouse.load_members(own_bronze, root, now)
+    warehouse.load_members(bronze.read_bronze(spark, root, run_id), root, now)
 
     batch = state_from_log(log).withColumn("updated_at", now)
     warehouse.update_state(batch, root, before, version)
@@ -112,6 +110,39 @@ def ingest(
     return statuses
 
 
+def assemble(members: DataFrame, root: str, form: str, before: int) -> tuple[DataFrame, DataFrame]:
+    """Members and hashes (keys, set_hash, member_count, known_hash) of the snapshots of a run, whole.
+
+    ``members`` are those that the run brings. Of a snapshot that committed runs up to state version ``before``
+    have seen, the members known by then are added, unless the run brings just these again. They
+    come from where they were stored; those of a part that was not stored, as it equalled an earlier snapshot, are that
+    snapshot's, and so are their attributes outside the hash. Only known snapshots are read and hashed anew.
+    """
+    spark = members.sparkSession
+    brought = materialize(hash_sets(members, _SNAPSHOT, form), "hashes")
+    found = warehouse.versions(spark, root, before)
+    # Late parts follow their snapshot soon, so the range of times leaves little of the log to read.
+    first, last = brought.agg(F.min("run_ts"), F.max("run_ts")).first()
+    in_reach = found.where(F.col("run_ts").between(F.lit(first), F.lit(last)))
+    known = warehouse.latest_versions(match_keys(in_reach, brought.select(*_SNAPSHOT), _SNAPSHOT, "left_semi"))
+    known = materialize(known, "known")
+    hashes = match_keys(
+        brought, known.select(*_SNAPSHOT, F.col("set_hash").alias("known_hash")), _SNAPSHOT, "left"
+    )
+    grown = hashes.where(F.col("known_hash").isNotNull() & (F.col("set_hash") != F.col("known_hash"))).select(*_SNAPSHOT)
+    if grown.isEmpty():
+        return members, hashes
+    wanted = match_keys(known, grown, _SNAPSHOT, "left_semi")
+    found = match_keys(found, grown.select(*GROUP_KEYS).distinct(), GROUP_KEYS, "left_semi")
+    earlier = warehouse.members_from(bronze.read_bronze(spark, root), warehouse.stored_under(found, wanted))
+    own = members.select("run_id", "source").limit(1).first()
+    earlier = earlier.withColumns({"run_id": F.lit(own["run_id"]), "source": F.lit(own["source"])})
+    members = materialize(members.unionByName(earlier.select(*members.columns)), "members")
+    again = hash_sets(match_keys(members, grown, _SNAPSHOT, "left_semi"), _SNAPSHOT, form)
+    whole = match_keys(again, known.select(*_SNAPSHOT, F.col("set_hash").alias("known_hash")), _SNAPSHOT, "left")
+    return members, match_keys(hashes, grown, _SNAPSHOT, "left_anti").unionByName(whole)
+
+
 def group_statuses(
     staged: DataFrame, log: DataFrame, tracked: DataFrame | None = None
 ) -> DataFrame:

@@ -175,7 +175,13 @@ RUNS = StructType(
     ]
 )
 
-STATE_INDEX = StructType([StructField("bucket", INT), StructField("version", BIGINT)])
+# Where the parts of a table are: the version that holds each bucket, and with a NULL bucket those that only add.
+INDEX = StructType([StructField("bucket", INT), StructField("version", BIGINT)])
+
+# The same per bucket of a history: which batch holds its versions and which hold rows of it.
+HISTORY_INDEX = StructType([StructField("kind", STRING), StructField("bucket", INT), StructField("number", BIGINT)])
+
+KEY_BATCHES = StructType([StructField("batch", BIGINT), StructField("run_id", STRING), StructField("last_number", BIGINT)])
 
 SETTINGS = StructType([StructField("hash_form", STRING)])
 

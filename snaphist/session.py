@@ -45,7 +45,8 @@ def _scratch_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/snaphist/{spark.sparkContext.applicationId}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, wherever Spark's paths lead."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -54,7 +55,7 @@ def _hadoop_path(spark: SparkSession, path: str):
 def new_dir(spark: SparkSession, name: str) -> str:
     """A folder of its own below the shared one, removed when the application ends."""
     scratch = _scratch_dir(spark)
-    where, files = _hadoop_path(spark, scratch)
+    where, files = hadoop_path(spark, scratch)
     files.mkdirs(where)
     files.deleteOnExit(where)
     return f"{scratch}/{name}-{uuid.uuid4().hex}"
@@ -62,7 +63,7 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it exists, wherever Spark's paths lead."""
-    where, files = _hadoop_path(spark, path)
+    where, files = hadoop_path(spark, path)
     files.delete(where, True)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from snaphist.functions.text import payload_kind, strip
 from snaphist.operators.latest import latest_per_key
 from snaphist.schemas import BRONZE, MANIFEST, PAYLOADS, STATE, to_schema
-from snaphist.sources.tables import read_table, write_partitions
+from snaphist.sources.tables import read_run, read_table, write_partitions
 
 GROUP_KEYS = ["group_id", "season"]
 
@@ -39,7 +39,9 @@ def write_bronze(members: DataFrame, root: str, by_group: bool = False) -> None:
     write_partitions(to_schema(members, BRONZE), bronze_path(root), layout)
 
 
-def read_bronze(spark: SparkSession, root: str) -> DataFrame:
+def read_bronze(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
+    if run_id is not None:
+        return read_run(spark, bronze_path(root), BRONZE, run_id, "season=*/")
     return read_table(spark, bronze_path(root), BRONZE)
 
 

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from snaphist.session import hadoop_path
+
+
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Whether anything matches ``path``, asked of the file system without listing below it."""
+    where, files = hadoop_path(spark, path)
+    return bool(files.globStatus(where))
+
 
 def read_table(
     spark: SparkSession, path: str, schema: StructType, format: str = "parquet"
@@ -14,13 +23,30 @@ def read_table(
 
     The schema is given, not inferred, so partition values keep their declared type.
     """
-    try:
-        table = spark.read.format(format).schema(schema).load(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not has_table(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.format(format).schema(schema).load(path).select(*schema.names)
+
+
+def read_run(
+    spark: SparkSession, path: str, schema: StructType, run_id: str, above: str = ""
+) -> DataFrame:
+    """The rows of one run of a table: only its own folders are listed, however many runs there are.
+
+    ``above`` is a pattern for the partition folders above the run's, such as ``season=*/``.
+    """
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    folder = f"{path}/{above}run_id=" + re.sub(r"([\\\[\]{}*?])", r"\\\1", escaped)
+    if not has_table(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(folder).select(*schema.names)
+
+
+def read_folders(spark: SparkSession, folders: list[str], schema: StructType) -> DataFrame:
+    """The rows of the given folders, none if there are no folders."""
+    if not folders:
         return spark.createDataFrame([], schema)
-    return table.select(*schema.names)
+    return spark.read.schema(schema).parquet(*folders)
 
 
 def write_partitions(
@@ -30,10 +56,11 @@ def write_partitions(
 
     A run writes only partitions named after it, so earlier runs stay untouched and a
     replay of the same run leaves the same rows once. The rebalance evens out file sizes:
-    Spark merges small and splits large partitions by their measured size.
+    Spark merges small and splits large partitions by their measured size. The run is the same in all rows
+    and so says nothing about where they should go.
     """
     if rebalance:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *[c for c in partition_by if c != "run_id"])
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from snaphist.functions.codes import DEFAULT_SOURCE
 from snaphist.plans.ingest import ingest
+from snaphist.streaming.gather import gather_parts
 
 
 def ingest_stream(
@@ -22,6 +23,7 @@ def ingest_stream(
     existing: Callable[[SparkSession], DataFrame] | None = None,
     keep_raw: bool = False,
     hash_form: str | None = None,
+    gather: str | None = None,
     available_now: bool = True,
     name: str = "ingest",
 ) -> StreamingQuery:
@@ -31,7 +33,8 @@ def ingest_stream(
     batch that Spark repeats after a failure replays its run instead of adding to it. State
     lives in the versioned state table: a snapshot older than its group's state is logged as
     late, stored, and replaces nothing. ``existing`` gives the groups with stored snapshots anew for each
-    batch; the other options are those of a run.
+    batch; the other options are those of a run. With ``gather``, such as "10 minutes", the documents of a
+    snapshot wait for further parts that long (see ``gather_parts``); the result is the same without.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
@@ -49,6 +52,8 @@ def ingest_stream(
             hash_form=hash_form,
         )
 
+    if gather is not None:
+        docs = gather_parts(docs, gather)
     writer = docs.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
