@@ -331,12 +331,59 @@ def test_mixing_odd(spark):
         taken[r.source] += r.taken
         target[r.source], size[r.source] = r.target, r.source_size
     assert all(abs(taken[s] - t) <= 2 for s, t in target.items())
-    again = mixing.mix(docs.repartition(5), block_words=5000).collect()
+    again = mixing.mix(docs.repartition(5), block_words=50, shard_words=500).collect()
     assert Counter((r.doc_id, r.text, r.taken) for r in again) == Counter((r.doc_id, r.text, r.taken) for r in rows)
+    assert mixing.mix(odd.empty(spark)).count() == 0
+
+
+def sources_of_words(spark, n=90, sources=3, seed=1):
+    draw = random.Random(seed)
+    rows = [(i, f"s{i % sources}", " ".join(f"w{draw.randrange(999)}" for _ in range(draw.randrange(1, 40)))) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, source string, text string")
+
+
+def test_mixing_follows_its_tree(spark):
+    """Another seed draws other blocks; sums stay, and what is taken is what the shards have drawn."""
+    docs = sources_of_words(spark)
+    found = {}
+    for seed in (1, 2):
+        rows = mixing.mix(docs, seed=seed, block_words=40, shard_words=200).collect()
+        taken = Counter()
+        for r in rows:
+            taken[r.source] += r.taken
+        assert all(abs(taken[r.source] - r.target) <= 1 for r in rows)
+        assert len({d.shard for r in rows for d in r.draws}) > 5
+        found[seed] = {r.doc_id: r.taken for r in rows}
+    assert found[1] != found[2]
+
+
+def test_draws_are_disjoint_and_complete(spark):
+    plan = mixing.pd.DataFrame({"sid": [0, 1, 2], "quota": [70, 11, 0], "blocks": [30, 4, 5]})
+    drawn = mixing._shards_of_blocks(spark, plan, 9, 3).collect()
+    places = sorted((r._drawn_sid, d.epoch * b + r._drawn_at) for r in drawn for b in [[30, 4, 5][r._drawn_sid]] for d in r._dealt)
+    assert places == [(0, j) for j in range(70)] + [(1, j) for j in range(11)]
+    sizes = Counter(d.shard for r in drawn for d in r._dealt)
+    assert sum(sizes.values()) == 81 and set(sizes.values()) == {9}
+
+
+def test_dealt_texts_are_whole(spark):
+    docs = sources_of_words(spark)
+    mixed = mixing.mix(docs, block_words=40, shard_words=200)
     dealt = mixing.deal(mixed, docs.columns)
     assert dealt.columns == docs.columns
-    assert sum(len(brute.WORD.findall(r.text)) for r in dealt.collect()) == sum(r.taken for r in rows)
-    assert mixing.mix(odd.empty(spark)).count() == 0
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    words, target = Counter(), {r.source: r.target for r in mixed.collect()}
+    for r in dealt.collect():
+        assert r.text == texts[r.doc_id]
+        words[r.source] += len(r.text.split())
+    assert all(abs(words[s] - t) <= 20.5 for s, t in target.items())
+
+
+def test_mixing_of_many_sources(spark):
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "concat('s', id) AS source", "repeat('w ', int(id % 5)) AS text")
+    total = mixing.mix(docs, shard_words=1 << 17).agg(F.sum("size"), F.sum("taken"), F.count_if(F.col("taken") > 3 * F.col("size")), F.count("*")).first()
+    assert total[2] == 0 and total[3] == 100_000
+    assert abs(total[0] - total[1]) < 0.05 * total[0]
 
 
 def test_splitting_tree_is_exact():
