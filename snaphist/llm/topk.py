@@ -218,7 +218,8 @@ def search(
         F.transform(F.col(vector).cast("array<double>"), lambda x: F.lit(scale) * x).alias("v"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    vectors = tiles(rows, tile_rows)
+    # Small input partitions are put together, so that tiles are full and pairs of tiles few.
+    vectors = tiles(rows.coalesce(max(1, -(-df.count() // tile_rows))), tile_rows)
     queries = _queries(vectors)
     lanes = max(1, min(vectors.count(), 4096))
     # The query set is dealt to each lane of vector tiles: a stated set, in blocks, against all rows.
@@ -246,7 +247,7 @@ def search(
                     "score": score[at, col],
                     "id": np.frombuffer(r["ids"], np.int64)[col],
                     "known": np.frombuffer(r["known"], bool)[col],
-                    "row": (r["tile"] << 16) + col,
+                    "row": col,
                 }
                 yield _pack(r["q_tile"], r["lane"], values)
 
