@@ -433,7 +433,7 @@ def search(
     vector: str,
     k: int = 20,
     target: float = 0.96,
-    shard_rows: int = 8192,
+    shard_rows: int = 2048,
     block_rows: int = 256,
     seed: int = 1,
 ) -> DataFrame:
