@@ -14,14 +14,14 @@ from snaphist.functions.hashing import row_hash
 from snaphist.operators import changes, settree, temporal
 from snaphist.operators.flatten import member_columns, parse_documents
 from snaphist.operators.latest import latest_per_key
-from snaphist.operators.quality import STANDARD_SUITE, ModelTests, run_suite
+from snaphist.operators.quality import STANDARD_SUITE, ModelTests, failing_rows, run_suite
 from snaphist.operators.scd2 import scd2
 from snaphist.operators.skew import split_hot_keys
 from snaphist.operators.sethash import drop_unnamed, set_digest, set_hash, with_set_hash
 from snaphist.operators.surrogate import surrogate_key
-from snaphist.plans import dims, ingest, report, staging
+from snaphist.plans import dims, ingest, report, sketches, staging
 from snaphist.session import materialize, new_dir, spread
-from snaphist.sources import bronze, documents, history, keys, tracked, warehouse
+from snaphist.sources import bronze, documents, history, images, keys, tracked, warehouse
 from snaphist.streaming.ingest_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +323,21 @@ def point_in_time(spark, sf_dir):
     )
 
 
+@query
+def point_in_time_images(spark, sf_dir):
+    """The same moment from a stored history of several periods, of which one is read."""
+    versions = scd2(fixtures.member_history(spark, sf_dir), "member", "ts", ["group_id"])
+
+    def fill(root: str) -> None:
+        stored = materialize(versions, "versions")
+        images.save_images(stored, root, rows_per_period=max(1, stored.count() // 8))
+
+    root = _once(spark, sf_dir, "images", fill)
+    return images.read_as_of(spark, root, "2024-01-15 12:00:00", versions.schema).select(
+        "member", "group_id", "effective_date", "end_date"
+    )
+
+
 @query
 def point_in_time_dates(spark, sf_dir):
     history = fixtures.member_history(spark, sf_dir)
@@ -424,6 +439,33 @@ def dq_messy(spark, sf_dir):
     return run_suite(models, suite)
 
 
+@query
+def dq_failing_rows(spark, sf_dir):
+    """The rows behind the failures, not only their number."""
+    tests = ModelTests(not_null=("member_id", "position"), unique=("member_id",))
+    rows = fixtures.messy_members(spark, sf_dir)
+    return failing_rows(rows, "messy", tests, ["row_id"])
+
+
+@query
+def members_used_sketch(spark, sf_dir):
+    """Whether estimates from the sketches of three runs are within four standard errors of the exact numbers."""
+    raw = fixtures.raw_members(spark, sf_dir)
+    rows = raw.withColumn("run_id", F.concat(F.lit("r"), (F.day("run_ts") / 11).cast("int").cast("string")))
+
+    def fill(root: str) -> None:
+        sketches.write_sketches(sketches.sketch_members(rows), root)
+
+    stored = sketches.read_sketches(spark, _once(spark, sf_dir, "sketches", fill))
+    estimates = sketches.estimate_members(stored)
+    exact = temporal.members_used(raw, member="member_id")
+    off = F.abs(F.col("members_estimate") - F.col("members_used"))
+    return exact.join(estimates, ["group_id", "season"], "left").select(
+        "group_id", "season", "members_used", "member_rows",
+        (off <= 4 * sketches.relative_error() * F.col("members_used")).alias("is_close"),
+    )
+
+
 @query
 def warehouse_counts(spark, sf_dir):
     models = _models(spark, sf_dir)
@@ -781,6 +823,20 @@ def ingest_replay(spark, sf_dir):
     return counted.join(runs, "run_id")
 
 
+@query
+def landing_replay(spark, sf_dir):
+    """Snapshots of a run whose documents had landed in part before, with those again, under a ledger."""
+
+    def fill(root: str) -> None:
+        docs = fixtures.snapshot_documents(spark, sf_dir)
+        early = docs.where(F.pmod(F.xxhash64("payload", "group_id"), F.lit(3)) == 0)
+        ingest.ingest(early, root, "b1", datetime.datetime(2024, 2, 5), ledger=True)
+        ingest.ingest(docs, root, "b2", datetime.datetime(2024, 2, 6), ledger=True)
+
+    members = warehouse.ordered_members(spark, _once(spark, sf_dir, "replayed", fill))
+    return members.select(*SNAPSHOT, "member_id", "number", "full_name", "position", "set_hash")
+
+
 @query
 def scd2_closed_groups(spark, sf_dir):
     """Members closed by the stored runs of their own group; unchanged runs are not stored."""

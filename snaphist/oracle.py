@@ -593,6 +593,16 @@ def oracle_sql() -> dict[str, str]:
         CAST(SUM(n) AS BIGINT) AS member_count
       FROM mid GROUP BY 1, 2, 3"""
     q["membership_diff_trees"] = f"SELECT * FROM ({q['membership_diff']}) WHERE status <> 'stayed'"
+    q["landing_replay"] = q["ingest_raw_members"]
+    q["point_in_time_images"] = q["point_in_time"]
+    q["dq_failing_rows"] = _with(MESSY) + """
+      SELECT 'messy' AS model, 'member_id' AS column_name, 'not_null' AS test, row_id FROM messy WHERE member_id IS NULL
+      UNION ALL SELECT 'messy', 'position', 'not_null', row_id FROM messy WHERE position IS NULL
+      UNION ALL SELECT 'messy', 'member_id', 'unique', row_id FROM messy
+      WHERE member_id IN (SELECT member_id FROM messy WHERE member_id IS NOT NULL GROUP BY member_id HAVING COUNT(*) > 1)"""
+    q["members_used_sketch"] = _with(RAW) + """
+      SELECT group_id, season, COUNT(DISTINCT member_id) AS members_used, COUNT(*) AS member_rows, TRUE AS is_close
+      FROM raw GROUP BY group_id, season"""
     q["mart_rebuild"] = _with(SNAPS) + """
       SELECT group_id, season, COUNT(DISTINCT member) AS members_used FROM snapshots GROUP BY ALL"""
     q["stg_season_orders"] = _with(MESSY) + f"""

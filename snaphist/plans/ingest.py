@@ -22,6 +22,7 @@ from snaphist.operators.sethash import hash_sets
 from snaphist.operators.skew import match_keys
 from snaphist.session import materialize, spread
 from snaphist.sources import bronze, warehouse
+from snaphist.sources import ledger as landing
 from snaphist.sources.tracked import keep_tracked
 
 _SNAPSHOT = [*GROUP_KEYS, "run_ts"]
@@ -39,6 +40,7 @@ def ingest(
     force: bool = False,
     keep_raw: bool = False,
     hash_form: str | None = None,
+    ledger: bool = False,
 ) -> DataFrame:
     """Ingest ``docs`` (group_id, season, payload; optionally run_ts, landed_at, problem) as run ``run_id``.
 
@@ -52,7 +54,10 @@ def ingest(
     last write, so after a crash at any point, or by mistake, the same run can be repeated
     and leaves the same tables. Runs of one warehouse must not overlap.
 
-    Returns one status row per group: success, failed (no members) or error.
+    With ``ledger`` the run records what has landed, and a document that an earlier run had for the same snapshot,
+    under whatever name, is not parsed again. Documents without a run time of their own are new each time.
+
+    Returns one status row per group: success, failed (no members), error, or repeated (no new document).
     """
     spark = docs.sparkSession
     optional = {"run_ts": "timestamp_ntz", "landed_at": "timestamp_ntz", "problem": "string"}
@@ -75,6 +80,14 @@ def ingest(
         "season", F.coalesce("season", season_of(F.col("run_ts")))
     ).drop("landed_at")
 
+    before, version = warehouse.versions_of(warehouse.read_runs(spark, root), run_id)
+    repeats = None
+    if ledger:
+        docs, repeats = landing.split_repeats(landing.with_digest(docs), root, before)
+        docs = materialize(docs, "landed")
+        landing.write_ledger(docs.where(F.col("problem").isNull()), root, run_id)
+        docs = docs.drop("digest")
+
     # Parsed once; hashing later reads four of the columns, storing the changed groups only.
     readable = docs.withColumn("payload", F.when(F.col("problem").isNull(), F.col("payload")))
     rows = parse_documents(readable, keep_raw=keep_raw)
@@ -83,7 +96,6 @@ def ingest(
     unreadable = staged.where("is_corrupt").select(*GROUP_KEYS).distinct()
     members = match_keys(to_members(staged), unreadable, GROUP_KEYS, "left_anti")
 
-    before, version = warehouse.versions_of(warehouse.read_runs(spark, root), run_id)
     state = warehouse.read_state_version(spark, root, before)
 
     members, snapshots = assemble(members, root, form, before)
@@ -105,7 +117,7 @@ def ingest(
     batch = state_from_log(log).withColumn("updated_at", now)
     warehouse.update_state(batch, root, before, version)
 
-    statuses = group_statuses(staged, log, tracked)
+    statuses = group_statuses(staged, log, tracked, repeats)
     warehouse.write_run(run_summary(statuses, run_id, run_ts, version), root)
     return statuses
 
@@ -144,14 +156,22 @@ def assemble(members: DataFrame, root: str, form: str, before: int) -> tuple[Dat
 
 
 def group_statuses(
-    staged: DataFrame, log: DataFrame, tracked: DataFrame | None = None
+    staged: DataFrame, log: DataFrame, tracked: DataFrame | None = None, repeats: DataFrame | None = None
 ) -> DataFrame:
-    """What happened to each group of a run; tracked groups without a document are errors."""
+    """What happened to each group of a run; tracked groups without a document are errors.
+
+    Groups of which all documents are among ``repeats`` are just that.
+    """
     groups = staged.groupBy(*GROUP_KEYS).agg(
         F.count("member").cast("bigint").alias("member_count"),
         F.max("is_corrupt").alias("_corrupt"),
         F.max("problem").alias("_problem"),
     )
+    groups = groups.withColumn("_again", F.lit(False))
+    if repeats is not None:
+        again = match_keys(repeats.select(*GROUP_KEYS).distinct(), groups, GROUP_KEYS, "left_anti")
+        none = {"member_count": F.lit(0).cast("bigint"), "_corrupt": F.lit(False), "_problem": F.lit(None).cast("string")}
+        groups = groups.unionByName(again.withColumns({**none, "_again": F.lit(True)}))
     writes = log.groupBy(*GROUP_KEYS).agg(
         F.max_by("current_hash", F.col("run_ts")).alias("set_hash"),
         F.max(is_stored(F.col("decision"))).alias("wrote_bronze"),
@@ -162,6 +182,7 @@ def group_statuses(
             F.lit(0).cast("bigint").alias("member_count"),
             F.lit(None).cast("boolean").alias("_corrupt"),
             F.lit(None).cast("string").alias("_problem"),
+            F.lit(False).alias("_again"),
         )
         groups = groups.unionByName(absent)
     failed = F.when(F.col("_corrupt").isNull(), F.lit("no document")).when(
@@ -169,7 +190,8 @@ def group_statuses(
     )
     return match_keys(groups, writes, GROUP_KEYS, "left").select(
         *GROUP_KEYS,
-        F.when(F.coalesce("_corrupt", F.lit(True)), F.lit("error"))
+        F.when(F.col("_again"), F.lit("repeated"))
+        .when(F.coalesce("_corrupt", F.lit(True)), F.lit("error"))
         .when(F.col("member_count") == 0, F.lit("failed"))
         .otherwise(F.lit("success"))
         .alias("status"),
@@ -177,7 +199,7 @@ def group_statuses(
         "set_hash",
         F.coalesce("wrote_bronze", F.lit(False)).alias("wrote_bronze"),
         F.coalesce(
-            failed, F.when(F.col("member_count") == 0, F.lit("no members found"))
+            failed, F.when(~F.col("_again") & (F.col("member_count") == 0), F.lit("no members found"))
         ).alias("error"),
     )
 

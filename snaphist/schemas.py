@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     IntegerType,
     LongType,
@@ -183,6 +184,27 @@ HISTORY_INDEX = StructType([StructField("kind", STRING), StructField("bucket", I
 
 KEY_BATCHES = StructType([StructField("batch", BIGINT), StructField("run_id", STRING), StructField("last_number", BIGINT)])
 
+SKETCHES = StructType(
+    [
+        StructField("group_id", STRING),
+        StructField("season", STRING),
+        StructField("run_id", STRING),
+        StructField("run_ts", TIMESTAMP),
+        StructField("sketch", BinaryType()),
+        StructField("member_rows", BIGINT),
+    ]
+)
+
+LEDGER = StructType(
+    [
+        StructField("group_id", STRING),
+        StructField("season", STRING),
+        StructField("run_ts", TIMESTAMP),
+        StructField("digest", STRING),
+        StructField("run_id", STRING),
+    ]
+)
+
 SETTINGS = StructType([StructField("hash_form", STRING)])
 
 POINTER = StructType([StructField("number", BIGINT), StructField("version", STRING)])
