@@ -16,11 +16,13 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaphist.llm import words as W
 from snaphist.llm.store import fetch, small, table
+from snaphist.session import remove_table
 
 # Share of trusted documents whose perplexity is within their language's limit.
 QUANTILE = 0.998
@@ -32,7 +34,7 @@ MIN_HELD = 100
 SHARD_WORDS = 1 << 20
 MIN_SHARDS = 24
 # Documents are scored in so many rounds, which bounds the shuffle files that exist at once.
-ROUNDS = 8
+ROUNDS = 16
 # Trigrams gathered in a task before they are dealt on.
 CHUNK = 1 << 20
 
@@ -198,7 +200,9 @@ def _count_trigrams(sample: DataFrame, hashes: np.ndarray, shards: int) -> DataF
                     (s, _COUNTS, len(at), _pack(a[at], b[at], c[at], n[at]), None) for s, at in _dealt(a, b, shards)
                 ])
 
-    return _added_up(sample.select("text").mapInArrow(read, _PACKED), "u4u4u4i8", "lm-trigrams")
+    counted = _added_up(sample.select("text").mapInArrow(read, _PACKED), "u4u4u4i8", "lm-trigrams")
+    shared.destroy()
+    return counted
 
 
 def _count_bigrams(tri: DataFrame, shards: int) -> DataFrame:
@@ -269,6 +273,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Trained:
     total, rare = seen.agg(F.sum("n"), F.count_if(F.col("n") < MIN_COUNT)).first()
     shards = max(MIN_SHARDS, (total or 0) // SHARD_WORDS)
     tri = _count_trigrams(sample, hashes, shards)
+    # The counts are written; what they came from is needed no more.
+    for used in (sample, seen, chosen):
+        remove_table(used)
     bi = _count_bigrams(tri, shards)
     # Chance of one particular word among those not in the vocabulary.
     model = Trained(hashes, float(np.log(max(1, rare))), shards)
@@ -354,10 +361,11 @@ def trigram_scores(a: np.ndarray, b: np.ndarray, c: np.ndarray, model: Trained)
     return _logs(model, (_pair(first, second), n), b, c, share, weight)
 
 
-def _sums(texts: DataFrame, model: Trained) -> DataFrame:
-    """(_key, total, n): summed log probability and how many there are of each text; equal texts may add up."""
-    plain = Model(**{k: getattr(model, k) for k in Model.__dataclass_fields__})
-    shared = texts.sparkSession.sparkContext.broadcast(plain)
+def _sums(texts: DataFrame, model: Trained, shared: Broadcast) -> DataFrame:
+    """(_key, total, n): summed log probability and how many there are of each text; equal texts may add up.
+
+    ``shared`` is the model without its tables.
+    """
 
     def asked(shard: int, at: np.ndarray, columns: list[np.ndarray], text: np.ndarray, keys: np.ndarray) -> tuple:
         own, of = np.unique(text[at], return_inverse=True)
@@ -432,14 +440,20 @@ def score(docs: DataFrame, fitted: Trained) -> DataFrame:
     that their ratio is the same.
     """
     keyed = docs.withColumn("_key", text_key(F.col("text")))
+    plain = Model(**{k: getattr(fitted, k) for k in Model.__dataclass_fields__})
+    # Sent once for all rounds, and dropped when their sums are written.
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
     parts = []
     for i in range(ROUNDS):
         own = keyed.where(F.pmod("_key", F.lit(ROUNDS)) == i)
-        parts.append(table(_sums(own, fitted), "lm-sums"))
+        parts.append(table(_sums(own, fitted, shared), "lm-sums"))
+    shared.destroy()
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
     sums = table(sums.select(F.col("_key").alias("_of"), F.col("total").alias("_total"), F.col("n").alias("_n")), "lm-sums")
+    for part in parts:
+        remove_table(part)
 
     def count(text: pa.Array) -> pa.Array:
         column = pa.RecordBatch.from_arrays([text], names=["text"])
