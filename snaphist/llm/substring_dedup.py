@@ -2,13 +2,14 @@
 
 The suffixes of all texts that begin at sampled places are split by their first words. Prefixes met in
 one document only have no repeat below them and go at once. Of those left, a group of ordinary size
-is one subtree: its suffixes are sorted, with the words before them that a repeat may include, and
-neighbours that agree over ``length`` words are the deep internal nodes, each with the smallest
-document below it. A large group is split by a prefix longer by up to the whole ``length``; at that
-depth a node's rows are all alike, so its smallest document is a plain aggregate.
+is one subtree: its suffixes are sorted by their words, ranked exactly by doubling, and neighbours whose common
+prefix is ``length`` words or longer lie below one deep internal node, which knows the smallest document below it. A
+large group is split by a prefix longer by up to the whole ``length``; at that depth a node's rows are
+all alike, so its smallest document is a plain aggregate over the words themselves.
 
 A place is sampled if its prefix hashes lowest among those of some window of ``length`` words.
-Equal windows sample the same place, so each repeat of ``length`` words begins at a suffix that is kept.
+Equal windows sample the same place, so each repeat of ``length`` words begins at a suffix that is kept. Hashes say
+only which suffixes meet in a group; that words are equal is found by comparing words.
 """
 
 from __future__ import annotations
@@ -52,9 +53,9 @@ def sampled(h: np.ndarray, first: np.ndarray, length: int, prefix: int):
     return starts, place, grams, n
 
 
-def hashed(t: W.Texts) -> tuple[W.Words, np.ndarray]:
+def hashed(t: W.Texts, bits: int = 64) -> tuple[W.Words, np.ndarray]:
     w = W.words(t)
-    return w, W.hash_spans(t.buf, w.starts, w.ends)
+    return w, W.hash_spans(t.buf, w.starts, w.ends) >> np.uint64(64 - bits)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -66,14 +67,14 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def _places(docs: DataFrame, length: int, prefix: int, columns: list[str]) -> DataFrame:
+def _places(docs: DataFrame, length: int, prefix: int, columns: list[str], bits: int) -> DataFrame:
     """(key, doc_id, row_key, place) of the sampled suffixes of each text; ``place`` counts words."""
     kinds = {"key": "long", "doc_id": "long", "row_key": "long", "place": "long"}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                w, h = hashed(W.texts(part.column(2)))
+                w, h = hashed(W.texts(part.column(2)), bits)
                 _, place, grams, n = sampled(h, w.first, length, prefix)
                 # Windows of a text that share a place stand in a row.
                 keep = np.r_[True, place[1:] != place[:-1]][: len(place)]
@@ -89,9 +90,9 @@ def _places(docs: DataFrame, length: int, prefix: int, columns: list[str]) -> Da
     return _rows(docs).mapInArrow(read, ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 
-def prefixes(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
+def prefixes(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, bits: int = 64) -> DataFrame:
     """(key, n): prefixes of sampled suffixes that occur in several documents, and how often."""
-    found = _places(docs, length, prefix, ["key", "doc_id"]).groupBy("key").agg(
+    found = _places(docs, length, prefix, ["key", "doc_id"], bits).groupBy("key").agg(
         F.min("doc_id").alias("low"),
         F.max("doc_id").alias("high"),
         F.count("*").alias("n"),
@@ -122,14 +123,14 @@ def _joined(t: W.Texts, w: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def _suffix_rows(part: pa.RecordBatch, length: int, prefix: int, wanted) -> pa.RecordBatch:
+def _suffix_rows(part: pa.RecordBatch, length: int, prefix: int, bits: int, wanted) -> pa.RecordBatch:
     """Suffixes of one slice with a repeated prefix, each with the words that its windows span.
 
     ``wanted(key, place, w)`` tells for each window whether its prefix is repeated, and if it is large.
     A large one gives a row per window.
     """
     t = W.texts(part.column(2))
-    w, h = hashed(t)
+    w, h = hashed(t, bits)
     starts, place, grams, n = sampled(h, w.first, length, prefix)
     row = np.repeat(np.arange(len(n)), n)
     hit, large = wanted(grams[place], place, w)
@@ -160,6 +161,7 @@ def suffixes(
     prefix: int = PREFIX,
     group_rows: int = GROUP_ROWS,
     max_broadcast: int = MAX_BROADCAST_PREFIXES,
+    bits: int = 64,
 ) -> DataFrame:
     """(key, large, span, doc_id, row_key, start) of the suffixes with a repeated prefix."""
     if repeated.limit(max_broadcast + 1).count() <= max_broadcast:
@@ -180,11 +182,11 @@ def suffixes(
 
             for batch in batches:
                 for part in W.slices(batch, "text"):
-                    yield _suffix_rows(part, length, prefix, wanted)
+                    yield _suffix_rows(part, length, prefix, bits, wanted)
 
         return _rows(docs).mapInArrow(read, _SUFFIX)
 
-    places = _places(docs, length, prefix, ["key", "doc_id", "row_key", "place"])
+    places = _places(docs, length, prefix, ["key", "doc_id", "row_key", "place"], bits)
     per_row = (
         places.join(repeated.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"))
         .select("doc_id", "row_key", F.struct("place", (F.col("n") > group_rows).alias("large")).alias("at"))
@@ -206,7 +208,7 @@ def suffixes(
                     hit = at[i] == place
                     return hit, hit & big[i]
 
-                yield _suffix_rows(part, length, prefix, wanted)
+                yield _suffix_rows(part, length, prefix, bits, wanted)
 
     rows = same(_rows(docs), per_row, {"doc_id": "_id", "row_key": "_row"}, "inner")
     return rows.select("doc_id", "row_key", "text", "places", "large").mapInArrow(read_joined, _SUFFIX)
@@ -216,16 +218,41 @@ _FOUND = "doc_id long, row_key long, start long, mask long"
 _NO_ID = np.iinfo(np.int64).max
 
 
+def _ranks(t: W.Texts, w: W.Words, length: int) -> np.ndarray:
+    """For each word a number that orders the ``length`` words from there on, equal if they are equal.
+
+    Words are numbered in their own order, then pairs of such numbers, pairs of those, and so on: no hash is
+    involved. Numbers of words with fewer than ``length`` left mean nothing.
+    """
+    coded = _binary(t.buf, w.starts, w.ends).dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    place = np.empty(len(distinct), np.int64)
+    place[sorted(range(len(distinct)), key=distinct.__getitem__)] = np.arange(len(distinct))
+    rank = place[coded.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
+
+    def paired(step: int) -> np.ndarray:
+        after = np.zeros(len(rank), np.int64)
+        after[: max(0, len(rank) - step)] = rank[step:]
+        return (rank << 32) | after
+
+    covered = 1
+    while covered < length:
+        step = min(covered, length - covered)
+        rank = np.unique(paired(step), return_inverse=True)[1].astype(np.int64)
+        covered += step
+    return rank
+
+
 def _subtrees(batch: pa.RecordBatch, length: int) -> pa.RecordBatch:
     """Windows of whole groups that some smaller document has too, as a bit mask per suffix."""
     t = W.texts(batch.column(1))
-    w, h = hashed(t)
+    w = W.words(t)
     starts, n = W.run_starts(w.first, length)
     row = np.repeat(np.arange(len(n)), n)
     key = batch.column(0).to_numpy()[row]
     doc = batch.column(2).fill_null(_NO_ID).to_numpy()[row]
-    code = W.runs(h, length)[starts]
-    # In this order neighbours with equal codes agree over the whole length: a deep internal node.
+    code = _ranks(t, w, length)[starts]
+    # Suffixes in the order of their words; neighbours of one rank share ``length`` words: a deep internal node.
     order = np.lexsort((doc, code, key))
     first = np.r_[True, (key[order][1:] != key[order][:-1]) | (code[order][1:] != code[order][:-1])][: len(order)]
     lowest = doc[order][np.flatnonzero(first)][np.cumsum(first) - 1]
@@ -273,12 +300,12 @@ def repeats(found: DataFrame, length: int = LENGTH) -> DataFrame:
         .sortWithinPartitions("key")
         .mapInArrow(walk, _FOUND)
     )
-    # Whole windows: rows of a group are alike, so the smallest document is combined before the shuffle.
+    # Whole windows: rows of the same words are alike, so the smallest document is combined before the shuffle.
     whole = found.where("large").select(
-        "key", "doc_id", "row_key", "start", F.coalesce("doc_id", F.lit(_NO_ID)).alias("rank")
+        "span", "doc_id", "row_key", "start", F.coalesce("doc_id", F.lit(_NO_ID)).alias("rank")
     )
-    lowest = whole.groupBy(F.col("key").alias("_key")).agg(F.min("rank").alias("_low"))
-    deep = whole.join(lowest, F.col("key") == F.col("_key")).where("rank > _low")
+    lowest = whole.groupBy(F.col("span").alias("_span")).agg(F.min("rank").alias("_low"))
+    deep = whole.join(lowest, F.col("span") == F.col("_span")).where("rank > _low")
     return ordinary.unionByName(
         deep.select("doc_id", "row_key", "start", F.lit(1).cast("long").alias("mask"))
     )
@@ -290,6 +317,7 @@ def remove(
     prefix: int = PREFIX,
     group_rows: int = GROUP_ROWS,
     max_broadcast: int = MAX_BROADCAST_PREFIXES,
+    bits: int = 64,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, text): each text without what a smaller document also has.
 
@@ -297,10 +325,11 @@ def remove(
     also stands in a document with a smaller doc_id goes; windows are judged on the input. ``text`` is the
     words left, joined by one space. Null or empty text has no words. A null doc_id counts as larger
     than all others and as equal to another null. Rows with equal doc_id take nothing from each other.
-    Other columns, whatever their names, are ignored. An empty table gives no rows.
+    Other columns, whatever their names, are ignored. An empty table gives no rows. ``bits`` of each word's hash are
+    used to deal suffixes to groups; the result is the same with few.
     """
-    repeated = table(prefixes(docs, length, prefix), "prefixes")
-    found = table(suffixes(docs, repeated, length, prefix, group_rows, max_broadcast), "suffixes")
+    repeated = table(prefixes(docs, length, prefix, bits), "prefixes")
+    found = table(suffixes(docs, repeated, length, prefix, group_rows, max_broadcast, bits), "suffixes")
     marks = table(repeats(found, length), "repeats")
     per_row = marks.groupBy(F.col("doc_id").alias("_id"), F.col("row_key").alias("_row")).agg(
         F.collect_list("start").alias("starts"), F.collect_list("mask").alias("masks")
