@@ -8,12 +8,15 @@ functions run, row by row: there is no shuffle.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snaphist.llm.license_texts import TEXTS
 from snaphist.llm.store import ascii_lower
 
 # The base phrases and their labels.
@@ -65,17 +68,6 @@ FAMILIES = [
     ("public-domain", "public domain", r"public domain( dedication)?", ()),
 ]
 
-# Signatures that stand for a licence text rather than its name: label, keyword, expression.
-TEXTS = [
-    ("mit", "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy"),
-    ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("gpl", "free software foundation", r"terms of the gnu general public license as published by the free software foundation"),
-    ("apache", "except in compliance", r"you may not use this file except in compliance with the license"),
-    ("proprietary", "all rights reserved", r"(copyright )?all rights reserved"),
-    ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
-]
-
 # SPDX identifiers and short names by label, the longer before those they begin with; a few are clear by themselves.
 SHORT = {
     "agpl": r"(gnu )?agpl", "lgpl": r"(gnu )?lgpl", "gpl": r"(gnu )?gpl", "gfdl": r"(gnu )?gfdl", "apache": "apache",
@@ -88,6 +80,8 @@ SHORT = {
 }
 CLEAR = ("agpl", "lgpl", "gpl", "gfdl", "eupl", "cddl", "wtfpl", "odbl")
 SPDX = "spdx license identifier {}"
+# Stems that many licence texts share and other texts seldom hold.
+STEMS = ("permission", "redistribut", "copyright", "warrant", "public domain", "software")
 # What stands before a short name in every form but the bare one.
 _LEAD = r"(under|of|the|identifier) "
 
@@ -114,9 +108,16 @@ class Rule:
     probe: str = ""
 
     def anchor(self) -> str:
-        """What any text that the rule fits contains, as rare as possible."""
-        spelled = "licen[cs]e" in self.pattern or re.search(r"(^| )license\b", self.pattern)
-        return "licen" if spelled else self.keyword
+        """What any text that the rule fits contains, as rare as possible and shared by many rules."""
+        sure = self.pattern
+        while "(" in sure:
+            inner = re.sub(r"\([^()]*\)\??(\{\d+,\d+\})?", "", sure)
+            sure = inner if inner != sure else ""
+        if "licen[cs]e" in self.pattern or re.search(r"(^| )license\b", self.pattern):
+            return "licen"
+        if "|" in sure:
+            return self.keyword
+        return next((stem for stem in STEMS if re.search(rf"(^| ){stem}", sure)), self.keyword)
 
 
 def rules() -> list[Rule]:
@@ -163,50 +164,114 @@ def _spaces(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it occurs there."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(values: Column) -> Column:
+    """An array in pieces of about the square root of its size, so that work on pairs within a piece and on
+    the pieces stays far below the square of the size."""
+    size = F.size(values)
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(size)).cast("int"))
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), size - 1), width)
+    return F.transform(starts, lambda i: F.slice(values, i + 1, width))
+
+
+def _placed(steps: Column) -> Column:
+    """Intervals of hits from how many words each has and how many come between it and the one before."""
+    spans = "array<struct<start:int,stop:int>>"
+
+    def sums(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x.b + x.h))
+        return F.aggregate(
+            totals, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
+        )
+
+    def within(chunk: Column, begin: Column) -> Column:
+        return F.aggregate(
+            chunk,
+            F.struct(begin.alias("n"), F.array().cast(spans).alias("out")),
+            lambda acc, x: F.struct(
+                (acc.n + x.b + x.h).alias("n"),
+                F.concat(
+                    acc.out,
+                    F.array(F.struct((acc.n + x.b).alias("start"), (acc.n + x.b + x.h).alias("stop"))),
+                ).alias("out"),
+            ),
+            lambda acc: acc.out,
+        )
+
+    return _let(
+        _chunks(steps),
+        lambda chunks: F.flatten(F.zip_with(chunks, F.slice(sums(chunks), 1, F.size(chunks)), within)),
+    )
+
+
 def places(words: Column, pattern: Column) -> Column:
     """Intervals of words, end exclusive, at which ``pattern``, which begins with a space, fits."""
-    hits = F.regexp_extract_all(words, pattern, F.lit(0))
-    before = F.slice(F.split(words, pattern, -1), F.lit(1), F.size(hits))
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
-    return F.aggregate(
-        F.zip_with(before, hits, lambda b, h: F.struct(_spaces(b).alias("b"), _spaces(h).alias("h"))),
-        F.struct(F.lit(0).alias("n"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc.n + x.b + x.h).alias("n"),
-            F.concat(
-                acc.out,
-                F.array(F.struct((acc.n + x.b).alias("start"), (acc.n + x.b + x.h).alias("stop"))),
-            ).alias("out"),
+
+    def steps(hits: Column) -> Column:
+        before = F.slice(F.split(words, pattern, -1), F.lit(1), F.size(hits))
+        return F.zip_with(before, hits, lambda b, h: F.struct(_spaces(b).alias("b"), _spaces(h).alias("h")))
+
+    return _let(F.regexp_extract_all(words, pattern, F.lit(0)), lambda hits: _let(steps(hits), _placed))
+
+
+def _unsuppressed(found: Column) -> Column:
+    """Detections that lie in none of an earlier rule, nor at the same place as one.
+
+    In order of their starts, a piece of the detections is compared with those only that reach into its words.
+    """
+    ordered = F.array_sort(
+        F.transform(
+            found,
+            lambda d: F.struct(
+                d.start.alias("start"), d.stop.alias("stop"), d["rank"].alias("rank"), d.label.alias("label")
+            ),
+        )
+    )
+
+    def piece(every: Column, chunk: Column) -> Column:
+        first, last = F.get(chunk, F.lit(0)).start, F.get(chunk, F.size(chunk) - 1).start
+        near = F.filter(every, lambda e: (e.start <= last) & (e.stop > first))
+        return _let(
+            near,
+            lambda known: F.filter(
+                chunk,
+                lambda d: ~F.exists(
+                    known, lambda e: (e["rank"] < d["rank"]) & (e.start <= d.start) & (e.stop >= d.stop)
+                ),
+            ),
+        )
+
+    kept = _let(ordered, lambda every: F.flatten(F.transform(_chunks(every), lambda chunk: piece(every, chunk))))
+    by_rule = F.transform(
+        kept,
+        lambda d: F.struct(
+            d["rank"].alias("rank"), d.start.alias("start"), d.stop.alias("stop"), d.label.alias("label")
         ),
-        lambda acc: acc.out,
     )
+    return F.array_sort(by_rule)
 
 
 def _pattern(inner: str) -> str:
     return f" (?:{inner})(?= |\\z)"
 
 
+_RULES = "array<struct<keyword:string,probe:string,rules:array<struct<rank:int,label:string,pattern:string>>>>"
+
+
 def _rule_table(made: list[Rule]) -> Column:
-    """Rules by what gates them: (keyword, probe, rules (rank, label, pattern))."""
-    gated: dict[tuple[str, str], list[Column]] = {}
+    """Rules by what gates them: (keyword, probe, rules (rank, label, pattern)), one literal to Spark's planner."""
+    gated: dict[tuple[str, str], list[dict]] = {}
     for i, r in enumerate(made):
-        gated.setdefault((r.keyword, r.probe), []).append(
-            F.struct(
-                F.lit(i).alias("rank"),
-                F.lit(r.label).alias("label"),
-                F.lit(_pattern(r.pattern)).alias("pattern"),
-            )
-        )
-    return F.array(
-        *[
-            F.struct(
-                F.lit(f" {keyword}").alias("keyword"),
-                F.lit(f" (?:{probe})").alias("probe"),
-                F.array(*listed).alias("rules"),
-            )
-            for (keyword, probe), listed in gated.items()
-        ]
-    )
+        rule = {"rank": i, "label": r.label, "pattern": _pattern(r.pattern)}
+        gated.setdefault((r.keyword, r.probe), []).append(rule)
+    rows = [
+        {"keyword": f" {keyword}", "probe": f" (?:{probe})", "rules": listed} for (keyword, probe), listed in gated.items()
+    ]
+    return F.from_json(F.lit(json.dumps(rows)), _RULES)
 
 
 def detect(docs: DataFrame, made: list[Rule] | None = None) -> DataFrame:
@@ -263,17 +328,10 @@ def detect(docs: DataFrame, made: list[Rule] | None = None) -> DataFrame:
         F.when(F.col("_gate"), base).otherwise(none).alias("_base"),
         F.when(F.col("_gate"), found).otherwise(F.array().cast(ranked)).alias("_found"),
     )
-    # Inside one of an earlier rule, or the same place again.
-    kept = F.filter(
-        "_found",
-        lambda d: ~F.exists(
-            "_found", lambda e: (e["rank"] < d["rank"]) & (e.start <= d.start) & (e.stop >= d.stop)
-        ),
-    )
     rows = rows.select(
         "doc_id", "n_words", "_base",
         F.transform(
-            kept,
+            _unsuppressed(F.col("_found")),
             lambda d: F.struct(d.label.alias("label"), d.start.alias("start"), d.stop.alias("stop")),
         ).alias("detections"),
     )
