@@ -291,6 +291,75 @@ def test_substring_dedup(spark, group_rows, most):
         assert r.n_words - r.n_removed == len(want[r.doc_id])
 
 
+@pytest.mark.parametrize("group_rows", [100_000, 3])
+def test_substring_dedup_compares_words(spark, group_rows):
+    """With four bits of each word's hash nearly everything collides, and the result is the same."""
+    texts = ONCE[:7] + [(d + 1000, t) for d, t in WINDOWED]
+    rows = substring_dedup.remove(odd.documents(spark, texts), group_rows=group_rows, bits=4).collect()
+    assert {r.doc_id: r.text for r in rows} == {d: " ".join(w) for d, w in brute.kept_words(texts, 13).items()}
+
+
+def test_ranks_are_in_the_order_of_words():
+    draw = random.Random(6)
+    words = [draw.choice(["a", "b", "ab", "é", "zz"]) for _ in range(400)]
+    t = W.texts(pa.array([" ".join(words)]))
+    for length in (1, 3, 13):
+        rank = substring_dedup._ranks(t, W.words(t), length)[: 400 - length + 1]
+        runs = [[w.encode() for w in words[i : i + length]] for i in range(len(rank))]
+        assert np.argsort(rank, kind="stable").tolist() == sorted(range(len(rank)), key=lambda i: runs[i])
+        assert len(set(rank.tolist())) == len({tuple(r) for r in runs})
+
+
+def test_many_license_places_take_linear_work(spark):
+    """Places beyond one piece, many detections over one another, and an early rule that holds late ones."""
+    n = 3000
+    text = "mit license " * n + "licensed under the mit license"
+    made = [license_rules.Rule("long", "license", "license mit license"), license_rules.Rule("mit", "mit", "mit license"),
+            license_rules.Rule("word", "license", "license")]
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = [(d.label, d.start, d.stop) for d in license_rules.detect(docs, made).first().detections]
+    plain = []
+    for rank, (label, pattern) in enumerate((("long", "license mit license"), ("mit", "mit license"), ("word", "license"))):
+        at, words, size = 0, text.split(), len(pattern.split())
+        while at <= len(words) - size:
+            if words[at : at + size] == pattern.split():
+                plain.append((rank, at, at + size, label))
+                at += size
+            else:
+                at += 1
+    longs = {s for r, s, _, _ in plain if r == 0}
+    mits = {s for r, s, _, _ in plain if r == 1}
+    inside = lambda r, s, e: (r > 0 and any(x <= s and e <= x + 3 for x in (s, s - 1, s - 2) if x in longs)) or (
+        r > 1 and any(x <= s and e <= x + 2 for x in (s, s - 1) if x in mits))
+    assert found == [(label, s, e) for r, s, e, label in sorted(plain) if not inside(r, s, e)]
+
+
+def test_license_texts(spark):
+    """Words of licences and notices, without their names."""
+    lines = {
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions": "bsd",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software": "bsd-3-clause",
+        "You may not use this file except in compliance with the License.": "apache",
+        "http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0",
+        "either version 3 of the License": "",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY": "gpl",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.": "mpl-2.0",
+        "https://creativecommons.org/licenses/by-nc-sa/4.0/": "cc-by-nc-sa",
+        "The origin of this software must not be misrepresented; you must not claim": "zlib",
+        "The Software shall be used for Good, not Evil.": "json",
+        "No part of this book may be reproduced": "proprietary",
+        "warranty and permission are plain words, as software is": "",
+    }
+    rows = {r.doc_id: r.labels for r in license_rules.detect(odd.documents(spark, list(enumerate(lines)))).collect()}
+    assert [rows[i] for i in range(len(lines))] == list(lines.values())
+    texts = [r for r in license_rules.rules() if (r.label, r.keyword, r.pattern) in license_rules.TEXTS]
+    assert len(texts) == len(license_rules.TEXTS) > 150
+    for r in license_rules.rules():
+        for way in r.pattern.split("|") if "(" not in r.pattern else [r.pattern]:
+            assert r.anchor() in ("licen", *license_rules.STEMS) or r.anchor() == r.keyword, way
+
+
 def test_substring_dedup_ties_and_empty(spark):
     rows = substring_dedup.remove(odd.documents(spark)).collect()
     assert len(rows) == len(odd.TEXTS)

@@ -132,3 +132,20 @@ def test_pipeline(spark):
     key = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32)
     assert sum(r.length for r in again) == sum(r.length for r in pieces)
     assert {k[0] for k in map(key, again)} == {k[0] for k in map(key, pieces)}
+
+
+@pytest.mark.parametrize("rows", ["odd", "empty"])
+def test_pipeline_on_odd_tables(spark, tmp_path, rows):
+    """Nulls, empty and very long texts, repeated rows and clashing columns go through every stage."""
+    from tests.llm import odd
+
+    docs = odd.documents(spark) if rows == "odd" else odd.empty(spark)
+    odd.labels(spark).write.parquet(str(tmp_path / "labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = corpus_pipeline.table(stage(spark, docs, str(tmp_path)), name)
+        assert docs.columns == before.columns
+        assert docs.select("doc_id").subtract(before.select("doc_id")).isEmpty()
+    pieces = corpus_pipeline.packed(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.select("doc_id").collect()}
+    assert bool(pieces) == (rows == "odd")
