@@ -9,27 +9,45 @@ from snaphist.llm.store import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is within their language's limit."""
+    """Documents whose perplexity is within the limit of their language and length.
+
+    Texts that are null or without a word go. A null language takes the limit of all; without trusted
+    labels only texts without a word go. An empty table stays empty; all columns pass unchanged.
+    """
     return quality_lm.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """The row with the largest doc_id of each group of texts equal but for the case of A-Z.
+
+    A null id is below all others; of repeated rows one stays. An empty table stays empty; all columns pass unchanged.
+    """
     return exact_dedup.keep(docs, exact_dedup.deduplicate(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 in five-word shingles."""
+    """The smallest doc_id of each group linked by a similarity of 0.8 in five-word shingles.
+
+    Texts without words are linked with nothing and stay; a null id is above all others. An empty table stays
+    empty; all columns pass unchanged.
+    """
     return jaccard_join.keep(docs, jaccard_join.join(docs, k=5, num=80, den=100))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights; a document taken twice comes twice."""
+    """Sources mixed to their target weights; a document taken twice comes twice, whole each time.
+
+    Null is a source of its own, the last one. Texts without words are never taken. An empty table stays
+    empty; all columns pass unchanged.
+    """
     return mixing.deal(mixing.mix(docs), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 ids."""
+    """Pieces of the documents in sequences of 4096 ids.
+
+    Null or empty text gives the end id alone, a null doc_id is kept, and other columns go. An empty table gives no rows.
+    """
     return packing.pack(docs, catalog.tokenizer_path())
 
 
