@@ -85,6 +85,8 @@ def ingest(
     if ledger:
         docs, repeats = landing.split_repeats(landing.with_digest(docs), root, before)
         docs = materialize(docs, "landed")
+        # Fixed now: the statuses are read when the run, which this depends on, has been written.
+        repeats = materialize(repeats.select(*GROUP_KEYS).distinct(), "repeats")
         landing.write_ledger(docs.where(F.col("problem").isNull()), root, run_id)
         docs = docs.drop("digest")
 
@@ -169,7 +171,7 @@ def group_statuses(
     )
     groups = groups.withColumn("_again", F.lit(False))
     if repeats is not None:
-        again = match_keys(repeats.select(*GROUP_KEYS).distinct(), groups, GROUP_KEYS, "left_anti")
+        again = match_keys(repeats, groups, GROUP_KEYS, "left_anti")
         none = {"member_count": F.lit(0).cast("bigint"), "_corrupt": F.lit(False), "_problem": F.lit(None).cast("string")}
         groups = groups.unionByName(again.withColumns({**none, "_again": F.lit(True)}))
     writes = log.groupBy(*GROUP_KEYS).agg(
