@@ -21,7 +21,7 @@ from snaphist.operators.sethash import drop_unnamed, set_digest, set_hash, with_
 from snaphist.operators.surrogate import surrogate_key
 from snaphist.plans import dims, ingest, report, sketches, staging
 from snaphist.session import materialize, new_dir, spread
-from snaphist.sources import bronze, documents, history, images, keys, tracked, warehouse
+from snaphist.sources import bronze, colocated, documents, history, images, keys, tracked, trees, uniqueness, warehouse
 from snaphist.streaming.ingest_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,20 @@ def stg_latest(spark, sf_dir):
     return staging.stg_members(fixtures.raw_members(spark, sf_dir), "2023")
 
 
+@query
+def stg_latest_bucketed(spark, sf_dir):
+    """The staging model over rows that lie in buckets of the member: no exchange."""
+
+    def fill(root: str) -> None:
+        rows = fixtures.raw_members(spark, sf_dir)
+        colocated.save_bucketed(rows, "raw_by_member", f"{root}/raw", "member_id", "run_ts", buckets=8)
+
+    root = _once(spark, sf_dir, "bucketed", fill)
+    schema = fixtures.raw_members(spark, sf_dir).schema
+    raw = colocated.open_bucketed(spark, schema, "raw_by_member", f"{root}/raw", "member_id", "run_ts", buckets=8)
+    return staging.stg_members(raw, "2023", by_raw_id=True)
+
+
 @query
 def stg_latest_messy(spark, sf_dir):
     rows = staging.stage_rows(fixtures.messy_members(spark, sf_dir))
@@ -399,6 +413,22 @@ def membership_diff(spark, sf_dir):
     return temporal.membership_diff(fixtures.group_snapshots(spark, sf_dir))
 
 
+@query
+def stored_tree_changes(spark, sf_dir):
+    """Members that changed between two stored runs, read from the leaves that differ."""
+    rows = fixtures.group_snapshots(spark, sf_dir).select("group_id", "season", "run_ts", "member", "number")
+
+    def fill(root: str) -> None:
+        for run in ("2024-01-08", "2024-01-15"):
+            members = rows.where(F.col("run_ts") == F.lit(run).cast("timestamp_ntz")).drop("run_ts")
+            trees.save_tree(members, root, run, ["group_id", "season"], ["member", "number"], "member")
+
+    root = _once(spark, sf_dir, "trees", fill)
+    return trees.stored_changes(
+        spark, root, "2024-01-08", "2024-01-15", rows.drop("run_ts").schema, ["group_id", "season"]
+    )
+
+
 @query
 def membership_diff_trees(spark, sf_dir):
     """Who joined or left at each run, found by descent into the subtrees that differ."""
@@ -439,6 +469,18 @@ def dq_messy(spark, sf_dir):
     return run_suite(models, suite)
 
 
+@query
+def dq_unique_incremental(spark, sf_dir):
+    """Values that occur more than once after each of three runs, found with filters of what earlier runs held."""
+    rows = fixtures.messy_members(spark, sf_dir).select(
+        F.col("row_id"), F.concat_ws("/", "full_name", (F.col("row_id") % 4001).cast("string")).alias("value"),
+        (F.col("row_id") % 3).cast("int").alias("run"),
+    )
+    root = new_dir(spark, "unique")
+    found = [(i, uniqueness.check_run(rows.where(F.col("run") == i), "value", root, f"r{i}")) for i in range(3)]
+    return spark.createDataFrame(found, "run int, repeated bigint")
+
+
 @query
 def dq_failing_rows(spark, sf_dir):
     """The rows behind the failures, not only their number."""

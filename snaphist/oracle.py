@@ -593,6 +593,16 @@ def oracle_sql() -> dict[str, str]:
         CAST(SUM(n) AS BIGINT) AS member_count
       FROM mid GROUP BY 1, 2, 3"""
     q["membership_diff_trees"] = f"SELECT * FROM ({q['membership_diff']}) WHERE status <> 'stayed'"
+    q["stg_latest_bucketed"] = q["stg_latest"]
+    q["stored_tree_changes"] = _with(SNAPS, """
+      old AS (SELECT group_id, season, member, number FROM snapshots WHERE run_ts = TIMESTAMP '2024-01-08'),
+      new AS (SELECT group_id, season, member, number FROM snapshots WHERE run_ts = TIMESTAMP '2024-01-15')""") + """
+      SELECT *, 'left' AS status FROM (SELECT * FROM old EXCEPT SELECT * FROM new)
+      UNION ALL SELECT *, 'joined' FROM (SELECT * FROM new EXCEPT SELECT * FROM old)"""
+    q["dq_unique_incremental"] = _with(MESSY, """
+      vals AS (SELECT CAST(row_id % 3 AS INT) AS run, concat_ws('/', full_name, CAST(row_id % 4001 AS VARCHAR)) AS value FROM messy)""") + """
+      SELECT run, (SELECT COUNT(*) FROM (SELECT value FROM vals v WHERE v.run <= r.run GROUP BY value HAVING COUNT(*) > 1)) AS repeated
+      FROM (SELECT DISTINCT run FROM vals) r"""
     q["landing_replay"] = q["ingest_raw_members"]
     q["point_in_time_images"] = q["point_in_time"]
     q["dq_failing_rows"] = _with(MESSY) + """
