@@ -133,7 +133,10 @@ def assemble(members: DataFrame, root: str, form: str, before: int) -> tuple[Dat
     snapshot's, and so are their attributes outside the hash. Only known snapshots are read and hashed anew.
     """
     spark = members.sparkSession
-    brought = materialize(hash_sets(members, _SNAPSHOT, form), "hashes")
+    brought = hash_sets(members, _SNAPSHOT, form)
+    if before == 0:
+        return members, brought.withColumn("known_hash", F.lit(None).cast("string"))
+    brought = materialize(brought, "hashes")
     found = warehouse.versions(spark, root, before)
     # Late parts follow their snapshot soon, so the range of times leaves little of the log to read.
     first, last = brought.agg(F.min("run_ts"), F.max("run_ts")).first()
