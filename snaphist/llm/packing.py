@@ -99,7 +99,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.by_units = by_units
-        self.cache: dict[int, bytes] = {}
+        # Units seen, by their sorted hashes: where their ids are in the store, and how many.
+        self.keys = np.zeros(0, np.uint64)
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.store = np.zeros(0, self.kind)
 
     def encode(self, t: W.Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
@@ -112,25 +115,43 @@ class Encoder:
         u = units(t)
         h = W.hash_spans(t.buf, u.starts, u.ends)
         distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
-        found = [self.cache.get(k) for k in distinct.tolist()]
-        new = [i for i, f in enumerate(found) if f is None]
-        if new:
-            if len(self.cache) + len(new) > MAX_CACHED:
-                self.cache.clear()
-            at = first[new]
-            spans = [t.buf[a:b].tobytes().decode() for a, b in zip(u.starts[at], u.ends[at])]
-            made = self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)
-            for i, e in zip(new, made):
-                found[i] = self.cache[int(distinct[i])] = np.array(e.ids, self.kind).tobytes()
-        size = np.array([len(f) for f in found], np.int64) // np.dtype(self.kind).itemsize
-        store = np.frombuffer(b"".join(found), self.kind)
-        begin = (np.cumsum(size) - size)[which]
+        begin, size, store = self._looked_up(t, u, distinct, first)
+        ids = W.take_spans(store, begin[which], (begin + size)[which])
         each = size[which]
-        ids = W.take_spans(store, begin, begin + each)
         total = np.concatenate([[0], np.cumsum(each)])
         return ids, total[u.first[1:]] - total[u.first[:-1]]
 
 
+    def _looked_up(self, t, u: W.Words, distinct: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where the ids of each distinct unit begin in a store, how many they are, and the store."""
+        at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
+        known = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        begin, size = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        begin[known], size[known] = self.begin[at[known]], self.size[at[known]]
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return begin, size, self.store
+        where = first[new]
+        spans = [t.buf[a:b].tobytes().decode() for a, b in zip(u.starts[where], u.ends[where])]
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
+        size[new] = [len(ids) for ids in made]
+        begin[new] = len(self.store) + np.cumsum(size[new]) - size[new]
+        flat = np.fromiter((i for ids in made for i in ids), self.kind, int(size[new].sum()))
+        store = np.concatenate([self.store, flat])
+        if len(self.keys) + len(new) > MAX_CACHED:
+            # The units of this slice are the first of a new cache.
+            self.keys, self.begin, self.size, self.store = distinct, begin, size, store
+            if len(store) > 16 * MAX_CACHED:
+                self.keys, self.begin, self.size, self.store = distinct[:0], begin[:0], size[:0], store[:0]
+        else:
+            keys = np.concatenate([self.keys, distinct[new]])
+            order = np.argsort(keys)
+            self.keys, self.store = keys[order], store
+            self.begin = np.concatenate([self.begin, begin[new]])[order]
+            self.size = np.concatenate([self.size, size[new]])[order]
+        return begin, size, store
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str, by_units: bool) -> Encoder:
     """One per Python worker, which serves many tasks."""

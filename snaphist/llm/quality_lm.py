@@ -36,7 +36,7 @@ MIN_SHARDS = 24
 # Documents are scored in so many rounds, which bounds the shuffle files that exist at once.
 ROUNDS = 16
 # Trigrams gathered in a task before they are dealt on.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 UNKNOWN, BEGIN, END = (np.uint64(i) for i in (1, 2, 3))
 _FIRST = 4
