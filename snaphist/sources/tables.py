@@ -5,10 +5,15 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from snaphist.session import hadoop_path
 
+# A table partition is dealt to so many shares; Spark merges small ones, so this bounds its files, not its tasks.
+SHARES = 32
+_SHARE = "_share"
+
 
 def has_table(spark: SparkSession, path: str) -> bool:
     """Whether anything matches ``path``, asked of the file system without listing below it."""
@@ -57,10 +62,17 @@ def write_partitions(
     A run writes only partitions named after it, so earlier runs stay untouched and a
     replay of the same run leaves the same rows once. The rebalance evens out file sizes:
     Spark merges small and splits large partitions by their measured size. The run is the same in all rows
-    and so says nothing about where they should go.
+    and so says nothing about where they should go. Other columns may have a few values only, and Spark
+    measures compressed bytes, of which repetitive rows need few; the rows of a value are therefore dealt to
+    shares by their hash, or one task would sort millions of them.
     """
     if rebalance:
-        df = df.hint("rebalance", *[c for c in partition_by if c != "run_id"])
+        by = [c for c in partition_by if c != "run_id"]
+        if by:
+            share = F.pmod(F.xxhash64(*df.columns), F.lit(SHARES)).cast("int")
+            df = df.withColumn(_SHARE, share).hint("rebalance", *by, _SHARE).drop(_SHARE)
+        else:
+            df = df.hint("rebalance")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
