@@ -92,46 +92,56 @@ def set_hash(
     )
     width = len(keys)
 
+    kinds = [members.schema[k] for k in keys]
+    schema = StructType([*kinds, StructField("set_hash", StringType()), StructField("member_count", LongType())])
+    types = [to_arrow_type(f.dataType) for f in schema]
+
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, running, count, started = None, None, 0, False
+        open_key, running, count, started = None, None, 0, False
         for batch in batches:
-            done: list[tuple] = []
+            if batch.num_rows == 0:
+                continue
             columns = [batch.column(i) for i in range(width)]
-            for start, stop in _runs(columns, batch.num_rows):
-                key = tuple(c[start].as_py() for c in columns)
-                if running is None or key != current:
-                    if running is not None:
-                        done.append((*current, running.hexdigest(), count))
-                    current, running, count, started = key, hashlib.md5(), 0, False
-                named = batch.column(width).slice(start, stop - start).drop_null().to_pylist()
+            edges = _edges(columns, batch.num_rows)
+            # Keys stay in Arrow; only those at the borders of a batch become Python values.
+            found = [c.take(pa.array(edges[:-1])) for c in columns]
+            texts = batch.column(width).to_pylist()
+            if running is not None and tuple(c[0].as_py() for c in found) != open_key:
+                yield _batch([[v] for v in (*open_key, running.hexdigest(), count)])
+                running = None
+            hashes, counts = [], []
+            for start, stop in zip(edges, edges[1:]):
+                if running is None:
+                    running, count, started = hashlib.md5(), 0, False
+                named = [t for t in texts[start:stop] if t is not None]
                 count += stop - start
                 if named:
                     running.update(((MEMBER_SEPARATOR if started else "") + MEMBER_SEPARATOR.join(named)).encode())
                     started = True
-            yield from _batch(done)
+                if stop < batch.num_rows:
+                    hashes.append(running.hexdigest())
+                    counts.append(count)
+                    running = None
+            if hashes:
+                yield _batch([*[c.slice(0, len(hashes)) for c in found], hashes, counts])
+            open_key = tuple(c[-1].as_py() for c in found)
         if running is not None:
-            yield from _batch([(*current, running.hexdigest(), count)])
-
-    kinds = [members.schema[k] for k in keys]
-    schema = StructType([*kinds, StructField("set_hash", StringType()), StructField("member_count", LongType())])
-    types = [to_arrow_type(f.dataType) for f in schema]
+            yield _batch([[v] for v in (*open_key, running.hexdigest(), count)])
 
-    def _batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if rows:
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+    def _batch(columns: list) -> pa.RecordBatch:
+        arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return members.mapInArrow(digests, schema)
 
 
-def _runs(columns: Sequence[pa.Array], n: int) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that agree in all ``columns``; NULL agrees with NULL."""
+def _edges(columns: Sequence[pa.Array], n: int) -> list[int]:
+    """Where rows that agree in all ``columns`` begin, and the end; NULL agrees with NULL."""
     change = np.zeros(max(0, n - 1), bool)
     for c in columns:
         code = c.dictionary_encode(null_encoding="encode").indices.to_numpy()
         change |= code[1:] != code[:-1]
-    edges = [0, *(np.flatnonzero(change) + 1).tolist(), n]
-    return ((a, b) for a, b in zip(edges, edges[1:]) if b > a)
+    return [0, *(np.flatnonzero(change) + 1).tolist(), n]
 
 
 def hash_sets(

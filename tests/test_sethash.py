@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import random
 from collections import defaultdict
@@ -90,6 +91,26 @@ def test_batches_of_a_few_rows_give_the_same_hashes(spark):
     assert {r[0]: (r[1], r[2]) for r in got} == brute_force(data)
 
 
+def test_keys_of_any_kind_over_borders_of_batches(spark):
+    """NULL keys and times; a snapshot that ends with a batch, and ones that go on over several."""
+    day = [datetime.datetime(2024, 1, d) for d in (1, 2)]
+    data = [(g, d, f"m{i}", "1", "C") for g, n in (("A", 3), (None, 7), ("B", 1)) for d in (*day, None) for i in range(n)]
+    frame = spark.createDataFrame(data, "g STRING, d TIMESTAMP_NTZ, full_name STRING, number STRING, position STRING")
+    want = defaultdict(list)
+    for g, d, name, *_ in data:
+        want[g, d].append(f"{name}|1|C")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        got = set_hash(frame, ["g", "d"]).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert {(r[0], r[1]): (r[2], r[3]) for r in got} == {
+        k: (hashlib.md5("||".join(sorted(v)).encode()).hexdigest(), len(v)) for k, v in want.items()
+    } and len(got) == len(want)
+
+
 def test_a_blank_row_never_changes_the_hash(spark):
     data = sample()
     blank = [(f"g{g}", name, "9", "D") for g in range(12) for name in ("", None, " ")]
