@@ -19,6 +19,10 @@ from snaphist.session import new_dir
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# All stores of an executor share so much native memory. They stay open for a while after the stream has ended, and each
+# would otherwise have buffers and a cache of its own.
+_STORES_MB = "128"
+
 
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
@@ -49,6 +53,8 @@ def stream_state(found: DataFrame, max_files: int) -> DataFrame:
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     # Many small stores: no room is set aside for the logs of each.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", _STORES_MB)
     session.conf.set(
         "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
     )
