@@ -34,6 +34,9 @@ RANGE_TOKENS = 8_000_000
 # Encoded units kept by a Python worker.
 MAX_CACHED = 1_000_000
 
+# Units given to the tokenizer at once. What it returns for each is about a kilobyte until its ids are taken out.
+ENCODED_AT_ONCE = 8192
+
 _TOKENS = "doc_id long, row_id long, key long, n long, ids binary"
 _PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
@@ -131,13 +134,16 @@ class Encoder:
         new = np.flatnonzero(~known)
         if not len(new):
             return begin, size, self.store
-        where = first[new]
-        spans = [t.buf[a:b].tobytes().decode() for a, b in zip(u.starts[where], u.ends[where])]
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
-        size[new] = [len(ids) for ids in made]
+        flat = [self.store]
+        for i in range(0, len(new), ENCODED_AT_ONCE):
+            some = new[i : i + ENCODED_AT_ONCE]
+            where = first[some]
+            spans = [t.buf[a:b].tobytes().decode() for a, b in zip(u.starts[where], u.ends[where])]
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(spans, add_special_tokens=False)]
+            size[some] = [len(ids) for ids in made]
+            flat.append(np.fromiter((i for ids in made for i in ids), self.kind, int(size[some].sum())))
         begin[new] = len(self.store) + np.cumsum(size[new]) - size[new]
-        flat = np.fromiter((i for ids in made for i in ids), self.kind, int(size[new].sum()))
-        store = np.concatenate([self.store, flat])
+        store = np.concatenate(flat)
         if len(self.keys) + len(new) > MAX_CACHED:
             # The units of this slice are the first of a new cache.
             self.keys, self.begin, self.size, self.store = distinct, begin, size, store
@@ -238,6 +244,7 @@ def tokenised(docs: DataFrame, path: str, end: int, by_units: bool) -> DataFrame
                     ],
                     names=["doc_id", "row_id", "key", "n", "ids"],
                 )
+        W.give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return table(rows.mapInArrow(encode, _TOKENS), "tokens")

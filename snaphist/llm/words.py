@@ -7,8 +7,10 @@ stay small whatever the size of an Arrow batch; one text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +72,13 @@ def texts(column: pa.Array, lower: bool = False) -> Texts:
     return Texts(_LOWER[buf] if lower else buf, offsets - offsets[0])
 
 
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system; it stays, idle, while others work."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``most`` bytes of text, of one row at least."""
     at = batch.schema.get_field_index(column)

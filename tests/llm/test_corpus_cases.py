@@ -523,3 +523,22 @@ def test_small_tables_only_are_broadcast(spark):
         return other.join(df, F.col("m") == F.col("n"))._jdf.queryExecution().logical().toString()
 
     assert "broadcast" in plan(store.small(few)) and "broadcast" not in plan(store.small(few, 5))
+
+
+def test_few_units_are_encoded_at_once(monkeypatch):
+    texts = W.texts(pa.array(["one two three four five six seven", "", "eight one nine ten o'clock 5th"]))
+    coder = packing.Encoder(catalog.tokenizer_path(), True)
+    ids, counts = coder.encode(texts)
+    monkeypatch.setattr(packing, "ENCODED_AT_ONCE", 3, raising=False)
+    again = packing.Encoder(catalog.tokenizer_path(), True)
+    sizes, tokenizer = [], again.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, spans, **options):
+            sizes.append(len(spans))
+            return tokenizer.encode_batch_fast(spans, **options)
+
+    again.tokenizer = Counted()
+    found, each = again.encode(texts)
+    assert found.tolist() == ids.tolist() and each.tolist() == counts.tolist()
+    assert len(sizes) > 1 and max(sizes) <= 3
