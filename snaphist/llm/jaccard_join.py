@@ -101,7 +101,7 @@ def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", W.SMALL_SLICE_BYTES):
                 sets = sets_of(W.texts(part.column(1), lower), k)
                 d1, d2 = zip(*map(digest, sets))
                 yield pa.RecordBatch.from_arrays(
@@ -115,7 +115,7 @@ def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return table(rows.mapInArrow(read, _SETS), "sets")
+    return table(rows.mapInArrow(W.giving_back(read), _SETS), "sets")
 
 
 def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
@@ -129,7 +129,7 @@ def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
         seen: set[tuple[int, int]] = set()
         limit = _below(counted_share(num, den))
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", W.SMALL_SLICE_BYTES):
                 new: dict[tuple[int, int], np.ndarray] = {}
                 for s in sets_of(W.texts(part.column(0), lower), k):
                     name = digest(s)
@@ -149,7 +149,7 @@ def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
                     [pa.array(W.signed(columns)), pa.array(nodes)], names=["key", "node"]
                 )
 
-    return docs.select("text").mapInArrow(read, "key long, node long")
+    return docs.select("text").mapInArrow(W.giving_back(read), "key long, node long")
 
 
 def _clusters(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataFrame:
@@ -277,7 +277,7 @@ def _links(grams: DataFrame, placements: DataFrame, num: int, den: int) -> DataF
         if (out := finish()) is not None:
             yield out
 
-    return rows.mapInArrow(multiply, "a long, b long")
+    return rows.mapInArrow(W.giving_back(multiply), "a long, b long")
 
 
 def join(
@@ -334,7 +334,7 @@ def _grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> DataFram
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", W.SMALL_SLICE_BYTES):
                 sets = sets_of(W.texts(part.column(1), lower), k)
                 d1, d2 = zip(*map(digest, sets))
                 yield pa.RecordBatch.from_arrays(
@@ -344,7 +344,7 @@ def _grams(docs: DataFrame, members: DataFrame, k: int, lower: bool) -> DataFram
 
     wanted = small(table(members.select(F.col("low").alias("_id")).distinct(), "wanted"))
     rows = same(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, {"doc_id": "_id"}, "inner")
-    return rows.select("doc_id", "text").mapInArrow(read, "g1 long, g2 long, grams binary")
+    return rows.select("doc_id", "text").mapInArrow(W.giving_back(read), "g1 long, g2 long, grams binary")
 
 
 def keep(docs: DataFrame, joined: DataFrame) -> DataFrame:

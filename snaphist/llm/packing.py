@@ -124,7 +124,6 @@ class Encoder:
         total = np.concatenate([[0], np.cumsum(each)])
         return ids, total[u.first[1:]] - total[u.first[:-1]]
 
-
     def _looked_up(self, t, u: W.Words, distinct: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         """Where the ids of each distinct unit begin in a store, how many they are, and the store."""
         at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
@@ -150,11 +149,10 @@ class Encoder:
             if len(store) > 16 * MAX_CACHED:
                 self.keys, self.begin, self.size, self.store = distinct[:0], begin[:0], size[:0], store[:0]
         else:
-            keys = np.concatenate([self.keys, distinct[new]])
-            order = np.argsort(keys)
-            self.keys, self.store = keys[order], store
-            self.begin = np.concatenate([self.begin, begin[new]])[order]
-            self.size = np.concatenate([self.size, size[new]])[order]
+            place = np.searchsorted(self.keys, distinct[new])
+            self.keys, self.store = np.insert(self.keys, place, distinct[new]), store
+            self.begin = np.insert(self.begin, place, begin[new])
+            self.size = np.insert(self.size, place, size[new])
         return begin, size, store
 
 
@@ -223,7 +221,7 @@ def tokenised(docs: DataFrame, path: str, end: int, by_units: bool) -> DataFrame
         coder = encoder(path, by_units)
         made = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", W.SMALL_SLICE_BYTES):
                 t = W.texts(part.column(1))
                 flat, counts = coder.encode(t)
                 stop = np.cumsum(counts)
@@ -244,10 +242,9 @@ def tokenised(docs: DataFrame, path: str, end: int, by_units: bool) -> DataFrame
                     ],
                     names=["doc_id", "row_id", "key", "n", "ids"],
                 )
-        W.give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return table(rows.mapInArrow(encode, _TOKENS), "tokens")
+    return table(rows.mapInArrow(W.giving_back(encode), _TOKENS), "tokens")
 
 
 def _ranges(tokens: DataFrame, range_tokens: int) -> tuple[np.ndarray, np.ndarray]:
@@ -297,9 +294,9 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, at = None, 0
-        for batch in batches:
+        for part in (part for batch in batches for part in W.slices(batch, "ids", W.SMALL_SLICE_BYTES)):
             out: list[tuple] = []
-            columns = [batch.column(c) for c in ("doc_id", "n", "ids", "_range")]
+            columns = [part.column(c) for c in ("doc_id", "n", "ids", "_range")]
             for doc, n, ids, r in zip(*(c.to_pylist() for c in columns)):
                 if r != current:
                     current, at = r, int(firsts[r])
@@ -309,10 +306,11 @@ def pack(
                     sequence, offset = divmod(at + begin, length)
                     size = min(length - offset, n - begin)
                     data = values[begin : begin + size].tobytes()
-                    out.append((doc, begin, size, zlib.crc32(data), n, sequence, offset, data))
+                    piece = (doc, begin, size, zlib.crc32(data), n, sequence, offset)
+                    out.append((*piece, data) if with_ids else piece)
                     begin += size
                 at += n
-            columns = list(zip(*out))[: 8 if with_ids else 7]
+            columns = list(zip(*out))
             kinds = [pa.int64()] * 7 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -324,5 +322,5 @@ def pack(
         placed.repartition(len(borders) + 1, "_range")
         .sortWithinPartitions("_range", "key", "row_id")
         .select("doc_id", "n", "ids", "_range")
-        .mapInArrow(cut, _PIECES + (", ids binary" if with_ids else ""))
+        .mapInArrow(W.giving_back(cut), _PIECES + (", ids binary" if with_ids else ""))
     )

@@ -185,7 +185,7 @@ def _added_up(dealt: DataFrame, kinds: str, name: str) -> DataFrame:
             columns, n = _summed(columns, n)
             yield _batch([(shard, _COUNTS, len(n), _pack(*columns, n), None)])
 
-    return table(_gathered(dealt).mapInArrow(read, _PACKED), name)
+    return table(_gathered(dealt).mapInArrow(W.giving_back(read), _PACKED), name)
 
 
 def _count_trigrams(sample: DataFrame, hashes: np.ndarray, shards: int) -> DataFrame:
@@ -200,7 +200,7 @@ def _count_trigrams(sample: DataFrame, hashes: np.ndarray, shards: int) -> DataF
                     (s, _COUNTS, len(at), _pack(a[at], b[at], c[at], n[at]), None) for s, at in _dealt(a, b, shards)
                 ])
 
-    counted = _added_up(sample.select("text").mapInArrow(read, _PACKED), "u4u4u4i8", "lm-trigrams")
+    counted = _added_up(sample.select("text").mapInArrow(W.giving_back(read), _PACKED), "u4u4u4i8", "lm-trigrams")
     shared.destroy()
     return counted
 
@@ -214,7 +214,7 @@ def _count_bigrams(tri: DataFrame, shards: int) -> DataFrame:
             (b, c), k = _summed([b, c], np.ones(n, np.int64))
             yield _batch([(s, _COUNTS, len(at), _pack(b[at], c[at], k[at]), None) for s, at in _dealt(b, c, shards)])
 
-    return _added_up(tri.mapInArrow(read, _PACKED), "u4u4i8", "lm-bigrams")
+    return _added_up(tri.mapInArrow(W.giving_back(read), _PACKED), "u4u4i8", "lm-bigrams")
 
 
 def _tally(df: DataFrame, kinds: str) -> DataFrame:
@@ -237,7 +237,7 @@ def _tally(df: DataFrame, kinds: str) -> DataFrame:
                 columns = [pa.array(np.full(len(code), of, np.int32)), pa.array(code.astype(np.int64)), pa.array(k.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, names=["of", "code", "n"])
 
-    return df.mapInArrow(read, "of int, code long, n long").groupBy("of", "code").agg(F.sum("n").alias("n"))
+    return df.mapInArrow(W.giving_back(read), "of int, code long, n long").groupBy("of", "code").agg(F.sum("n").alias("n"))
 
 
 def _discounts(found: dict[int, int]) -> tuple[float, float, float]:
@@ -267,7 +267,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Trained:
                 yield pa.RecordBatch.from_arrays([pa.array(W.signed(kinds)), pa.array(n)], names=["h", "n"])
 
     seen = table(
-        sample.mapInArrow(read, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-words"
+        sample.mapInArrow(W.giving_back(read), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "lm-words"
     )
     hashes = np.sort(fetch(seen.where(F.col("n") >= MIN_COUNT).select("h"))["h"].to_numpy().view(np.uint64))
     total, rare = seen.agg(F.sum("n"), F.count_if(F.col("n") < MIN_COUNT)).first()
@@ -423,9 +423,9 @@ def _sums(texts: DataFrame, model: Trained, shared: Broadcast) -> DataFrame:
                 columns = [pa.array(np.frombuffer(keys, np.int64)), pa.array(total), pa.array(np.bincount(text))]
                 yield pa.RecordBatch.from_arrays(columns, names=["_key", "total", "n"])
 
-    asking = texts.select("_key", "text").mapInArrow(ask, _PACKED)
-    passed = _gathered(model.tables.tri.unionByName(asking)).mapInArrow(contexts, _PACKED)
-    parts = _gathered(model.tables.bi.unionByName(passed)).mapInArrow(bigrams, "_key long, total double, n long")
+    asking = texts.select("_key", "text").mapInArrow(W.giving_back(ask), _PACKED)
+    passed = _gathered(model.tables.tri.unionByName(asking)).mapInArrow(W.giving_back(contexts), _PACKED)
+    parts = _gathered(model.tables.bi.unionByName(passed)).mapInArrow(W.giving_back(bigrams), "_key long, total double, n long")
     return parts.groupBy("_key").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 

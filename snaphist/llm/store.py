@@ -15,20 +15,28 @@ from snaphist.session import new_dir
 # A side of a join is broadcast when it is counted to have at most so many rows of a few numbers.
 MAX_BROADCAST_ROWS = 200_000
 
+# Of the queries that write tables: their shuffle files go as soon as they end, and what a task hands to its Python worker
+# at once, which both sides hold, is a few megabytes whatever the length of the texts.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries run inside remove their shuffle files as soon as they end."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+def _writing(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside have the settings ``_WRITING``."""
+    before = {key: spark.conf.get(key, None) for key in _WRITING}
+    for key, value in _WRITING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
@@ -38,14 +46,14 @@ def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_dir(spark, name)
-    with _shuffles_removed(spark):
+    with _writing(spark):
         df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def fetch(df: DataFrame) -> pa.Table:
     """All rows of ``df``, whose number something else bounds, on the driver."""
-    with _shuffles_removed(df.sparkSession):
+    with _writing(df.sparkSession):
         return df.toArrow()
 
 

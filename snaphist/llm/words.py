@@ -9,14 +9,17 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import suppress
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 4 << 20
+# For work whose arrays are many times the text, such as a hash for each run of words.
+SMALL_SLICE_BYTES = 1 << 20
 
 # The longest word hashed eight bytes at a time along with all others; longer ones go one by one.
 _LANE_BYTES = 64
@@ -79,6 +82,17 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def giving_back(read: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``read``, which maps a task's batches; after the last one its arrays are gone and their memory is given back."""
+
+    @wraps(read)
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from read(batches)
+        give_back()
+
+    return mapped
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about ``most`` bytes of text, of one row at least."""
     at = batch.schema.get_field_index(column)

@@ -1,6 +1,7 @@
 """Odd rows, forced splits and second ways of each corpus operator."""
 
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -542,3 +543,59 @@ def test_few_units_are_encoded_at_once(monkeypatch):
     found, each = again.encode(texts)
     assert found.tolist() == ids.tolist() and each.tolist() == counts.tolist()
     assert len(sizes) > 1 and max(sizes) <= 3
+
+
+def test_units_met_in_any_order_are_found_again():
+    texts = ["one two three", "zero two four 5th", "", "ten three one eleven o'clock", "zero eleven"]
+    coder, ids, counts = packing.Encoder(catalog.tokenizer_path(), True), [], []
+    for text in texts:
+        some, n = coder.encode(W.texts(pa.array([text])))
+        ids += some.tolist()
+        counts += n.tolist()
+    found, each = packing.Encoder(catalog.tokenizer_path(), True).encode(W.texts(pa.array(texts)))
+    assert found.tolist() == ids and each.tolist() == counts
+    assert (np.diff(coder.keys.astype(object)) > 0).all()
+
+
+def test_a_worker_gets_few_bytes_at_once(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    long = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("word "), 1000).alias("text"))
+    found = store.table(long.mapInArrow(sizes, "size long, n long"), "sizes").collect()
+    assert sum(r.n for r in found) == 4000 and max(r.size for r in found) <= 5 << 20
+    assert spark.conf.get(key) == before
+
+
+def test_memory_is_given_back_when_the_arrays_of_a_task_are_gone(monkeypatch):
+    alive, at_end = [], []
+
+    def read(batches):
+        for batch in batches:
+            array = np.arange(batch)
+            alive.append(weakref.ref(array))
+            yield len(array)
+
+    monkeypatch.setattr(W, "give_back", lambda: at_end.extend(a() is not None for a in alive))
+    assert list(W.giving_back(read)(iter([3, 5]))) == [3, 5]
+    assert at_end == [False, False]
+
+
+def test_workers_of_near_duplicates_give_memory_back(spark, monkeypatch):
+    back = []
+    plain = type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(W, "give_back", lambda: back.append(1))
+
+    def mapped(df, read, *rest):
+        back.clear()
+        list(read(iter([])))
+        assert back, read.__qualname__
+        return plain(df, read, *rest)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", mapped)
+    docs = spark.createDataFrame([(1, "en", "a b c d e f"), (2, "en", "a b c d e g")], "doc_id long, lang string, text string")
+    jaccard_join.incidence(docs, 5, True)
+    jaccard_join._columns(docs, 5, True, 80, 100)
