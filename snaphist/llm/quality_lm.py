@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import groupby
 from operator import itemgetter
 
@@ -33,8 +34,8 @@ MIN_HELD = 100
 # Words of training text per shard, and shards at least.
 SHARD_WORDS = 1 << 20
 MIN_SHARDS = 24
-# Documents are scored in so many rounds, which bounds the shuffle files that exist at once.
-ROUNDS = 16
+# Documents are scored in so many rounds, which bounds the shuffle files that exist at once. Each reads all texts and all counts.
+ROUNDS = 8
 # Trigrams gathered in a task before they are dealt on.
 CHUNK = 1 << 19
 
@@ -64,6 +65,11 @@ class Model:
     def vocabulary(self) -> np.ndarray:
         return np.arange(_FIRST, _FIRST + len(self.hashes), dtype=np.uint64)
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """``starts_of`` the hashes, made once by each worker that has the model and not sent."""
+        return starts_of(self.hashes)
+
 
 @dataclass
 class Tables:
@@ -89,13 +95,34 @@ def trusted(labels: DataFrame) -> DataFrame:
     return good.select(F.col("doc_id").cast("long").alias("_id")).distinct()
 
 
-def coded(t: W.Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def starts_of(hashes: np.ndarray) -> np.ndarray:
+    """Where the sorted hashes begin that share their leading bits, by the value of these bits; one or two share them on average."""
+    bits = max(1, len(hashes).bit_length() - 1)
+    return np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).astype(np.uint32)
+
+
+def places(hashes: np.ndarray, starts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """As ``np.searchsorted``, the last place for what is beyond it.
+
+    Hashes are spread evenly, so that few steps lead from the first with the same leading bits to the place.
+    """
+    last = len(hashes) - 1
+    at = np.minimum(starts[wanted >> np.uint64(65 - len(starts).bit_length())], last).astype(np.int64)
+    who = np.flatnonzero(hashes[at] < wanted)
+    while len(who):
+        who = who[at[who] < last]
+        at[who] += 1
+        who = who[hashes[at[who]] < wanted[who]]
+    return at
+
+
+def coded(t: W.Texts, hashes: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Word codes of all texts, two begin marks before and an end mark after each, and their ends."""
     w = W.words(t)
     h = W.hash_spans(t.buf, w.starts, w.ends)
     code = np.full(len(h), UNKNOWN, np.uint32)
     if len(hashes):
-        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1) if starts is None else places(hashes, starts, h)
         code = np.where(hashes[at] == h, at + _FIRST, code).astype(np.uint32)
     n = w.counts()
     ends = np.cumsum(n + 3)
@@ -105,9 +132,11 @@ def coded(t: W.Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, ends
 
 
-def _trigrams(t: W.Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _trigrams(
+    t: W.Texts, hashes: np.ndarray, starts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, c, text) of each word and end mark c after a and b."""
-    codes, ends = coded(t, hashes)
+    codes, ends = coded(t, hashes, starts)
     begins = np.r_[0, ends[:-1]].astype(np.int64)
     inside = np.ones(len(codes), bool)
     inside[begins] = inside[begins + 1] = False
@@ -122,8 +151,14 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _pack(*columns: np.ndarray) -> bytes:
     """Columns of one length, byte planes one after another, compressed."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
-    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+    planes = np.empty(sum(c.nbytes for c in columns), np.uint8)
+    at = 0
+    for c in columns:
+        bits = np.ascontiguousarray(c).view(f"u{c.itemsize}")
+        for i in range(c.itemsize):
+            planes[at : at + len(c)] = bits >> bits.dtype.type(8 * i)
+            at += len(c)
+    return pa.compress(planes, "zstd", asbytes=True)
 
 
 def _unpack(blob: bytes, n: int, kinds: str) -> list[np.ndarray]:
@@ -132,15 +167,19 @@ def _unpack(blob: bytes, n: int, kinds: str) -> list[np.ndarray]:
     raw = np.frombuffer(pa.decompress(blob, n * sum(k.itemsize for k in types), "zstd", asbytes=True), np.uint8)
     out, at = [], 0
     for k in types:
-        plane = raw[at : at + n * k.itemsize].reshape(k.itemsize, n)
-        out.append(np.ascontiguousarray(plane.T).view(k).ravel())
-        at += n * k.itemsize
+        column = np.empty(n, k)
+        for i in range(k.itemsize):
+            column.view(np.uint8)[i :: k.itemsize] = raw[at : at + n]
+            at += n
+        out.append(column)
     return out
 
 
 def _summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct rows of ``columns``, sorted, and their sums of ``n``."""
-    order = np.lexsort(columns[::-1])
+    # The first two words in one key: one sort less.
+    keys = [_pair(*columns[:2]), *columns[2:]] if len(columns) > 1 else columns
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
     columns = [c[order] for c in columns]
     new = np.ones(len(order), bool)
     new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
@@ -368,15 +407,22 @@ def _sums(texts: DataFrame, model: Trained, shared: Broadcast) -> DataFrame:
     """
 
     def asked(shard: int, at: np.ndarray, columns: list[np.ndarray], text: np.ndarray, keys: np.ndarray) -> tuple:
-        own, of = np.unique(text[at], return_inverse=True)
+        text = text[at]
+        if len(keys) <= len(text):
+            here = np.zeros(len(keys), bool)
+            here[text] = True
+            own, of = np.flatnonzero(here), (np.cumsum(here) - 1)[text]
+        else:
+            own, of = np.unique(text, return_inverse=True)
         return shard, _ASKED, len(at), _pack(*(c[at] for c in columns), of.astype(np.uint32)), keys[own].tobytes()
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", W.SLICE_BYTES // 2):
+                # Half-size slices, since a round reads twice the text it did with 16 rounds: the arrays stay as small.
                 keys, first = np.unique(part.column(0).to_numpy(), return_index=True)
-                a, b, c, text = _trigrams(W.texts(part.column(1).take(pa.array(first))), own.hashes)
+                a, b, c, text = _trigrams(W.texts(part.column(1).take(pa.array(first))), own.hashes, own.starts)
                 order = np.argsort(_pair(a, b))
                 columns, text = [x[order] for x in (a, b, c)], text[order]
                 yield _batch([asked(s, at, columns, text, keys) for s, at in _dealt(*columns[:2], own.shards)])

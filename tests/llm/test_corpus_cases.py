@@ -169,6 +169,34 @@ def test_quality_shards_agree_with_one_table(spark):
         assert rows[i] == pytest.approx(np.exp(-quality_lm.trigram_scores(a, b, c, model).mean()), rel=1e-5)
 
 
+def test_quality_reads_texts_and_counts_few_times(spark, monkeypatch):
+    """A round of scoring reads all texts, and by two shuffles all counts, whatever it scores of them."""
+    docs = odd.documents(spark, [(i, f"a b c d{i % 3}") for i in range(40)])
+    model = quality_lm.train(docs, odd.labels(spark, range(40)))
+    gathered, calls = quality_lm._gathered, []
+    monkeypatch.setattr(quality_lm, "_gathered", lambda dealt: calls.append(1) or gathered(dealt))
+    assert all(r.perplexity > 0 for r in quality_lm.score(docs, model).collect())
+    assert len(calls) <= 2 * 8
+
+
+@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=40), st.lists(st.integers(0, 2**64 - 1), max_size=20))
+def test_places_of_hashes(known, others):
+    hashes = np.unique(np.array([*known, *(k >> 60 for k in known)], np.uint64))
+    wanted = np.array([*known, *others, 0, 1, 2**64 - 1], np.uint64)
+    at = quality_lm.places(hashes, quality_lm.starts_of(hashes), wanted)
+    assert at.tolist() == np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1).tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_packed_columns_come_back(n):
+    draw = np.random.default_rng(n)
+    whole = draw.integers(0, 2**32, n, dtype=np.uint32)
+    columns = [whole, draw.random(n).astype(np.float32), draw.integers(-(2**62), 2**62, n), whole[::-1]]
+    blob = quality_lm._pack(*columns)
+    for given_column, column in zip(columns, quality_lm._unpack(blob, n, "u4f4i8u4"), strict=True):
+        assert column.dtype == given_column.dtype and column.tolist() == given_column.tolist()
+
+
 def test_quality_limits_follow_length(spark):
     """Wide scatter of short trusted texts does not let long junk through."""
     rows = [(i, "en", 5, 100.0 * i) for i in range(1000)] + [(i, "en", 900, 1.0 * i) for i in range(1000, 2000)]
