@@ -1,11 +1,13 @@
 """N-gram Jaccard join as a blocked sparse product of document and n-gram incidence.
 
-The columns, n-grams, are put in one order, rare ones first. Two sets that meet the similarity bound share one
-of the first few columns of each, as many as their sizes allow; documents that share none of those
-are discarded unseen. The others are gathered, and only among them the incidence rows are multiplied,
-block of columns by block of columns: overlap counts add up, and pairs whose count cannot reach the
-size-derived bound any more are discarded. Equal sets count once. No pair of documents ever
-becomes a row: a task returns a spanning forest of its links.
+The columns, n-grams, are dealt by hash to more parts than two sets that meet the similarity bound can differ
+in, so that they are equal in some part. Parts as they are in a set are put in one order, rare ones first, and of the
+first few, as many as the sizes allow, one is common to both. Several columns equal in a part is rarely chance, however
+many documents there are; a single column often is. Documents that share none are discarded unseen. The
+others are gathered, and only among them the incidence rows are multiplied, block of columns by block of
+columns, where the sizes of two blocks of rows allow a link: overlap counts add up, and pairs whose count
+cannot reach the size-derived bound any more are discarded. Equal sets count once. No pair of documents
+ever becomes a row: a task returns a spanning forest of its links.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ BLOCK_DOCS = 1024
 BLOCK_NGRAMS = 1 << 20
 COLUMNS = 1024
 
-# Columns met in several sets that are known to the tasks, the most frequent ones. Any order gives the same
+# So many times the parts that two sets can differ in, and one, are made; those spared are the frequent and the light ones.
+SPARE = 1.25
+
+# Parts or columns met in several sets that are known to the tasks, the most frequent ones. Any order gives the same
 # links, so this bounds what is broadcast and nothing else.
 MAX_KNOWN = 4_000_000
 
@@ -69,31 +74,106 @@ def _below(share: float) -> np.uint64:
     return np.uint64(min(2**64 - 1, int(share * 2**64)))
 
 
+def _first(
+    keys: np.ndarray, row: np.ndarray, weight: np.ndarray, want: np.ndarray, known: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, rows): the first ``want`` keys of each row in the common order; keys of a row stand together.
+
+    The order is: those of a weight before others, rare before frequent by ``known`` (sorted keys and the power
+    of two of their frequency; all others are met once), then by weight, large before small, and by hash.
+    """
+    level = np.zeros(len(keys), np.uint8)
+    often, power = known
+    if len(often):
+        at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
+        hit = often[at] == keys
+        level[hit] = power[at[hit]]
+    level[weight == 0] = 255
+    order = np.lexsort((keys, -weight, level, row))
+    size = np.bincount(row, minlength=len(want))
+    place = np.arange(len(keys)) - np.repeat(np.cumsum(size) - size, size)
+    order = order[place < np.repeat(want, size)]
+    return keys[order], row[order]
+
+
 def first_columns(
     sets: list[np.ndarray], num: int, den: int, known: tuple[np.ndarray, np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray]:
     """(columns, how many of each set): the first columns of each set in the common order.
 
     A set of n shares ``ceil(num * n / den)`` columns at least with any that meets the bound, so the first
-    ``n - ceil(num * n / den) + 1`` of both, in whatever common order, have one in common. The order is:
-    counted columns before others, rare before frequent by ``known`` (sorted columns and the power
-    of two of their frequency; all others are met once), then by hash.
+    ``n - ceil(num * n / den) + 1`` of both, in whatever common order, have one in common. Columns that
+    are not counted come last.
     """
     size = np.array([len(s) for s in sets], np.int64)
     grams = np.concatenate([np.zeros(0, np.uint64), *sets])
     want = np.where(size > 0, size - -(-num * size // den) + 1, 0)
-    level = np.zeros(len(grams), np.uint8)
-    columns, power = known
-    if len(columns):
-        at = np.minimum(np.searchsorted(columns, grams), len(columns) - 1)
-        hit = columns[at] == grams
-        level[hit] = power[at[hit]]
-    level[grams >= _below(counted_share(num, den))] = 255
-    owner = np.repeat(np.arange(len(sets)), size)
-    # Sets are sorted by hash, and the sort is stable.
-    order = np.lexsort((level, owner))
-    place = np.arange(len(grams)) - np.repeat(np.cumsum(size) - size, size)
-    return grams[order][place < np.repeat(want, size)], want
+    weight = (grams < _below(counted_share(num, den))).astype(np.int64)
+    return _first(grams, np.repeat(np.arange(len(sets)), size), weight, want, known)[0], want
+
+
+def has_parts(num: int, den: int) -> bool:
+    """Whether sets are compared by parts: only if a part that two similar sets share has several columns."""
+    return num >= 3 * (den - num)
+
+
+def parts_of(
+    sets: list[np.ndarray], num: int, den: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, row, weight, set of each row, how many keys of each row are wanted).
+
+    Sets of n and m columns that meet the bound differ in ``(den - num) * (n + m) / (den + num)`` columns at
+    most, and so in as many parts. How many parts are made goes by the power of two below the size of
+    the smaller one: a set has a row for that of its own size and one for each that a smaller partner can have. A
+    key names the columns of a set in one part, its weight is their number. Of an order of all parts that is common to the
+    sets, the first ones, one more than can differ, have an equal one. An empty part is a key, of no weight, if
+    a row has too few others.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    grams = np.concatenate([np.zeros(0, np.uint64), *sets])
+    # The exponent of the power of two above a size.
+    top, low = (np.frexp(x.astype(np.float64))[1] for x in (size, -(-num * size // den)))
+
+    def differ(n, m):
+        return (den - num) * (n + m) // (den + num)
+
+    owner, level, most = [], [], []
+    for step in range(int((top - low).max(initial=0)) + 1):
+        at = np.flatnonzero((size > 0) & (top - step >= low))
+        # Unless it is the smaller one, its partner is below the next power of two.
+        other = den * size[at] // num if step == 0 else (1 << (top[at] - step).astype(np.int64)) - 1
+        d = differ(size[at], other)
+        # Sets that cannot differ are equal.
+        owner.append(at[d > 0])
+        level.append((top[at] - step)[d > 0].astype(np.int64))
+        most.append(d[d > 0])
+    owner, level, want = np.concatenate(owner), np.concatenate(level), np.concatenate(most) + 1
+    largest = (1 << level) - 1
+    parts = np.ceil(SPARE * (differ(largest, den * largest // num) + 1)).astype(np.uint64)
+
+    n = size[owner]
+    row = np.repeat(np.arange(len(owner)), n)
+    column = grams[np.arange(len(row)) + np.repeat((np.cumsum(size) - size)[owner] - (np.cumsum(n) - n), n)]
+    # Sets are sorted by hash, so the columns of a part stand together.
+    part = ((column >> np.uint64(32)) * parts[row]) >> np.uint64(32)
+    begins = np.ones(len(row), bool)
+    begins[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
+    begins = np.flatnonzero(begins)
+    weight = np.diff(np.r_[begins, len(row)])
+    total = np.add.reduceat(W.mix(column), begins) if len(begins) else np.zeros(0, np.uint64)
+    row, part = row[begins], part[begins]
+    found = np.bincount(row, minlength=len(owner))
+    few = np.flatnonzero(found < want)
+    if len(few):
+        last = np.cumsum(found)
+        empty = [np.setdiff1d(np.arange(parts[r], dtype=np.uint64), part[last[r] - found[r] : last[r]]) for r in few]
+        row = np.concatenate([row, np.repeat(few, [len(x) for x in empty])])
+        part = np.concatenate([part, *empty])
+        total, weight = (np.pad(x, (0, len(row) - len(x))) for x in (total, weight))
+        order = np.argsort(row, kind="stable")
+        row, part, total, weight = row[order], part[order], total[order], weight[order]
+    place = W.mix((level[row].astype(np.uint64) << np.uint64(56)) + part + np.uint64(1))
+    return W.mix(total ^ place), row, weight, owner, want
 
 
 def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
@@ -119,9 +199,9 @@ def incidence(docs: DataFrame, k: int, lower: bool) -> DataFrame:
 
 
 def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
-    """(key, node): first columns of each set; a node is the first half of the set's digest.
+    """(key, node): first parts, or columns, of each set; a node is the first half of the set's digest.
 
-    Without ``known``, all columns whose frequency is counted.
+    Without ``known``, all whose frequency is counted.
     """
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -138,7 +218,15 @@ def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
                 if len(seen) > MAX_SEEN:
                     seen.clear()
                 seen.update(new)
-                if shared.value is None:
+                if has_parts(num, den):
+                    columns, row, weight, owner, want = parts_of(list(new.values()), num, den)
+                    if shared.value is None:
+                        columns, row = columns[weight > 0], row[weight > 0]
+                    else:
+                        columns, row = _first(columns, row, weight, want, shared.value)
+                    n = np.bincount(owner[row], minlength=len(new))
+                    columns = columns[np.argsort(owner[row], kind="stable")]
+                elif shared.value is None:
                     parts = [s[: np.searchsorted(s, limit)] for s in new.values()]
                     n = [len(x) for x in parts]
                     columns = np.concatenate([np.zeros(0, np.uint64), *parts])
@@ -153,7 +241,7 @@ def _columns(docs, k, lower, num, den, known=None) -> DataFrame:
 
 
 def _clusters(docs: DataFrame, k: int, lower: bool, num: int, den: int) -> DataFrame:
-    """(node, root): nodes linked through shared first columns."""
+    """(node, root): nodes linked through shared first parts or columns."""
     counted = _columns(docs, k, lower, num, den).groupBy("key").agg(F.count("*").alias("n"))
     often = table(counted.where("n > 1"), "frequent")
     top = fetch(
@@ -207,12 +295,13 @@ def linked(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
     return label
 
 
-def _placements(members: DataFrame) -> DataFrame:
+def _placements(members: DataFrame, num: int, den: int) -> DataFrame:
     """(cluster, left, right, id, p1, p2): the products that each class of a cluster takes part in."""
-    order = Window.partitionBy("root").orderBy("id")
+    # By size, so that few pairs of blocks have sizes that allow a link.
+    order = Window.partitionBy("root").orderBy("n", "id")
     blocked = table(
         members.select(
-            F.col("root").alias("cluster"), "id", "d1", "d2",
+            F.col("root").alias("cluster"), "id", "d1", "d2", "n",
             (
                 F.floor(F.sum("n").over(order) / F.lit(BLOCK_NGRAMS))
                 + F.floor((F.row_number().over(order) - 1) / F.lit(BLOCK_DOCS))
@@ -220,11 +309,11 @@ def _placements(members: DataFrame) -> DataFrame:
         ),
         "row-blocks",
     )
-    present = blocked.select("cluster", "block").distinct()
+    present = blocked.groupBy("cluster", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     pairs = (
         present.alias("x")
         .join(present.alias("y"), F.col("x.cluster") == F.col("y.cluster"))
-        .where("x.block <= y.block")
+        .where(f"x.block <= y.block and {num} * y.least <= {den} * x.most")
         .select(
             F.col("x.cluster").alias("_cluster"),
             F.col("x.block").alias("left"),
@@ -308,7 +397,7 @@ def join(
         classes.join(nodes, F.col("d1") == F.col("node")).drop("node"),
         "members",
     )
-    edges = _links(_grams(docs, members, k, lower), _placements(members), num, den)
+    edges = _links(_grams(docs, members, k, lower), _placements(members, num, den), num, den)
     roots = components(edges)
     of_class = table(
         classes.select("id", "d1", "d2", "low")

@@ -103,6 +103,58 @@ def test_similar_sets_share_a_first_column(a, often, data):
             assert x & y
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 300), st.sampled_from([(75, 100), (80, 100), (90, 100), (19, 20)]), st.integers(0, 2**32))
+def test_similar_sets_share_a_first_part(n, bound, seed):
+    """No pair that meets the bound lacks a common part, whatever counts as frequent, and however many are empty."""
+    num, den = bound
+    draw = random.Random(seed)
+    a = np.array([draw.getrandbits(64) for _ in range(n)], np.uint64)
+    if draw.random() < 0.3:
+        a >>= np.uint64(draw.randrange(1, 8))  # few parts have columns
+    gone = draw.randrange(0, n - -(-num * n // den) + 1)
+    new = [draw.getrandbits(64) for _ in range(max(0, den * (n - gone) // num - n))]
+    b = np.concatenate([a[gone:], np.array(new[: draw.randrange(len(new) + 1)], np.uint64)])
+    sets = [np.unique(x) for x in (a, np.zeros(0, np.uint64), b)]
+    both = len(np.intersect1d(sets[0], sets[2]))
+    assert den * both >= num * len(np.union1d(sets[0], sets[2]))
+    keys, row, weight, owner, want = jaccard_join.parts_of(sets, num, den)
+    often = np.unique([k for k in keys[weight > 0].tolist() if draw.random() < 0.5]).astype(np.uint64)
+    keys, row = jaccard_join._first(keys, row, weight, want, (often, (often % np.uint64(5)).astype(np.uint8)))
+    x, y = (set(keys[owner[row] == i].tolist()) for i in (0, 2))
+    assert not (owner[row] == 1).any()
+    assert x & y or (len(sets[0]) == len(sets[2]) == both)
+
+
+def spread_out(row):
+    """Sets that share single, otherwise rare, columns with many others and are like none."""
+    draw = random.Random(row)
+    return " ".join(f"c{row}x{i}" if draw.random() < 0.7 else f"s{draw.randrange(4000)}" for i in range(150))
+
+
+@pytest.mark.parametrize("num", [80, 90])
+def test_single_common_columns_gather_nothing(spark, num):
+    docs = spark.createDataFrame([(i, spread_out(i)) for i in range(400)], "doc_id long, text string")
+    assert jaccard_join._clusters(docs, 1, True, num, 100).count() < 40
+
+
+def test_blocks_of_unlike_sizes_are_not_multiplied(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 10)
+    members = spark.range(400).select(
+        F.lit(1).cast("long").alias("root"), "id", F.col("id").alias("d1"), F.col("id").alias("d2"),
+        (F.lit(10) + 10 * (F.hash("id") % 100 + 100)).cast("long").alias("n"),
+    )
+    placed = jaccard_join._placements(members, 80, 100).collect()
+    pairs = {(r.left, r.right) for r in placed}
+    assert {(b, b) for b in range(40)} <= pairs and len(pairs) < 40 * 41 // 4
+    n = {r.id: r.n for r in members.collect()}
+    at = {r.id: r.left for r in placed if r.left == r.right}
+    assert all(
+        (min(at[x], at[y]), max(at[x], at[y])) in pairs
+        for x in range(0, 400, 7) for y in range(400) if 80 * max(n[x], n[y]) <= 100 * min(n[x], n[y])
+    )
+
+
 def test_jaccard_join_ties_and_empty(spark):
     rows = jaccard_join.join(odd.documents(spark), k=3, num=90, den=100).collect()
     assert len(rows) == len(odd.TEXTS)
