@@ -1,8 +1,10 @@
 """Exact top-k by inner product: tiles of queries times tiles of vectors.
 
-Vectors become integers and are packed into tiles, in order of id within a tile. Each pair of a query
-tile and a vector tile gives one matrix product and, for each query, the best k of that tile. These lists
-are merged over a tree, ``fan_in`` at a time, so no task holds more than that of one query tile.
+Vectors become integers and are packed into tiles, in order of id within a tile. The tiles are dealt to lanes
+of bounded size, a task holds those of a lane, and all query tiles pass by: each pair of a query
+tile and a vector tile gives one matrix product and, for each query, the best k of that tile. The lists of
+a lane are merged as they come, those of the lanes over a tree, ``fan_in`` at a time, so no task holds more
+than that of one query tile. Tiles meet by a shuffle; nothing is broadcast or sent to the driver.
 """
 
 from __future__ import annotations
@@ -17,11 +19,17 @@ from pyspark.sql import functions as F
 
 from snaphist.llm.store import table
 
+# Bytes of the tiles that a task holds, on average.
+LANE_BYTES = 32 << 20
+
 _TILE = "tile long, n int, dim int, ids binary, known binary, asks binary, data binary"
 _QUERY = "q_tile long, q_n int, q_dim int, q_ids binary, q_known binary, q_place binary, q_data binary"
 _LIST = "q_tile long, lane int, at binary, q_id binary, q_known binary, score binary, id binary, known binary, row binary"
 _RESULT = "query_id long, rank int, vec_id long, score long"
+_BLOCK = ["tile", "n", "dim", "ids", "known", "place", "data"]
 _LONG = np.iinfo(np.int64)
+# By bytes of a component.
+_STORED = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}
 _KINDS = {
     "at": np.int64, "q_id": np.int64, "q_known": bool, "score": np.int64, "id": np.int64,
     "known": bool, "row": np.int64,
@@ -43,6 +51,20 @@ def quantise(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
     return np.array(places, np.int64), vectors
 
 
+def stored(data: np.ndarray) -> bytes:
+    """Components as the smallest integers that hold all of them."""
+    most = np.abs(data).max(initial=0)
+    kind = next((k for k in (np.int8, np.int16, np.int32) if most <= np.iinfo(k).max), np.float64)
+    return data.astype(kind).tobytes()
+
+
+def loaded(data: bytes, n: int, dim: int) -> np.ndarray:
+    """What ``stored`` was given, as integers if it made such."""
+    if not n * dim:
+        return np.zeros((n, dim))
+    return np.frombuffer(data, _STORED[len(data) // (n * dim)]).reshape(n, dim)
+
+
 def tiles(df: DataFrame, rows: int) -> DataFrame:
     """Pack (id, v, asks) into tiles of ``rows`` rows; a null id comes last and is marked unknown."""
 
@@ -66,7 +88,7 @@ def tiles(df: DataFrame, rows: int) -> DataFrame:
                     "ids": [np.array([ids[i] or 0 for i in order], np.int64).tobytes()],
                     "known": [np.array([ids[i] is not None for i in order], bool).tobytes()],
                     "asks": [np.array([asks[i] for i in order], bool).tobytes()],
-                    "data": [data.tobytes()],
+                    "data": [stored(data)],
                 }
             )
 
@@ -93,7 +115,7 @@ def _queries(vectors: DataFrame) -> DataFrame:
                 place = np.flatnonzero(np.frombuffer(r["asks"], bool))
                 if not len(place):
                     continue
-                data = np.frombuffer(r["data"]).reshape(r["n"], r["dim"])[place]
+                data = loaded(r["data"], r["n"], r["dim"])[place]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "q_tile": [r["tile"]],
@@ -112,7 +134,7 @@ def _queries(vectors: DataFrame) -> DataFrame:
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Integer inner products, exact; beyond the range of a long the nearest long."""
     dim = max(q.shape[1], v.shape[1])
-    q, v = (np.pad(m, ((0, 0), (0, dim - m.shape[1]))) for m in (q, v))
+    q, v = (np.pad(m.astype(np.float64), ((0, 0), (0, dim - m.shape[1]))) for m in (q, v))
     bound = dim * float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0))
     if bound < 2.0**53:
         return (q @ v.T).astype(np.int64)
@@ -221,37 +243,53 @@ def search(
     # Small input partitions are put together, so that tiles are full and pairs of tiles few.
     vectors = tiles(rows.coalesce(max(1, -(-df.count() // tile_rows))), tile_rows)
     queries = _queries(vectors)
-    lanes = max(1, min(vectors.count(), 4096))
+    n, size = vectors.agg(F.count("*"), F.coalesce(F.sum(F.length("data")), F.lit(0))).first()
+    lanes = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // LANE_BYTES))
+    lanes = max(1, min(n, lanes, 4096))
     # The query set is dealt to each lane of vector tiles: a stated set, in blocks, against all rows.
-    lane = F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")
-    pairs = queries.withColumn("q_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).join(
-        vectors.drop("asks").withColumn("lane", lane), F.col("q_lane") == F.col("lane")
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.lit(1).alias("asked"),
+        *(F.col(f"q_{c}").alias(c) for c in _BLOCK if c != "tile"), F.col("q_tile").alias("tile"),
     )
+    lane = F.pmod(F.xxhash64("tile"), F.lit(lanes)).cast("int")
+    held = vectors.withColumn("place", F.lit(None).cast("binary"))
+    blocks = held.select(lane.alias("lane"), F.lit(0).alias("asked"), *_BLOCK).unionByName(asked)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lane, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 r = batch.slice(i, 1).to_pylist()[0]
-                q = np.frombuffer(r["q_data"]).reshape(r["q_n"], r["q_dim"])
-                v = np.frombuffer(r["data"]).reshape(r["n"], r["dim"])
-                own = r["q_tile"] == r["tile"]
-                score = products(q, v)
-                at, col = best(score, k + own)
-                if own:
-                    other = col != np.frombuffer(r["q_place"], np.int64)[at]
-                    at, col = at[other], col[other]
-                values = {
-                    "at": at,
-                    "q_id": np.frombuffer(r["q_ids"], np.int64)[at],
-                    "q_known": np.frombuffer(r["q_known"], bool)[at],
-                    "score": score[at, col],
-                    "id": np.frombuffer(r["ids"], np.int64)[col],
-                    "known": np.frombuffer(r["known"], bool)[col],
-                    "row": col,
-                }
-                yield _pack(r["q_tile"], r["lane"], values)
-
-    lists = pairs.mapInArrow(multiply, _LIST)
+                if r["lane"] != lane:
+                    lane, held = r["lane"], []
+                ids, known = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["known"], bool)
+                data = loaded(r["data"], r["n"], r["dim"])
+                if not r["asked"]:
+                    held.append((r["tile"], ids, known, data))
+                    continue
+                place = np.frombuffer(r["place"], np.int64)
+                lists = []
+                for tile, v_ids, v_known, v in held:
+                    own = r["tile"] == tile
+                    score = products(data, v)
+                    at, col = best(score, k + own)
+                    if own:
+                        other = col != place[at]
+                        at, col = at[other], col[other]
+                    lists.append(
+                        {
+                            "at": at, "q_id": ids[at], "q_known": known[at], "score": score[at, col],
+                            "id": v_ids[col], "known": v_known[col], "row": col,
+                        }
+                    )
+                    if len(lists) > fan_in:
+                        lists = [_merge(lists, k)]
+                if lists:
+                    yield _pack(r["tile"], lane, _merge(lists, k))
+
+    lists = (
+        blocks.repartitionById(lanes, "lane").sortWithinPartitions("lane", "asked", "tile").mapInArrow(multiply, _LIST)
+    )
     while lanes > 1:
         lists = _merge_level(lists, k, fan_in, last=False)
         lists = lists.withColumn("lane", F.floor(F.col("lane") / F.lit(fan_in)).cast("int"))

@@ -340,6 +340,29 @@ def test_topk(spark, tile_rows, fan_in):
     assert topk.search(df.limit(0), F.lit(True), "vec_id", "v", k=3).count() == 0
 
 
+def test_topk_broadcasts_nothing(spark):
+    """Whatever the sizes of files say: packed tiles, dealt to many lanes, are far larger than their files."""
+    _, df = vectors(spark)
+    found = topk.search(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=7, tile_rows=5)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topk_lanes_hold_few_bytes(spark, monkeypatch):
+    _, df = vectors(spark)
+    want = topk.search(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=7, tile_rows=5).collect()
+    monkeypatch.setattr(topk, "LANE_BYTES", 1, raising=False)
+    got = topk.search(df, F.col("vec_id") % 20 == 0, "vec_id", "v", k=7, tile_rows=2).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("most, size", [(127, 1), (-128, 2), (32_767, 2), (40_000, 4), (2.0**31, 8), (1e300, 8)])
+def test_stored_components(most, size):
+    data = np.array([[most, 0.0, -1.0], [1.0, 2.0, 3.0]])
+    kept = topk.stored(data)
+    assert len(kept) == 6 * size and (topk.loaded(kept, 2, 3) == data).all()
+    assert topk.loaded(topk.stored(np.zeros((2, 0))), 2, 0).shape == (2, 0)
+
+
 PIECES = st.sampled_from(["a", "b.c", "@", ".", "..", "-", " ", "+", "+1", "1", "23", "256", "4111", "111", "(", ")", "é", "://", "IBAN ", "x:y@h", "DE89 3704 0044 0532 0130 00"])
 
 
